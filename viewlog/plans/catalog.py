@@ -241,3 +241,34 @@ register("session_rank", f"""
 SELECT {O.cols(O.FACT_COLS)}, CAST(row_number() OVER (PARTITION BY "Mac"
     ORDER BY session_timestamp, "Event" NULLS FIRST, "ItemId" NULLS FIRST) AS INTEGER) AS session_rank
 FROM ({O.FACT_OR})""")(lambda s, d: A.session_rank(fact_or(s, d)))
+
+# --- ingest of dict-literal lines rendered from events -----------------------
+
+from viewlog.operators import ingest as I  # noqa: E402
+from viewlog.sources.tables import load_raw_lines  # noqa: E402
+
+
+def _ingest(s: SparkSession, d: str) -> DataFrame:
+    return I.ingest_lines(load_raw_lines(s, d))
+
+
+def _normalized(s: SparkSession, d: str) -> DataFrame:
+    return I.parse_lines(load_raw_lines(s, d)).transform(I.keep_required).transform(I.normalize_columns)
+
+
+register("parse_lines", f"SELECT * FROM ({O.LOGS_FROM_LINES})")(_ingest)
+register("select_and_cast", f"SELECT * FROM ({O.LOGS_FROM_LINES})")(
+    lambda s, d: I.select_and_cast(I.parse_session_timestamp(_normalized(s, d))))
+register("normalize_columns", f"SELECT {O.cols(O.KEEP)} FROM ({O.INGEST_STRINGS})")(_normalized)
+register("parse_session_timestamp", f"""
+SELECT "Mac", "SessionMainMenu", session_timestamp FROM ({O.LOGS_FROM_LINES})""")(
+    lambda s, d: I.parse_session_timestamp(_normalized(s, d)).select(
+        "Mac", "SessionMainMenu", "session_timestamp"))
+register("discover_columns", O.DISCOVERED)(lambda s, d: I.discover_columns(load_raw_lines(s, d)))
+register("ingest_counts", O.INGEST_COUNTS)(lambda s, d: I.ingest_counts(load_raw_lines(s, d)))
+register("null_counts", f"""
+SELECT count(*) FILTER (WHERE "Mac" IS NULL) AS "Mac",
+  count(*) FILTER (WHERE session_timestamp IS NULL) AS session_timestamp,
+  count(*) FILTER (WHERE "RealTimePlaying" IS NULL) AS "RealTimePlaying",
+  count(*) FILTER (WHERE "Event" IS NULL) AS "Event"
+FROM ({O.LOGS_FROM_LINES})""")(lambda s, d: I.null_counts(_ingest(s, d)))

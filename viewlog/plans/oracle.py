@@ -200,3 +200,68 @@ CROSS JOIN ended e
 
 PROFILES_OR = profiles(FACT_OR)
 PROFILES_EV = profiles(FACT_EV)
+
+
+# --- ingest: what parsing the rendered lines must give, straight from events --
+
+_MAC_E = "lpad(CAST(user_id AS VARCHAR), 12, '0')"
+_MONTH_BAD = "event_id % 23 = 0"
+_KIND = "(event_id // 50) % 5"
+
+INGEST_STRINGS = f"""
+SELECT {_MAC_E} AS "Mac", CAST(user_id AS VARCHAR) AS "CustomerID",
+  CAST(NULL AS VARCHAR) AS "Contract", CAST(NULL AS VARCHAR) AS "Session",
+  {_MAC_E} || ':' || CASE WHEN {_MONTH_BAD} THEN strftime(ts, '%Y:13:%d:%H:%M:%S')
+                          ELSE strftime(ts, '%Y:%m:%d:%H:%M:%S') END || ':000' AS "SessionMainMenu",
+  CASE WHEN event_type IN ('view', 'purchase') THEN 'VOD' ELSE 'IPTV' END AS "AppName",
+  event_type AS "Event", {K} AS "ItemId", CAST(NULL AS VARCHAR) AS "ItemName",
+  CASE WHEN event_id % 17 = 0 THEN NULL ELSE CAST(value AS VARCHAR) END AS "RealTimePlaying",
+  CASE WHEN event_id % 19 = 0 THEN '1e3' ELSE CAST(value AS VARCHAR) END AS "ElapsedTimePlaying",
+  CAST(CAST({K} AS BIGINT) * 60 AS VARCHAR) AS "Duration",
+  CAST(NULL AS VARCHAR) AS "Screen", CAST(NULL AS VARCHAR) AS "Firmware",
+  CAST(NULL AS VARCHAR) AS "PublishCountry",
+  event_id, ts, value
+FROM events
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, NULL, 'STOPVOD', NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  NULL, event_id, NULL, NULL
+FROM events WHERE event_id % 50 = 0 AND {_KIND} = 4
+"""
+
+KEEP = ["Mac", "CustomerID", "Contract", "Session", "SessionMainMenu", "AppName", "Event",
+        "ItemId", "ItemName", "RealTimePlaying", "ElapsedTimePlaying", "Duration",
+        "Screen", "Firmware", "PublishCountry"]
+
+LOGS_FROM_LINES = f"""
+SELECT "Mac", "CustomerID", "Contract", "Session", "SessionMainMenu", "AppName", "Event",
+  "ItemId", "ItemName",
+  CASE WHEN event_id % 17 = 0 OR value IS NULL THEN NULL ELSE CAST(value AS FLOAT) END AS "RealTimePlaying",
+  CASE WHEN event_id % 19 = 0 OR value IS NULL THEN NULL ELSE CAST(floor(value) AS BIGINT) END
+    AS "ElapsedTimePlaying",
+  CAST("Duration" AS BIGINT) AS "Duration",
+  "Screen", "Firmware", "PublishCountry",
+  CASE WHEN {_MONTH_BAD} OR ts IS NULL THEN NULL ELSE CAST(date_trunc('second', ts) AS TIMESTAMP) END
+    AS session_timestamp
+FROM ({INGEST_STRINGS})
+"""
+
+DISCOVERED = f"""
+SELECT "column", count(*) AS records FROM (
+  SELECT unnest([CASE WHEN event_id % 7 = 3 THEN 'MAC' ELSE 'Mac' END, 'CustomerID',
+                 'SessionMainMenu', CASE WHEN event_id % 5 = 1 THEN 'appname' ELSE 'AppName' END,
+                 CASE WHEN event_id % 11 = 5 THEN 'event' ELSE 'Event' END,
+                 CASE WHEN event_id % 11 = 5 THEN 'itemId' ELSE 'ItemId' END,
+                 'RealTimePlaying', 'ElapsedTimePlaying', 'Duration']) AS "column"
+  FROM events
+  UNION ALL
+  SELECT unnest(['Mac', 'Event']) FROM events WHERE event_id % 50 = 0 AND {_KIND} = 4)
+GROUP BY "column" ORDER BY "column"
+"""
+
+INGEST_COUNTS = f"""
+SELECT count(*) + count(*) FILTER (WHERE event_id % 50 = 0) AS lines,
+  count(*) + count(*) FILTER (WHERE event_id % 50 = 0 AND {_KIND} IN (3, 4)) AS parsed,
+  count(*) + count(*) FILTER (WHERE event_id % 50 = 0 AND {_KIND} = 4) AS kept,
+  count(*) FILTER (WHERE event_id % 50 = 0 AND {_KIND} <> 4) AS rejected
+FROM events
+"""

@@ -19,6 +19,7 @@ BASE_CONF: dict[str, str] = {
     # Partition values such as "02" must stay strings on read (AppName).
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 

@@ -117,3 +117,57 @@ def load_sessions_ev_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_sessions_or(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sessions_or(read_table(spark, sf_dir, "orders"))
+
+
+def raw_lines(events: DataFrame) -> DataFrame:
+    """Render ``events`` as dict-literal log lines (column ``value``).
+
+    Every event becomes one line; the event id only picks spelling variants
+    (``MAC``, ``event``, ``itemId``, ``appname``), a None watch time, an
+    unparseable elapsed time, or an impossible month. Every 50th id also
+    emits one extra line that ingest must reject or keep with a NULL Mac:
+    not a literal, a list, an empty line, only a ``mac`` key, ``'Mac': None``.
+    """
+    eid = F.col("event_id")
+    mac = _mac(F.col("user_id"))
+    k = F.get_json_object("props", "$.k")
+
+    def key(cond: Column, variant: str, canonical: str) -> Column:
+        return F.when(cond, F.lit(variant)).otherwise(F.lit(canonical))
+
+    fmt = F.when(eid % 23 == 0, F.date_format("ts", "yyyy:'13':dd:HH:mm:ss")) \
+           .otherwise(F.date_format("ts", "yyyy:MM:dd:HH:mm:ss"))
+    app = F.when(F.col("event_type").isin("view", "purchase"), "VOD").otherwise("IPTV")
+    watch = F.when(eid % 17 == 0, F.lit("None")).otherwise(F.col("value").cast("string"))
+    elapsed = F.when(eid % 19 == 0, F.lit("'1e3'")) \
+               .otherwise(F.concat(F.lit("'"), F.col("value").cast("string"), F.lit("'")))
+
+    def pair(name: Column, val: Column, quoted: bool = True) -> Column:
+        v = F.concat(F.lit("'"), val, F.lit("'")) if quoted else val
+        return F.concat(F.lit("'"), name, F.lit("': "), v)
+
+    line = F.concat(
+        F.lit("{"),
+        F.concat_ws(", ",
+                    pair(key(eid % 7 == 3, "MAC", "Mac"), mac),
+                    pair(F.lit("CustomerID"), F.col("user_id").cast("string")),
+                    pair(F.lit("SessionMainMenu"), F.concat(mac, F.lit(":"), fmt, F.lit(":000"))),
+                    pair(key(eid % 5 == 1, "appname", "AppName"), app),
+                    pair(key(eid % 11 == 5, "event", "Event"), F.col("event_type")),
+                    pair(key(eid % 11 == 5, "itemId", "ItemId"), k),
+                    pair(F.lit("RealTimePlaying"), watch, quoted=False),
+                    pair(F.lit("ElapsedTimePlaying"), elapsed, quoted=False),
+                    pair(F.lit("Duration"), (k.cast("bigint") * 60).cast("string"))),
+        F.lit("}"))
+    kind = F.floor(eid / 50) % 5
+    extra = (F.when(kind == 0, F.lit("not a literal"))
+              .when(kind == 1, F.lit("[1, 2]"))
+              .when(kind == 2, F.lit(""))
+              .when(kind == 3, F.concat(F.lit("{'mac': '"), mac, F.lit("', 'Event': 'STOPVOD'}")))
+              .otherwise(F.lit("{'Mac': None, 'Event': 'STOPVOD'}")))
+    lines = F.when(eid % 50 == 0, F.array(line, extra)).otherwise(F.array(line))
+    return events.select(F.explode(lines).alias("value"))
+
+
+def load_raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw_lines(read_table(spark, sf_dir, "events"))
