@@ -16,7 +16,7 @@ from viewlog.operators import features as D
 from viewlog.operators import profiles as A
 from viewlog.operators import reports as R
 from viewlog.plans import oracle as O
-from viewlog.plans.transform import build_fact, fact_ev, fact_or, profiles_or
+from viewlog.plans.transform import fact_ev, fact_or, profiles_ev as user_profiles_ev, profiles_or
 from viewlog.sources.tables import load_sessions_ev, load_sessions_ev_dup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -272,3 +272,78 @@ SELECT count(*) FILTER (WHERE "Mac" IS NULL) AS "Mac",
   count(*) FILTER (WHERE "RealTimePlaying" IS NULL) AS "RealTimePlaying",
   count(*) FILTER (WHERE "Event" IS NULL) AS "Event"
 FROM ({O.LOGS_FROM_LINES})""")(lambda s, d: I.null_counts(_ingest(s, d)))
+
+# --- sources, sinks, load, quality, streaming ---------------------------------
+# These write intermediate files under the shared checkpoint folder
+# (spark.checkpoint.dir), each query into a fresh location.
+
+from viewlog.operators.quality import quality_report  # noqa: E402
+from viewlog.session import work_path  # noqa: E402
+from viewlog.sources import sinks as S  # noqa: E402
+from viewlog.sources.tables import read_logs_clean  # noqa: E402
+from viewlog.sources.text import read_text_logs, source_check  # noqa: E402
+from viewlog.streaming.incremental import ingest_new_files  # noqa: E402
+
+
+def _written_lines(s: SparkSession, d: str) -> str:
+    path = work_path(s, "raw-lines")
+    load_raw_lines(s, d).write.mode("overwrite").text(path)
+    return path
+
+
+def _text_scan(s: SparkSession, d: str) -> DataFrame:
+    return I.ingest_lines(read_text_logs(s, _written_lines(s, d), glob="part-*"))
+
+
+def _roundtrip_partitioned(s: SparkSession, d: str) -> DataFrame:
+    path = S.write_partitioned(_ingest(s, d), work_path(s, "logs-clean"), "AppName")
+    return read_logs_clean(s, path)
+
+
+def _roundtrip_fact(s: SparkSession, d: str) -> DataFrame:
+    path = work_path(s, "fact")
+    S.write_parquet(fact_ev(s, d), path)
+    return s.read.parquet(path)
+
+
+def _load_table(s: SparkSession, d: str) -> DataFrame:
+    name = work_path(s, "t").rsplit("/", 1)[-1].replace("-", "_")
+    S.save_table(fact_ev(s, d), f"fact_sessions_{name}", path=work_path(s, "table"))
+    return s.table(f"fact_sessions_{name}")
+
+
+def _load_verify(s: SparkSession, d: str) -> DataFrame:
+    name = "fact_sessions_" + work_path(s, "t").rsplit("/", 1)[-1].replace("-", "_")
+    S.save_table(fact_ev(s, d), name, path=work_path(s, "table"))
+    return S.verify_load(s, name, fact_ev(s, d)).withColumn("table_name", F.lit("fact_sessions"))
+
+
+def _incremental(s: SparkSession, d: str) -> DataFrame:
+    raw = _written_lines(s, d)
+    out, ckpt = work_path(s, "stream-out"), work_path(s, "stream-ckpt")
+    ingest_new_files(s, raw, out, ckpt, glob="part-*")
+    return read_logs_clean(s, out)
+
+
+from pyspark.sql import functions as F  # noqa: E402
+
+register("text_scan", f"SELECT * FROM ({O.LOGS_FROM_LINES})")(_text_scan)
+register("roundtrip_partitioned", f"SELECT * FROM ({O.LOGS_FROM_LINES})")(_roundtrip_partitioned)
+register("roundtrip_fact", O.FACT_EV)(_roundtrip_fact)
+register("load_table", O.FACT_EV)(_load_table)
+register("load_verify", f"""
+SELECT 'fact_sessions' AS table_name, count(*) AS source_rows, count(*) AS loaded_rows,
+  true AS matches FROM ({O.FACT_EV})""")(_load_verify)
+register("incremental_ingest", f"SELECT * FROM ({O.LOGS_FROM_LINES})")(_incremental)
+register("source_check")(lambda s, d: source_check(s, d, glob="*.parquet"))
+register("quality_report", f"""
+WITH f AS ({O.FACT_EV})
+SELECT count(*) AS fact_rows, (SELECT count(*) FROM ({O.PROFILES_EV})) AS profile_rows,
+  count(*) FILTER (WHERE "Mac" IS NULL) AS null_mac,
+  CASE WHEN count(*) > 0 THEN {O.rnd('count(*) FILTER (WHERE "Mac" IS NULL) * 100.0 / count(*)', 2)}
+       ELSE 0.0 END AS null_mac_pct,
+  min(session_date) AS min_date, max(session_date) AS max_date,
+  CASE WHEN count(*) = 0 THEN 'FAIL' ELSE 'OK' END AS row_count_status,
+  'OK' AS null_mac_status,
+  CASE WHEN count(*) = 0 THEN 'FAIL' ELSE 'OK' END AS status
+FROM f""")(lambda s, d: quality_report(fact_ev(s, d), user_profiles_ev(s, d)))
