@@ -170,4 +170,15 @@ def raw_lines(events: DataFrame) -> DataFrame:
 
 
 def load_raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return raw_lines(read_table(spark, sf_dir, "events"))
+    """Rendered lines, spread over at least ``defaultParallelism`` partitions.
+
+    Real logs are read as many text splits; a small Parquet file is a single
+    split, which would leave the Python parse on one core. A round-robin
+    spread is added only when the scan has fewer partitions than cores, so a
+    large, already-parallel input is not shuffled.
+    """
+    lines = raw_lines(read_table(spark, sf_dir, "events"))
+    cores = spark.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() < cores:
+        lines = lines.repartition(cores)
+    return lines
