@@ -17,7 +17,9 @@ SF_MID = "/root/testdata/sf0.01"
 def spark():
     from viewlog.session import get_spark
 
-    s = get_spark("local[*]", shuffle_partitions=8, app_name="viewlog-tests")
+    warehouse = tempfile.mkdtemp(prefix="viewlog-test-warehouse-")
+    s = get_spark("local[*]", shuffle_partitions=8, app_name="viewlog-tests",
+                  extra={"spark.sql.warehouse.dir": warehouse})
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="viewlog-test-ckpt-"))
     yield s

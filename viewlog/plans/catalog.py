@@ -347,3 +347,18 @@ SELECT count(*) AS fact_rows, (SELECT count(*) FROM ({O.PROFILES_EV})) AS profil
   'OK' AS null_mac_status,
   CASE WHEN count(*) = 0 THEN 'FAIL' ELSE 'OK' END AS status
 FROM f""")(lambda s, d: quality_report(fact_ev(s, d), user_profiles_ev(s, d)))
+
+
+def _run_summary(s: SparkSession, d: str) -> DataFrame:
+    """Whole pipeline over rendered log files; the run log it appended."""
+    from viewlog.plans.pipeline import run
+
+    raw = _written_lines(s, d)
+    out = work_path(s, "pipeline-out")
+    prefix = "run_" + out.rsplit("-", 1)[-1] + "_"
+    run(s, raw, out, glob="part-*", table_prefix=prefix)
+    return s.read.parquet(f"{out}/run_log.parquet")
+
+
+# Step timings differ on every run, so this one is checked by row count only.
+register("run_summary")(_run_summary)

@@ -13,7 +13,6 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewlog.operators.clean import clean_observed
@@ -87,11 +86,19 @@ def transform_step(spark: SparkSession, p: Paths) -> tuple[int, int, int]:
     return int(before.get["rows"]), fact_rows, profile_rows
 
 
-def load_step(spark: SparkSession, p: Paths, table_prefix: str = "") -> int:
+def load_step(spark: SparkSession, p: Paths, table_prefix: str = "",
+              external: bool = True) -> int:
+    """Register both outputs as catalog tables; returns rows loaded.
+
+    External tables keep their files under the run's output folder (shared
+    storage), so a re-run replaces them even if the catalog was reset.
+    """
     n = 0
     for name, path in (("fact_sessions", p.fact), ("user_profiles", p.profiles)):
-        save_table(spark.read.parquet(path), f"{table_prefix}{name}")
-        n += spark.table(f"{table_prefix}{name}").count()
+        table = f"{table_prefix}{name}"
+        save_table(spark.read.parquet(path), table,
+                   path=f"{p.out}/tables/{table}" if external else None)
+        n += spark.table(table).count()
     return n
 
 
