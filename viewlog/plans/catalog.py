@@ -16,7 +16,7 @@ from viewlog.operators import features as D
 from viewlog.operators import profiles as A
 from viewlog.operators import reports as R
 from viewlog.plans import oracle as O
-from viewlog.plans.transform import fact_ev, fact_or, profiles_ev as user_profiles_ev, profiles_or
+from viewlog.plans.transform import fact_ev, fact_or, profiles_or
 from viewlog.sources.tables import load_sessions_ev, load_sessions_ev_dup
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -346,7 +346,14 @@ SELECT count(*) AS fact_rows, (SELECT count(*) FROM ({O.PROFILES_EV})) AS profil
   CASE WHEN count(*) = 0 THEN 'FAIL' ELSE 'OK' END AS row_count_status,
   'OK' AS null_mac_status,
   CASE WHEN count(*) = 0 THEN 'FAIL' ELSE 'OK' END AS status
-FROM f""")(lambda s, d: quality_report(fact_ev(s, d), user_profiles_ev(s, d)))
+FROM f""")(lambda s, d: _quality(s, d))
+
+
+def _quality(s: SparkSession, d: str) -> DataFrame:
+    """As in the pipeline: the report and the profiles read the written fact table."""
+    path = S.write_partitioned(fact_ev(s, d), work_path(s, "fact"), "AppName")
+    fact = s.read.parquet(path)
+    return quality_report(fact, A.user_profiles(fact))
 
 
 def _run_summary(s: SparkSession, d: str) -> DataFrame:
