@@ -99,3 +99,11 @@ def test_incremental_ingest_only_new_files(spark, tmp_dir):
     ingest_new_files(spark, raw, out, ckpt)
     assert read_logs_clean(spark, out).count() == 2 * first
     assert first <= n1
+
+
+def test_shuffle_sizing():
+    from viewlog.session import shuffle_partitions_for
+
+    assert shuffle_partitions_for(0) == 8
+    assert shuffle_partitions_for(10 * 1024**3) == 80
+    assert shuffle_partitions_for(100 * 1024**4) == 200_000

@@ -20,6 +20,7 @@ from viewlog.operators.features import fact_sessions, session_features
 from viewlog.operators.ingest import ingest_lines
 from viewlog.operators.profiles import user_profiles
 from viewlog.operators.quality import gate, quality_report
+from viewlog.session import size_shuffles
 from viewlog.sources.sinks import save_table, write_parquet, write_partitioned
 from viewlog.sources.tables import read_logs_clean
 from viewlog.sources.text import LOG_GLOB, read_text_logs, source_check
@@ -65,8 +66,14 @@ class RunResult:
 
 
 def check_step(spark: SparkSession, p: Paths) -> int:
-    """Number of matching source files (0 means: nothing to do)."""
-    return int(source_check(spark, p.raw, p.glob).first()["files"])
+    """Number of matching source files (0 means: nothing to do).
+
+    The total input size also sizes the run's shuffles (see ``size_shuffles``).
+    """
+    row = source_check(spark, p.raw, p.glob).first()
+    if row["files"]:
+        size_shuffles(spark, int(row["total_mb"] * 1024 * 1024))
+    return int(row["files"])
 
 
 def ingest_step(spark: SparkSession, p: Paths) -> int:

@@ -37,6 +37,29 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 * 1024 * 1024,
+                           floor: int = 8, ceiling: int = 200_000) -> int:
+    """Initial shuffle partition count so each reducer starts near ``target_bytes``.
+
+    AQE coalesces small partitions afterwards, so erring high is cheap;
+    erring low makes reducers spill.
+    """
+    return max(floor, min(ceiling, -(-int(input_bytes) // target_bytes)))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int | None:
+    """Set AQE's initial shuffle partition count from the input size.
+
+    Leaves an explicit user setting alone; returns the value it set.
+    """
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if spark.conf.get(key, None):
+        return None
+    n = max(shuffle_partitions_for(input_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set(key, str(n))
+    return n
+
+
 def _is_local(spark: SparkSession) -> bool:
     return spark.sparkContext.master.startswith("local")
 
