@@ -107,3 +107,24 @@ def test_shuffle_sizing():
     assert shuffle_partitions_for(0) == 8
     assert shuffle_partitions_for(10 * 1024**3) == 80
     assert shuffle_partitions_for(100 * 1024**4) == 200_000
+
+
+def test_fact_reads_back_with_string_app(spark, tmp_dir):
+    from viewlog.operators.clean import clean
+    from viewlog.operators.features import fact_sessions, session_features
+    from viewlog.sources.tables import read_fact
+    from viewlog.schema import FACT_SCHEMA
+
+    df = spark.createDataFrame([("m", "02", "E", "1")], "Mac string, AppName string, Event string, ItemId string")
+    logs = df.select("Mac", F.lit("c").alias("CustomerID"), F.lit("k").alias("Contract"),
+                     F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("session_timestamp"),
+                     "AppName", "Event", "ItemId", F.lit("n").alias("ItemName"),
+                     F.lit(1.5).cast("float").alias("RealTimePlaying"),
+                     F.lit(1).cast("bigint").alias("ElapsedTimePlaying"),
+                     F.lit(10).cast("bigint").alias("Duration"),
+                     F.lit("s").alias("Screen"), F.lit("f").alias("Firmware"), F.lit("p").alias("PublishCountry"))
+    fact = logs.transform(clean).transform(session_features).transform(fact_sessions)
+    write_partitioned(fact, f"{tmp_dir}/fact", "AppName")
+    back = read_fact(spark, f"{tmp_dir}/fact")
+    assert back.schema == FACT_SCHEMA
+    assert back.first()["AppName"] == "02"

@@ -280,7 +280,7 @@ FROM ({O.LOGS_FROM_LINES})""")(lambda s, d: I.null_counts(_ingest(s, d)))
 from viewlog.operators.quality import quality_report  # noqa: E402
 from viewlog.session import work_path  # noqa: E402
 from viewlog.sources import sinks as S  # noqa: E402
-from viewlog.sources.tables import read_logs_clean  # noqa: E402
+from viewlog.sources.tables import read_fact, read_logs_clean  # noqa: E402
 from viewlog.sources.text import read_text_logs, source_check  # noqa: E402
 from viewlog.streaming.incremental import ingest_new_files  # noqa: E402
 
@@ -352,7 +352,7 @@ FROM f""")(lambda s, d: _quality(s, d))
 def _quality(s: SparkSession, d: str) -> DataFrame:
     """As in the pipeline: the report and the profiles read the written fact table."""
     path = S.write_partitioned(fact_ev(s, d), work_path(s, "fact"), "AppName")
-    fact = s.read.parquet(path)
+    fact = read_fact(s, path)
     return quality_report(fact, A.user_profiles(fact))
 
 

@@ -22,7 +22,7 @@ from viewlog.operators.profiles import user_profiles
 from viewlog.operators.quality import gate, quality_report
 from viewlog.session import size_shuffles
 from viewlog.sources.sinks import save_table, write_parquet, write_partitioned
-from viewlog.sources.tables import read_logs_clean
+from viewlog.sources.tables import read_fact, read_logs_clean
 from viewlog.sources.text import LOG_GLOB, read_text_logs, source_check
 
 RUN_LOG_SCHEMA = T.StructType([
@@ -89,7 +89,7 @@ def transform_step(spark: SparkSession, p: Paths) -> tuple[int, int, int]:
     write_partitioned(fact, p.fact, "AppName")
     fact_rows = int(after.get["rows"])
     # Profiles read the written fact table, so both outputs describe the same rows.
-    profile_rows = write_parquet(user_profiles(spark.read.parquet(p.fact)), p.profiles)
+    profile_rows = write_parquet(user_profiles(read_fact(spark, p.fact)), p.profiles)
     return int(before.get["rows"]), fact_rows, profile_rows
 
 
@@ -101,16 +101,17 @@ def load_step(spark: SparkSession, p: Paths, table_prefix: str = "",
     storage), so a re-run replaces them even if the catalog was reset.
     """
     n = 0
-    for name, path in (("fact_sessions", p.fact), ("user_profiles", p.profiles)):
+    for name, df in (("fact_sessions", read_fact(spark, p.fact)),
+                     ("user_profiles", spark.read.parquet(p.profiles))):
         table = f"{table_prefix}{name}"
-        save_table(spark.read.parquet(path), table,
+        save_table(df, table,
                    path=f"{p.out}/tables/{table}" if external else None)
         n += spark.table(table).count()
     return n
 
 
 def quality_step(spark: SparkSession, p: Paths) -> dict:
-    return gate(quality_report(spark.read.parquet(p.fact), spark.read.parquet(p.profiles)))
+    return gate(quality_report(read_fact(spark, p.fact), spark.read.parquet(p.profiles)))
 
 
 def run_summary(spark: SparkSession, result: RunResult) -> DataFrame:

@@ -113,4 +113,17 @@ FACT_COLUMNS: list[str] = [
     "Screen", "Firmware", "PublishCountry",
 ]
 
+_FACT_TYPES: dict[str, T.DataType] = {
+    **NUMERIC_TYPES,
+    "session_timestamp": T.TimestampNTZType(),
+    "session_date": T.DateType(),
+    "hour_of_day": T.IntegerType(), "day_of_week": T.IntegerType(),
+    "month": T.IntegerType(), "year": T.IntegerType(),
+    "completion_rate": T.DoubleType(),
+    "is_primetime": T.IntegerType(), "is_weekend": T.IntegerType(),
+}
+
+FACT_SCHEMA = T.StructType(
+    [T.StructField(c, _FACT_TYPES.get(c, T.StringType())) for c in FACT_COLUMNS])
+
 USER_KEYS: list[str] = ["Mac", "CustomerID", "Contract"]

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewlog.schema import KEEP_FIELDS, LOGS_CLEAN_SCHEMA
+from viewlog.schema import FACT_COLUMNS, FACT_SCHEMA, KEEP_FIELDS, LOGS_CLEAN_SCHEMA
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +29,11 @@ def read_logs_clean(spark: SparkSession, path: str) -> DataFrame:
         *KEEP_FIELDS, "session_timestamp")
 
 
+def read_fact(spark: SparkSession, path: str) -> DataFrame:
+    """Read a written fact table (maybe AppName-partitioned) with its fixed schema."""
+    return spark.read.schema(FACT_SCHEMA).parquet(path).select(*FACT_COLUMNS)
+
+
 def _mac(id_col: Column) -> Column:
     return F.lpad(id_col.cast("string"), 12, "0")
 
