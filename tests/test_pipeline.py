@@ -30,13 +30,17 @@ def test_full_run(spark, tmp_dir):
     write_logs(spark, raw)
     res = run(spark, raw, out, table_prefix="t_full_")
     assert not res.skipped
-    assert [s for s, _, _ in res.steps] == ["check", "ingest", "transform", "load", "quality"]
+    assert [s for s, _, _ in res.steps] == ["check", "ingest", "transform", "load", "quality", "reports"]
     assert res.quality["status"] == "OK" and res.quality["fact_rows"] > 0
     fact = spark.read.parquet(f"{out}/fact_sessions.parquet")
     assert spark.table("t_full_fact_sessions").count() == fact.count()
     assert spark.table("t_full_user_profiles").count() == res.quality["profile_rows"]
     log = spark.read.parquet(f"{out}/run_log.parquet")
-    assert log.count() == 5
+    assert log.count() == 6
+    dau = spark.read.parquet(f"{out}/reports/daily_active_users.parquet")
+    assert dau.agg(F.sum("total_events")).first()[0] == fact.count()
+    assert spark.read.parquet(f"{out}/reports/cohort_retention.parquet").agg(
+        F.sum("cohort_size")).first()[0] == res.quality["profile_rows"]
     # The fact table is partitioned by the normalised app name.
     assert {r["AppName"] for r in fact.select("AppName").distinct().collect()} <= {"VOD", "IPTV", None}
 

@@ -1,4 +1,4 @@
-"""The batch pipeline: check -> ingest -> transform -> load -> quality.
+"""The batch pipeline: check -> ingest -> transform -> load -> quality -> reports.
 
 Each step reads what the previous step wrote, so every plan runs once: the
 fact table is written, then profiles and reports read the written files
@@ -15,6 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from viewlog.operators import reports
 from viewlog.operators.clean import clean_observed
 from viewlog.operators.features import fact_sessions, session_features
 from viewlog.operators.ingest import ingest_lines
@@ -114,6 +115,28 @@ def quality_step(spark: SparkSession, p: Paths) -> dict:
     return gate(quality_report(read_fact(spark, p.fact), spark.read.parquet(p.profiles)))
 
 
+FACT_REPORTS = ("daily_active_users", "top_content", "activity_heatmap", "app_usage",
+                "completion_buckets", "last_action", "monthly_active_users", "events_by_app",
+                "active_hours", "watch_time_by_bucket", "crashed_share", "completion_by_entry",
+                "mau_change")
+PROFILE_REPORTS = ("churn_analysis", "cohort_retention")
+
+
+def report_step(spark: SparkSession, p: Paths) -> int:
+    """Write every report, computed from the written fact table and profiles.
+
+    Reading the AppName-partitioned fact lets the VOD reports prune to one
+    folder; each report is one aggregate job over pruned columns.
+    """
+    fact, profiles = read_fact(spark, p.fact), spark.read.parquet(p.profiles)
+    n = 0
+    for name in FACT_REPORTS + PROFILE_REPORTS:
+        src = fact if name in FACT_REPORTS else profiles
+        write_parquet(getattr(reports, name)(src), f"{p.out}/reports/{name}.parquet")
+        n += 1
+    return n
+
+
 def run_summary(spark: SparkSession, result: RunResult) -> DataFrame:
     now = datetime.now(timezone.utc).replace(tzinfo=None)
     rows = [(result.run_id, s, float(sec), n, now) for s, sec, n in result.steps]
@@ -121,7 +144,7 @@ def run_summary(spark: SparkSession, result: RunResult) -> DataFrame:
 
 
 def run(spark: SparkSession, raw_dir: str, out_dir: str, glob: str = LOG_GLOB,
-        steps: tuple[str, ...] = ("check", "ingest", "transform", "load", "quality"),
+        steps: tuple[str, ...] = ("check", "ingest", "transform", "load", "quality", "reports"),
         table_prefix: str = "") -> RunResult:
     p = Paths(raw_dir.rstrip("/"), out_dir.rstrip("/"), glob)
     result = RunResult(run_id=datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f"))
@@ -144,5 +167,7 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, glob: str = LOG_GLOB,
         timed("load", lambda: load_step(spark, p, table_prefix))
     if "quality" in steps:
         result.quality = timed("quality", lambda: quality_step(spark, p))
+    if "reports" in steps:
+        timed("reports", lambda: report_step(spark, p))
     run_summary(spark, result).write.mode("append").parquet(p.run_log)
     return result

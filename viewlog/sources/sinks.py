@@ -18,16 +18,23 @@ MAX_RECORDS_PER_FILE = 5_000_000
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str | None = "AppName",
-                      max_records: int = MAX_RECORDS_PER_FILE) -> str:
+                      max_records: int = MAX_RECORDS_PER_FILE,
+                      cluster_by: tuple[str, ...] = ("session_date", "session_timestamp")) -> str:
     """Overwrite ``path`` with Parquet, partitioned by ``partition_col`` if present.
 
     No repartition before the write: each task writes its own rows into
     the partition folders, so a value holding most rows is still written
-    by all tasks in parallel.
+    by all tasks in parallel. Inside each task the rows are sorted by the
+    partition column (which the partitioned writer needs anyway) and then
+    by time, so Parquet min/max statistics let date filters skip row groups.
     """
+    part = [partition_col] if partition_col and partition_col in df.columns else []
+    order = part + [c for c in cluster_by if c in df.columns][:1]
+    if order:
+        df = df.sortWithinPartitions(*order)
     writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records)
-    if partition_col and partition_col in df.columns:
-        writer = writer.partitionBy(partition_col)
+    if part:
+        writer = writer.partitionBy(*part)
     writer.parquet(path)
     return path
 
