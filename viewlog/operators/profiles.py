@@ -62,17 +62,19 @@ def user_profiles(fact: DataFrame, end_date: Column | None = None,
     a heavy user is spread over many reducers before its final row.
     """
     end = end_date if end_date is not None else end_date_value(fact)
+    days_inactive = F.datediff(end, F.col("last_active_date"))
+    derived = {
+        "days_inactive": days_inactive,
+        "days_since_first": F.datediff("last_active_date", "first_active_date"),
+        "avg_daily_watch_seconds": F.when(
+            F.col("active_days") > 0, F.col("total_watch_seconds") / F.col("active_days"),
+        ).otherwise(F.lit(0.0)),
+        "churn_label": F.when(days_inactive >= churn_days, 1).otherwise(0),
+    }
+    # One projection over the aggregate (each DataFrame call re-analyses the plan).
     return (fact.groupBy(*USER_KEYS).agg(*_profile_aggs())
-                .withColumns({
-                    "days_inactive": F.datediff(end, F.col("last_active_date")),
-                    "days_since_first": F.datediff("last_active_date", "first_active_date"),
-                    "avg_daily_watch_seconds": F.when(
-                        F.col("active_days") > 0,
-                        F.col("total_watch_seconds") / F.col("active_days"),
-                    ).otherwise(F.lit(0.0)),
-                })
-                .withColumn("churn_label", churn_label_col(churn_days))
-                .select(*PROFILE_COLUMNS))
+                .select(*[derived[c].alias(c) if c in derived else F.col(c)
+                          for c in PROFILE_COLUMNS]))
 
 
 def churn_label_col(churn_days: int = CHURN_THRESHOLD_DAYS) -> Column:
