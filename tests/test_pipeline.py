@@ -132,3 +132,11 @@ def test_fact_reads_back_with_string_app(spark, tmp_dir):
     back = read_fact(spark, f"{tmp_dir}/fact")
     assert back.schema == FACT_SCHEMA
     assert back.first()["AppName"] == "02"
+
+
+def test_jdbc_probe_fails_loudly(spark):
+    from viewlog.sources.sinks import jdbc_probe
+
+    # No database exists here: the probe must raise, never return quietly.
+    with pytest.raises(Exception):
+        jdbc_probe(spark, jdbc_options("jdbc:postgresql://127.0.0.1:1/none", "t", user="u", password="p"))

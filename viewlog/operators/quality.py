@@ -48,3 +48,11 @@ def gate(report: DataFrame) -> dict:
     if result.get("status") == "FAIL":
         raise QualityError(f"data quality checks failed: {result}")
     return result
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """First ``n`` rows for a human look (schema via ``df.printSchema()``).
+
+    A preview only: the limit is the feature, nothing downstream reads it.
+    """
+    return df.limit(n)

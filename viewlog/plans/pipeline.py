@@ -22,7 +22,8 @@ from viewlog.operators.ingest import ingest_lines
 from viewlog.operators.profiles import user_profiles
 from viewlog.operators.quality import gate, quality_report
 from viewlog.session import size_shuffles
-from viewlog.sources.sinks import save_table, write_parquet, write_partitioned
+from viewlog.sources.sinks import (jdbc_probe, save_table, write_jdbc, write_parquet,
+                                   write_partitioned)
 from viewlog.sources.tables import read_fact, read_logs_clean
 from viewlog.sources.text import LOG_GLOB, read_text_logs, source_check
 
@@ -95,18 +96,26 @@ def transform_step(spark: SparkSession, p: Paths) -> tuple[int, int, int]:
 
 
 def load_step(spark: SparkSession, p: Paths, table_prefix: str = "",
-              external: bool = True) -> int:
-    """Register both outputs as catalog tables; returns rows loaded.
-
-    External tables keep their files under the run's output folder (shared
-    storage), so a re-run replaces them even if the catalog was reset.
+              external: bool = True, jdbc: dict[str, str] | None = None) -> int:
+    """Load both outputs; returns rows loaded.
+
+    Default: catalog tables. External tables keep their files under the
+    run's output folder (shared storage), so a re-run replaces them even if
+    the catalog was reset. With ``jdbc`` options (see ``jdbc_options``) the
+    database is probed first, then each table is written by all tasks in
+    parallel, in batches.
     """
+    outputs = (("fact_sessions", read_fact(spark, p.fact)),
+               ("user_profiles", spark.read.parquet(p.profiles)))
+    if jdbc is not None:
+        jdbc_probe(spark, jdbc)
+        for name, df in outputs:
+            write_jdbc(df, {**jdbc, "dbtable": f"{table_prefix}{name}"})
+        return sum(spark.read.parquet(path).count() for path in (p.fact, p.profiles))
     n = 0
-    for name, df in (("fact_sessions", read_fact(spark, p.fact)),
-                     ("user_profiles", spark.read.parquet(p.profiles))):
+    for name, df in outputs:
         table = f"{table_prefix}{name}"
-        save_table(df, table,
-                   path=f"{p.out}/tables/{table}" if external else None)
+        save_table(df, table, path=f"{p.out}/tables/{table}" if external else None)
         n += spark.table(table).count()
     return n
 
@@ -145,7 +154,7 @@ def run_summary(spark: SparkSession, result: RunResult) -> DataFrame:
 
 def run(spark: SparkSession, raw_dir: str, out_dir: str, glob: str = LOG_GLOB,
         steps: tuple[str, ...] = ("check", "ingest", "transform", "load", "quality", "reports"),
-        table_prefix: str = "") -> RunResult:
+        table_prefix: str = "", jdbc: dict[str, str] | None = None) -> RunResult:
     p = Paths(raw_dir.rstrip("/"), out_dir.rstrip("/"), glob)
     result = RunResult(run_id=datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f"))
 
@@ -164,7 +173,7 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, glob: str = LOG_GLOB,
     if "transform" in steps:
         timed("transform", lambda: transform_step(spark, p))
     if "load" in steps:
-        timed("load", lambda: load_step(spark, p, table_prefix))
+        timed("load", lambda: load_step(spark, p, table_prefix, jdbc=jdbc))
     if "quality" in steps:
         result.quality = timed("quality", lambda: quality_step(spark, p))
     if "reports" in steps:

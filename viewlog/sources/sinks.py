@@ -85,6 +85,17 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
     return opts
 
 
+def jdbc_probe(spark: SparkSession, options: dict[str, str]) -> bool:
+    """Run ``SELECT 1`` on the target database; raises if it is unreachable.
+
+    Call before a load so a bad connection fails the run up front instead of
+    after the upstream steps have finished.
+    """
+    probe = {k: v for k, v in options.items() if k not in ("dbtable", "batchsize", "truncate")}
+    row = spark.read.format("jdbc").options(**probe).option("query", "SELECT 1 AS ok").load().first()
+    return row is not None and row[0] == 1
+
+
 def write_jdbc(df: DataFrame, options: dict[str, str]) -> None:
     """Distributed load into a database table: each task inserts its rows.
 
