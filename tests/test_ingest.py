@@ -59,7 +59,9 @@ def test_alias_clash_prefers_canonical(spark):
 def test_legacy_long_cast(spark):
     cases = {"12.7": 12, "-3.": -3, ".5": 0, "-.5": 0, ".": 0, "1e3": None, "abc": None,
              " 42 ": 42, "\t7\n": 7, "+8": 8, "-": None, "": None, "99999999999999999999": None,
-             "9223372036854775807": 9223372036854775807, "0012": 12, "1,000": None}
+             "9223372036854775807": 9223372036854775807, "0012": 12, "1,000": None,
+             "+.": 0, "1.5e3": None, "99999999999999999999.5": None, "  -0012.9 ": -12,
+             "\x00 5": 5, "1.2.3": None, "--1": None, "9223372036854775808": None}
     df = spark.createDataFrame([(k,) for k in cases], "v string")
     got = {r["v"]: r["n"] for r in df.select("v", legacy_long(F.col("v")).alias("n")).collect()}
     assert got == cases

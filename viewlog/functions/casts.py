@@ -13,19 +13,22 @@ from pyspark.sql import functions as F
 from viewlog.schema import SESSION_TS_PATTERN
 
 # Leading/trailing whitespace and control characters, as the old cast trimmed.
-_EDGES = r"^[\x00-\x20]+|[\x00-\x20]+$"
+_EDGE_CHARS = "".join(chr(i) for i in range(0x21))
 
 
 def legacy_long(c: Column) -> Column:
     """String -> BIGINT like the old non-ANSI cast.
 
     '12.7' -> 12, '-3.' -> -3, '.5' -> 0, '1e3' -> NULL, 'abc' -> NULL,
-    out-of-range -> NULL.
+    out-of-range -> NULL. Plain integers take the direct cast; only text
+    that fails it is matched against the decimal pattern.
     """
-    v = F.regexp_replace(c, _EDGES, "")
-    whole = F.regexp_extract(v, r"^([+-]?[0-9]+)([.][0-9]*)?$", 1)
-    return (F.when(v.rlike(r"^[+-]?[.][0-9]*$"), F.lit(0).cast("bigint"))
-             .otherwise(F.when(whole != "", whole).try_cast("bigint")))
+    v = F.trim(c, F.lit(_EDGE_CHARS))
+    whole = F.regexp_extract(v, r"^([+-]?[0-9]*)[.][0-9]*$", 1)
+    truncated = (F.when(whole.isin("", "+", "-"), F.lit(0).cast("bigint"))
+                  .otherwise(whole.try_cast("bigint")))
+    return F.coalesce(v.try_cast("bigint"),
+                      F.when(v.rlike(r"^[+-]?[0-9]*[.][0-9]*$"), truncated))
 
 
 def try_float(c: Column) -> Column:
