@@ -38,9 +38,14 @@ def try_float(c: Column) -> Column:
 def session_timestamp(menu: Column) -> Column:
     """First ':YYYY:MM:DD:HH:MM:SS' in SessionMainMenu as TIMESTAMP_NTZ.
 
-    No match, or an impossible date or time, gives NULL.
+    No match, or an impossible date or time, gives NULL. The matched text has
+    fixed positions, so it is rearranged with substrings, not another regex.
     """
     raw = F.regexp_extract(menu, SESSION_TS_PATTERN, 1)
-    text = F.regexp_replace(raw, r"^(\d{4}):(\d{2}):(\d{2}):(\d{2}):(\d{2}):(\d{2})$",
-                            "$1-$2-$3 $4:$5:$6")
+
+    def part(pos: int, n: int) -> Column:
+        return F.substring(raw, pos, n)
+
+    text = F.concat(part(1, 4), F.lit("-"), part(6, 2), F.lit("-"), part(9, 2), F.lit(" "),
+                    part(12, 2), F.lit(":"), part(15, 2), F.lit(":"), part(18, 2))
     return F.when(raw != "", text).try_cast("timestamp_ntz")
