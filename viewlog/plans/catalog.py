@@ -10,14 +10,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from viewlog.operators import clean as C
 from viewlog.operators import features as D
+from viewlog.operators import ingest as I
 from viewlog.operators import profiles as A
 from viewlog.operators import reports as R
+from viewlog.operators.quality import quality_report
 from viewlog.plans import oracle as O
 from viewlog.plans.transform import fact_ev, fact_or, profiles_or
-from viewlog.sources.tables import load_sessions_ev, load_sessions_ev_dup
+from viewlog.session import work_path
+from viewlog.sources import sinks as S
+from viewlog.sources.tables import (load_raw_lines, load_sessions_ev, load_sessions_ev_dup,
+                                    read_fact, read_logs_clean)
+from viewlog.sources.text import read_text_logs, source_check
+from viewlog.streaming.incremental import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,7 +42,7 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-qn, rnd = O.q, O.rnd
+rnd = O.rnd
 
 # --- cleaning ---------------------------------------------------------------
 
@@ -244,9 +252,6 @@ FROM ({O.FACT_OR})""")(lambda s, d: A.session_rank(fact_or(s, d)))
 
 # --- ingest of dict-literal lines rendered from events -----------------------
 
-from viewlog.operators import ingest as I  # noqa: E402
-from viewlog.sources.tables import load_raw_lines  # noqa: E402
-
 
 def _ingest(s: SparkSession, d: str) -> DataFrame:
     return I.ingest_lines(load_raw_lines(s, d))
@@ -277,13 +282,6 @@ FROM ({O.LOGS_FROM_LINES})""")(lambda s, d: I.null_counts(_ingest(s, d)))
 # These write intermediate files under the shared checkpoint folder
 # (spark.checkpoint.dir), each query into a fresh location.
 
-from viewlog.operators.quality import quality_report  # noqa: E402
-from viewlog.session import work_path  # noqa: E402
-from viewlog.sources import sinks as S  # noqa: E402
-from viewlog.sources.tables import read_fact, read_logs_clean  # noqa: E402
-from viewlog.sources.text import read_text_logs, source_check  # noqa: E402
-from viewlog.streaming.incremental import ingest_new_files  # noqa: E402
-
 
 def _written_lines(s: SparkSession, d: str) -> str:
     path = work_path(s, "raw-lines")
@@ -325,8 +323,6 @@ def _incremental(s: SparkSession, d: str) -> DataFrame:
     return read_logs_clean(s, out)
 
 
-from pyspark.sql import functions as F  # noqa: E402
-
 register("text_scan", f"SELECT * FROM ({O.LOGS_FROM_LINES})")(_text_scan)
 register("roundtrip_partitioned", f"SELECT * FROM ({O.LOGS_FROM_LINES})")(_roundtrip_partitioned)
 register("roundtrip_fact", O.FACT_EV)(_roundtrip_fact)
