@@ -140,3 +140,28 @@ def test_jdbc_probe_fails_loudly(spark):
     # No database exists here: the probe must raise, never return quietly.
     with pytest.raises(Exception):
         jdbc_probe(spark, jdbc_options("jdbc:postgresql://127.0.0.1:1/none", "t", user="u", password="p"))
+
+
+def test_incremental_ingest_restart_is_exactly_once(spark, tmp_dir):
+    from viewlog.streaming.incremental import start_incremental_ingest
+
+    raw, out, ckpt = f"{tmp_dir}/raw", f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    for i in range(3):
+        write_logs(spark, raw, f"logt000{i}.txt")
+    # First run: one file per micro-batch, stopped after the first batch.
+    q = start_incremental_ingest(spark, raw, out, ckpt, max_files_per_batch=1,
+                                 available_now=False, processing_time="1 second")
+    import time
+
+    deadline = time.time() + 60
+    while time.time() < deadline and not q.recentProgress:
+        time.sleep(0.2)
+    q.stop()
+    partial = read_logs_clean(spark, out).count()
+    # Restart from the checkpoint: the rest is ingested, nothing twice.
+    ingest_new_files(spark, raw, out, ckpt)
+    from viewlog.operators.ingest import ingest_lines
+
+    per_file = ingest_lines(read_text_logs(spark, raw, "logt0000.txt")).count()
+    assert 0 < partial < 3 * per_file
+    assert read_logs_clean(spark, out).count() == 3 * per_file
