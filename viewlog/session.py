@@ -23,6 +23,24 @@ BASE_CONF: dict[str, str] = {
 }
 
 
+# Suggested additions for large clusters (pass as ``extra`` or spark-submit
+# --conf). Partition sizes keep reducers and Arrow batches well inside
+# executor memory; decommissioning migrates shuffle files off executors that
+# are being lost, and speculation re-runs stragglers.
+CLUSTER_CONF: dict[str, str] = {
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
+    "spark.decommission.enabled": "true",
+    "spark.storage.decommission.enabled": "true",
+    "spark.storage.decommission.shuffleBlocks.enabled": "true",
+    "spark.speculation": "true",
+    "spark.task.maxFailures": "8",
+}
+
+
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app_name: str = "viewlog", extra: dict[str, str] | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
