@@ -1,0 +1 @@
+"""Lazy DataFrame -> DataFrame operators: ingest, clean, features, profiles, reports, quality."""

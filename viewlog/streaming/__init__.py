@@ -1,0 +1 @@
+"""Structured Streaming: incremental ingest of new log files."""
