@@ -11,13 +11,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewlog.functions.casts import legacy_long, session_timestamp, try_float
-from viewlog.functions.parse import parse_record
+from viewlog.functions.parse import parse_records
 from viewlog.schema import COLUMN_ALIASES, KEEP_FIELDS, REQUIRED_KEYS
 
 
 def parse_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """Text lines -> ``rec`` map; lines that are not dict literals are dropped."""
-    return lines.select(parse_record(col).alias("rec")).where(F.col("rec").isNotNull())
+    return parse_records(lines, col).where(F.col("rec").isNotNull())
 
 
 def has_required_key(rec: str = "rec") -> Column:
@@ -85,7 +85,7 @@ def discover_columns(lines: DataFrame, col: str = "value") -> DataFrame:
 
 def ingest_counts(lines: DataFrame, col: str = "value") -> DataFrame:
     """Lines read, parsed, kept and rejected, in one pass over the text."""
-    recs = lines.select(parse_record(col).alias("rec"))
+    recs = parse_records(lines, col)
     staged = recs.select(F.col("rec").isNotNull().alias("parsed"),
                          F.coalesce(has_required_key(), F.lit(False)).alias("kept"))
     return staged.agg(
