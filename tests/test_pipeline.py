@@ -165,3 +165,17 @@ def test_incremental_ingest_restart_is_exactly_once(spark, tmp_dir):
     per_file = ingest_lines(read_text_logs(spark, raw, "logt0000.txt")).count()
     assert 0 < partial <= 3 * per_file
     assert read_logs_clean(spark, out).count() == 3 * per_file
+
+
+def test_command_line_runs_chosen_steps(spark, tmp_dir, capsys):
+    import json as _json
+
+    from viewlog.__main__ import main
+
+    write_logs(spark, f"{tmp_dir}/raw")
+    assert main(["--raw", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/out",
+                 "--steps", "check,ingest,transform"]) == 0
+    steps = [_json.loads(x)["step"] for x in capsys.readouterr().out.strip().splitlines()]
+    assert steps == ["check", "ingest", "transform"]
+    with pytest.raises(SystemExit):
+        main(["--raw", "x", "--out", "y", "--steps", "nope"])
