@@ -59,6 +59,11 @@ def test_source_check_counts_files(spark, tmp_dir):
     write_logs(spark, tmp_dir, "other.txt")
     r = source_check(spark, tmp_dir).first()
     assert r["files"] == 2 and r["has_files"] and r["total_mb"] > 0
+    from viewlog.sources.text import list_sources
+    from viewlog.operators.quality import preview
+
+    assert [x["file"] for x in list_sources(spark, tmp_dir).collect()] == ["logt0001.txt", "logt0002.txt"]
+    assert preview(read_text_logs(spark, tmp_dir), 3).count() == 3
 
 
 def test_gate_fails_on_empty_fact(spark):

@@ -25,7 +25,3 @@ def fact_or(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def profiles_or(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_profiles(fact_or(spark, sf_dir))
-
-
-def profiles_ev(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return user_profiles(fact_ev(spark, sf_dir))

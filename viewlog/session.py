@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -106,12 +105,3 @@ def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location for an intermediate table in the shared folder."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/viewlog-work/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for local file-system checks."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def exists_local(path: str) -> bool:
-    return os.path.exists(local_path(path))
