@@ -104,10 +104,12 @@ def session_rank(fact: DataFrame) -> DataFrame:
 
     A plain ``row_number`` over ``partitionBy("Mac")`` would sort a heavy
     user's whole history in one task. Instead rows are numbered inside
-    (user, hour) slices, and each slice gets an offset: the number of the
+    (user, minute) slices, and each slice gets an offset: the number of the
     user's rows in earlier slices. The offset table has one row per
-    (user, hour), so its per-user window is bounded by the calendar span,
-    and the slice window by what one device can log in an hour.
+    (user, minute), so its per-user window is bounded by the calendar span
+    (525,600 minutes a year), not by the data; the slice window is bounded
+    by what one device can log in a minute. Minute slices cost the same as
+    hour slices at sf0.1 and bound a bursty device 60 times tighter.
 
     The slice counts are taken from the events again rather than from the
     numbered rows: column pruning turns that branch into a keys-only hash
@@ -115,8 +117,8 @@ def session_rank(fact: DataFrame) -> DataFrame:
     broadcasts the offsets in the join only once their measured size is small.
     """
     keys = ["Mac", "session_timestamp", "Event", "ItemId"]
-    hour = F.date_trunc("HOUR", "session_timestamp").alias("_slice")
-    sliced = fact.select(*fact.columns, hour)
+    minute = F.date_trunc("MINUTE", "session_timestamp").alias("_slice")
+    sliced = fact.select(*fact.columns, minute)
     local = F.row_number().over(
         Window.partitionBy("Mac", "_slice").orderBy(*[F.asc_nulls_first(k) for k in keys[1:]]))
     offsets = (sliced.groupBy("Mac", "_slice").agg(F.count(F.lit(1)).alias("_n"))
