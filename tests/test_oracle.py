@@ -60,3 +60,33 @@ def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["session_date", "dau", "total_events", "avg_watch_sec"]
     assert df.count() > 0
+
+
+SURVEY_KEYS = {
+    # §2.1 sources and sinks
+    "text_scan", "source_check", "roundtrip_partitioned", "roundtrip_fact", "load_table", "load_verify",
+    # §2.2 parsing
+    "parse_lines", "ingest_counts", "discover_columns",
+    # §2.3 projection, renaming, casting
+    "normalize_columns", "parse_session_timestamp", "select_and_cast", "fact_sessions",
+    # §2.4 cleaning
+    "dedup_sessions", "filter_not_null", "fill_nulls", "normalize_text", "clean_audit",
+    # §2.5 features
+    "session_features", "date_parts", "completion_rate", "watch_category", "time_flags",
+    # §2.6 profiles
+    "user_profiles", "dataset_end_date", "most_used_app", "user_recency", "user_daily_watch",
+    "churn_label", "null_counts",
+    # §2.7 windows
+    "session_rank", "latest_event_per_user",
+    # §2.8 reports
+    "daily_active_users", "top_content", "activity_heatmap", "app_usage", "churn_analysis",
+    "cohort_retention", "completion_buckets", "last_action", "monthly_active_users",
+    "events_by_app", "active_hours", "watch_time_by_bucket", "crashed_share",
+    "completion_by_entry", "mau_change",
+    # §2.9 quality and run summary
+    "quality_report", "run_summary",
+}
+
+
+def test_survey_keys_are_registered():
+    assert SURVEY_KEYS <= set(E.queries())
