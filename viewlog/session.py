@@ -88,7 +88,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     with the executor that wrote it. Only a local-mode session (tests, bench)
     gets a fresh folder under the system temp dir when it is unset.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: only the conf is visible
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
+        return current
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not sc.getCheckpointDir():

@@ -183,7 +183,9 @@ def load_raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     large, already-parallel input is not shuffled.
     """
     lines = raw_lines(read_table(spark, sf_dir, "events"))
-    cores = spark.sparkContext.defaultParallelism
-    if lines.rdd.getNumPartitions() < cores:
-        lines = lines.repartition(cores)
-    return lines
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        parts = lines.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - sessions without the RDD API (Spark Connect)
+        return lines
+    return lines.repartition(cores) if parts < cores else lines
