@@ -7,6 +7,7 @@ pre-registered views of the same tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -304,16 +305,24 @@ def _roundtrip_fact(s: SparkSession, d: str) -> DataFrame:
     return s.read.parquet(path)
 
 
+def _table_name(prefix: str) -> str:
+    return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
 def _load_table(s: SparkSession, d: str) -> DataFrame:
-    name = work_path(s, "t").rsplit("/", 1)[-1].replace("-", "_")
-    S.save_table(fact_ev(s, d), f"fact_sessions_{name}", path=work_path(s, "table"))
-    return s.table(f"fact_sessions_{name}")
+    name = _table_name("fact_sessions")
+    S.save_table(fact_ev(s, d), name, path=work_path(s, "table"))
+    return s.table(name)
 
 
 def _load_verify(s: SparkSession, d: str) -> DataFrame:
-    name = "fact_sessions_" + work_path(s, "t").rsplit("/", 1)[-1].replace("-", "_")
-    S.save_table(fact_ev(s, d), name, path=work_path(s, "table"))
-    return S.verify_load(s, name, fact_ev(s, d)).withColumn("table_name", F.lit("fact_sessions"))
+    """As in the pipeline: load from the written fact, verify against its files."""
+    path = work_path(s, "fact")
+    S.write_parquet(fact_ev(s, d), path)
+    written = s.read.parquet(path)
+    name = _table_name("fact_sessions")
+    S.save_table(written, name, path=work_path(s, "table"))
+    return S.verify_load(s, name, written).withColumn("table_name", F.lit("fact_sessions"))
 
 
 def _incremental(s: SparkSession, d: str) -> DataFrame:
@@ -333,16 +342,19 @@ SELECT 'fact_sessions' AS table_name, count(*) AS source_rows, count(*) AS loade
 register("incremental_ingest", f"SELECT * FROM ({O.LOGS_FROM_LINES})")(_incremental)
 register("source_check")(lambda s, d: source_check(s, d, glob="*.parquet"))
 register("quality_report", f"""
-WITH f AS ({O.FACT_EV})
-SELECT count(*) AS fact_rows, (SELECT count(*) FROM ({O.PROFILES_EV})) AS profile_rows,
-  count(*) FILTER (WHERE "Mac" IS NULL) AS null_mac,
-  CASE WHEN count(*) > 0 THEN {O.rnd('count(*) FILTER (WHERE "Mac" IS NULL) * 100.0 / count(*)', 2)}
-       ELSE 0.0 END AS null_mac_pct,
-  min(session_date) AS min_date, max(session_date) AS max_date,
-  CASE WHEN count(*) = 0 THEN 'FAIL' ELSE 'OK' END AS row_count_status,
-  'OK' AS null_mac_status,
-  CASE WHEN count(*) = 0 THEN 'FAIL' ELSE 'OK' END AS status
-FROM f""")(lambda s, d: _quality(s, d))
+WITH f AS ({O.FACT_EV}),
+r AS (
+  SELECT count(*) AS fact_rows, (SELECT count(*) FROM ({O.PROFILES_EV})) AS profile_rows,
+    count(*) FILTER (WHERE "Mac" IS NULL) AS null_mac,
+    CASE WHEN count(*) > 0 THEN {O.rnd('count(*) FILTER (WHERE "Mac" IS NULL) * 100.0 / count(*)', 2)}
+         ELSE 0.0 END AS null_mac_pct,
+    min(session_date) AS min_date, max(session_date) AS max_date
+  FROM f)
+SELECT *,
+  CASE WHEN fact_rows = 0 THEN 'FAIL' ELSE 'OK' END AS row_count_status,
+  CASE WHEN null_mac_pct > 5 THEN 'WARN' ELSE 'OK' END AS null_mac_status,
+  CASE WHEN fact_rows = 0 THEN 'FAIL' WHEN null_mac_pct > 5 THEN 'WARN' ELSE 'OK' END AS status
+FROM r""")(lambda s, d: _quality(s, d))
 
 
 def _quality(s: SparkSession, d: str) -> DataFrame:
