@@ -328,7 +328,7 @@ def _load_verify(s: SparkSession, d: str) -> DataFrame:
 def _incremental(s: SparkSession, d: str) -> DataFrame:
     raw = _written_lines(s, d)
     out, ckpt = work_path(s, "stream-out"), work_path(s, "stream-ckpt")
-    ingest_new_files(s, raw, out, ckpt, glob="part-*")
+    ingest_new_files(s, raw, out, ckpt, glob="part-*", timeout_s=1800)
     return read_logs_clean(s, out)
 
 
