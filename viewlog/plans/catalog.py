@@ -20,13 +20,13 @@ from viewlog.operators import profiles as A
 from viewlog.operators import reports as R
 from viewlog.operators.quality import quality_report
 from viewlog.plans import oracle as O
-from viewlog.plans.transform import fact_ev, fact_or, profiles_or
+from viewlog.plans.transform import build_fact, fact_ev, fact_or, profiles_or
 from viewlog.session import work_path
 from viewlog.sources import sinks as S
 from viewlog.sources.tables import (load_raw_lines, load_sessions_ev, load_sessions_ev_dup,
                                     read_fact, read_logs_clean)
 from viewlog.sources.text import read_text_logs, source_check
-from viewlog.streaming.incremental import ingest_new_files
+from viewlog.streaming.incremental import ingest_new_files, refresh_fact
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -332,7 +332,18 @@ def _incremental(s: SparkSession, d: str) -> DataFrame:
     return read_logs_clean(s, out)
 
 
+def _incremental_fact(s: SparkSession, d: str) -> DataFrame:
+    """Streaming ingest of the log files, then the incremental fact refresh."""
+    raw = _written_lines(s, d)
+    logs, fact = work_path(s, "stream-logs"), work_path(s, "stream-fact")
+    ingest_new_files(s, raw, logs, work_path(s, "ck-ingest"), glob="part-*", timeout_s=1800)
+    refresh_fact(s, logs, fact, work_path(s, "ck-fact"), timeout_s=1800)
+    return read_fact(s, fact)
+
+
 register("text_scan", f"SELECT * FROM ({O.LOGS_FROM_LINES})")(_text_scan)
+register("transform_lines", O.FACT_FROM_LINES)(lambda s, d: build_fact(_ingest(s, d)))
+register("incremental_fact", O.FACT_FROM_LINES)(_incremental_fact)
 register("roundtrip_partitioned", f"SELECT * FROM ({O.LOGS_FROM_LINES})")(_roundtrip_partitioned)
 register("roundtrip_fact", O.FACT_EV)(_roundtrip_fact)
 register("load_table", O.FACT_EV)(_load_table)

@@ -265,3 +265,14 @@ SELECT count(*) + count(*) FILTER (WHERE event_id % 50 = 0) AS lines,
   count(*) FILTER (WHERE event_id % 50 = 0 AND {_KIND} <> 4) AS rejected
 FROM events
 """
+
+LOGS_COLS = KEEP + ["session_timestamp"]
+
+
+def fact_from_logs(logs_sql: str) -> str:
+    """The fact table built from ``logs_clean``-shaped rows (all 16 columns)."""
+    cleaned = fill_and_normalize(dedup(not_null(logs_sql), LOGS_COLS))
+    return f"SELECT {cols(FACT_COLS)} FROM ({features(cleaned)})"
+
+
+FACT_FROM_LINES = fact_from_logs(LOGS_FROM_LINES)
