@@ -24,18 +24,24 @@ def main(argv: list[str] | None = None) -> int:
                     help=f"comma-separated subset of {','.join(STEPS)} (default: all)")
     ap.add_argument("--table-prefix", default="", help="prefix for the catalog tables")
     ap.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
+    ap.add_argument("--incremental", action="store_true",
+                    help="process only files new since the last run and rebuild the dates they touch")
     args = ap.parse_args(argv)
     steps = tuple(s.strip() for s in args.steps.split(",") if s.strip())
     unknown = [s for s in steps if s not in STEPS]
     if unknown:
         ap.error(f"unknown steps: {unknown}")
 
-    from viewlog.plans.pipeline import run
+    from viewlog.plans.pipeline import run, run_incremental
     from viewlog.session import get_spark
 
     spark = get_spark(args.master, app_name="viewlog-pipeline")
-    result = run(spark, args.raw, args.out, glob=args.glob, steps=steps,
-                 table_prefix=args.table_prefix)
+    if args.incremental:
+        result = run_incremental(spark, args.raw, args.out, glob=args.glob,
+                                 table_prefix=args.table_prefix)
+    else:
+        result = run(spark, args.raw, args.out, glob=args.glob, steps=steps,
+                     table_prefix=args.table_prefix)
     for step, seconds, rows in result.steps:
         print(json.dumps({"run_id": result.run_id, "step": step,
                           "seconds": round(seconds, 3), "rows": rows}))
