@@ -131,19 +131,26 @@ FACT_REPORTS = ("daily_active_users", "top_content", "activity_heatmap", "app_us
 PROFILE_REPORTS = ("churn_analysis", "cohort_retention")
 
 
-def report_step(spark: SparkSession, p: Paths) -> int:
+def report_step(spark: SparkSession, p: Paths, parallel: int = 4) -> int:
     """Write every report, computed from the written fact table and profiles.
 
     Reading the AppName-partitioned fact lets the VOD reports prune to one
-    folder; each report is one aggregate job over pruned columns.
+    folder; each report is one aggregate job over pruned columns. The jobs
+    are independent, so up to ``parallel`` of them run at once in the same
+    session, keeping the cluster busy while small stages finish.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     fact, profiles = read_fact(spark, p.fact), spark.read.parquet(p.profiles)
-    n = 0
-    for name in FACT_REPORTS + PROFILE_REPORTS:
+
+    def one(name: str) -> int:
         src = fact if name in FACT_REPORTS else profiles
-        write_parquet(getattr(reports, name)(src), f"{p.out}/reports/{name}.parquet")
-        n += 1
-    return n
+        return write_parquet(getattr(reports, name)(src), f"{p.out}/reports/{name}.parquet")
+
+    names = FACT_REPORTS + PROFILE_REPORTS
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        list(pool.map(one, names))  # re-raises the first failure
+    return len(names)
 
 
 def run_summary(spark: SparkSession, result: RunResult) -> DataFrame:
