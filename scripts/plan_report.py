@@ -21,7 +21,7 @@ from viewlog.plans.catalog import QUERIES  # noqa: E402
 from viewlog.session import get_spark  # noqa: E402
 
 OPS = ["HashAggregate", "ObjectHashAggregate", "SortAggregate", "Window", "Expand",
-       "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "ArrowEvalPython",
+       "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "ArrowEvalPython", "MapInPandas",
        "TakeOrderedAndProject", "Subquery"]
 
 
