@@ -25,10 +25,24 @@ OPS = ["HashAggregate", "ObjectHashAggregate", "SortAggregate", "Window", "Expan
        "TakeOrderedAndProject", "Subquery"]
 
 
+_NODE = re.compile(r"^[\s:|]*(\+- )?(\*\(\d+\) )?([A-Z][A-Za-z]+|== )")
+
+
+def _node_lines(tree: str) -> list[str]:
+    """Plan lines, with expression text that contains newlines rejoined."""
+    out: list[str] = []
+    for line in tree.split("\n"):
+        if out and not _NODE.match(line):
+            out[-1] += " " + line.strip()
+        else:
+            out.append(line)
+    return out
+
+
 def final_only(tree: str) -> str:
     """Drop every "== Initial Plan ==" section (main query and subqueries)."""
     keep, skip_at = [], None
-    for line in tree.split("\n"):
+    for line in _node_lines(tree):
         depth = len(line) - len(line.lstrip(" :+-|"))
         if skip_at is not None and depth >= skip_at:
             continue
