@@ -58,8 +58,11 @@ def summarize(plan: str, formatted: str) -> dict:
     scans = re.findall(r"ReadSchema: struct<([^>]*)>", formatted)
     pushed = sorted({p for p in re.findall(r"PushedFilters: \[([^\]]*)\]", formatted) if p})
     ops = Counter()
+    lines = plan.split("\n")
     for op in OPS:
-        ops[op] = len(re.findall(rf"\b{op}\b", plan))
+        # Count plan nodes (the operator name starting a tree line), not mentions.
+        node = re.compile(rf"^[\s:|]*(\+- )?(\*\(\d+\) )?{op}\b")
+        ops[op] = sum(1 for line in lines if node.match(line))
     return {
         "scan_columns": sorted({len(s.split(",")) for s in scans}),
         "pushed": pushed,
