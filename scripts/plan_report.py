@@ -22,7 +22,7 @@ from viewlog.session import get_spark  # noqa: E402
 
 OPS = ["HashAggregate", "ObjectHashAggregate", "SortAggregate", "Window", "Expand",
        "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "ArrowEvalPython", "MapInPandas",
-       "TakeOrderedAndProject", "Subquery"]
+       "TakeOrderedAndProject", "Subquery", "ReusedSubquery"]
 
 
 _NODE = re.compile(r"^[\s:|]*(\+- )?(\*\(\d+\) )?([A-Z][A-Za-z]+|== )")
