@@ -15,6 +15,10 @@ BASE_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Broadcast joins only from sizes measured at run time (AQE), never from
+    # plan-time estimates.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     # Partition values such as "02" must stay strings on read (AppName).
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.ui.enabled": "false",
