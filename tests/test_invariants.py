@@ -87,3 +87,12 @@ def test_mode_ties_resolve_to_smallest(spark):
         "Mac string, CustomerID string, Contract string, AppName string")
     got = {r["Mac"]: r["most_used_app"] for r in A.most_used_app(df).collect()}
     assert got == {"m": "A", "n": None}
+
+
+@pytest.mark.parametrize("which", ["events", "orders"])
+def test_profiles_from_summaries_equal_direct(spark, fact, fact_multi, which):
+    f = fact if which == "events" else fact_multi
+    direct = A.user_profiles(f)
+    parts = A.profiles_from_summaries(A.user_day_summary(f), A.user_day_apps(f), A.user_day_items(f))
+    assert parts.schema == direct.schema
+    assert parts.exceptAll(direct).count() == 0 and direct.exceptAll(parts).count() == 0

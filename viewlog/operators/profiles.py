@@ -133,3 +133,99 @@ def session_rank(fact: DataFrame) -> DataFrame:
     return (ranked.join(offsets, on=["Mac", "_slice"])
                   .select(*fact.columns,
                           (F.col("_offset") + F.col("_local")).cast("int").alias("session_rank")))
+
+
+# --- profiles from per-day summaries -------------------------------------------
+# Every profile column is a sum, max/min, or a distinct count whose per-day
+# parts add up exactly: distinct (date, hour) pairs are the per-day distinct
+# hours summed; active days are the user-day rows; distinct items and apps
+# come from per-day distinct sets. So profiles can be computed from three
+# summary tables keyed by (user, date), each much smaller than the events,
+# and refreshed per date like the fact table.
+
+
+def user_day_summary(fact: DataFrame) -> DataFrame:
+    """One row per (user, date) with the additive parts of a profile."""
+    units = F.round(F.col("completion_rate") * 10_000).cast("bigint")
+    return fact.groupBy(*USER_KEYS, "session_date").agg(
+        F.count(F.lit(1)).alias("events"),
+        F.sum("RealTimePlaying").alias("watch_sum"),
+        F.max("RealTimePlaying").alias("watch_max"),
+        F.countDistinct("hour_of_day").alias("hours"),
+        F.sum("is_primetime").alias("prime"),
+        F.sum("is_weekend").alias("weekend"),
+        F.sum(units).alias("comp_units"),
+        F.count("completion_rate").alias("comp_cnt"),
+    )
+
+
+def user_day_apps(fact: DataFrame) -> DataFrame:
+    """Events per (user, date, app); NULL apps are left out, as in ``mode``."""
+    return (fact.where(F.col("AppName").isNotNull())
+                .groupBy(*USER_KEYS, "session_date", "AppName")
+                .agg(F.count(F.lit(1)).alias("n")))
+
+
+def user_day_items(fact: DataFrame) -> DataFrame:
+    """Distinct (user, date, item)."""
+    return (fact.where(F.col("ItemId").isNotNull())
+                .select(*USER_KEYS, "session_date", "ItemId").distinct())
+
+
+def _null_safe_on(left: DataFrame, right: DataFrame) -> Column:
+    cond = None
+    for k in USER_KEYS:
+        c = left[k].eqNullSafe(right[k])
+        cond = c if cond is None else cond & c
+    return cond
+
+
+def profiles_from_summaries(days: DataFrame, apps: DataFrame, items: DataFrame,
+                            churn_days: int = CHURN_THRESHOLD_DAYS) -> DataFrame:
+    """Same rows as ``user_profiles(fact)``, from the three per-day summaries.
+
+    Three per-user aggregates (one row per user each) joined on the user
+    keys, NULL-safe because CustomerID and Contract may be NULL.
+    """
+    end = days.select(F.max("session_date")).scalar()
+    base = days.groupBy(*USER_KEYS).agg(
+        F.coalesce(F.sum("events"), F.lit(0).cast("bigint")).alias("total_events"),
+        F.count(F.lit(1)).alias("active_days"),
+        F.coalesce(F.sum("hours"), F.lit(0).cast("bigint")).alias("session_count"),
+        F.sum("watch_sum").alias("total_watch_seconds"),
+        F.max("watch_max").alias("max_single_watch"),
+        F.max("session_date").alias("last_active_date"),
+        F.min("session_date").alias("first_active_date"),
+        F.sum("prime").alias("_prime"), F.sum("weekend").alias("_weekend"),
+        F.sum("comp_units").alias("_units"), F.sum("comp_cnt").alias("_comp"),
+    )
+    per_app = apps.groupBy(*USER_KEYS, "AppName").agg(F.sum("n").alias("n"))
+    app_side = per_app.groupBy(*USER_KEYS).agg(
+        F.count(F.lit(1)).alias("unique_apps_used"),
+        # Highest count, then smallest name: the deterministic mode.
+        F.min(F.struct((-F.col("n")).alias("neg_n"), F.col("AppName").alias("app")))
+         .alias("_top"))
+    item_side = items.groupBy(*USER_KEYS).agg(
+        F.countDistinct("ItemId").alias("unique_content_watched"))
+    joined = (base.join(app_side, _null_safe_on(base, app_side), "left")
+                  .select(base["*"], app_side["unique_apps_used"], app_side["_top"]))
+    joined = (joined.join(item_side, _null_safe_on(joined, item_side), "left")
+                    .select(joined["*"], item_side["unique_content_watched"]))
+    days_inactive = F.datediff(end, F.col("last_active_date"))
+    derived = {
+        "avg_watch_per_event": F.col("total_watch_seconds") / F.col("total_events"),
+        "primetime_ratio": F.col("_prime") / F.col("total_events"),
+        "weekend_ratio": F.col("_weekend") / F.col("total_events"),
+        "avg_completion_rate": F.try_divide(F.col("_units") / F.lit(10_000.0), F.col("_comp")),
+        "unique_content_watched": F.coalesce(F.col("unique_content_watched"), F.lit(0).cast("bigint")),
+        "unique_apps_used": F.coalesce(F.col("unique_apps_used"), F.lit(0).cast("bigint")),
+        "most_used_app": F.col("_top.app"),
+        "days_inactive": days_inactive,
+        "days_since_first": F.datediff("last_active_date", "first_active_date"),
+        "avg_daily_watch_seconds": F.when(
+            F.col("active_days") > 0, F.col("total_watch_seconds") / F.col("active_days"),
+        ).otherwise(F.lit(0.0)),
+        "churn_label": F.when(days_inactive >= churn_days, 1).otherwise(0),
+    }
+    return joined.select(*[derived[c].alias(c) if c in derived else F.col(c)
+                           for c in PROFILE_COLUMNS])

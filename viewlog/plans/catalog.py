@@ -206,6 +206,13 @@ FROM (SELECT year, month, active_users,
 
 register("user_profiles", O.PROFILES_OR)(profiles_or)
 
+def _profiles_via_summaries(s: SparkSession, d: str) -> DataFrame:
+    f = fact_or(s, d)
+    return A.profiles_from_summaries(A.user_day_summary(f), A.user_day_apps(f), A.user_day_items(f))
+
+
+register("profiles_from_summaries", O.PROFILES_OR)(_profiles_via_summaries)
+
 register("dataset_end_date", f"SELECT max(session_date) AS dataset_end_date FROM ({O.FACT_OR})")(
     lambda s, d: A.dataset_end_date(fact_or(s, d)))
 

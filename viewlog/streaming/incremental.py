@@ -59,8 +59,25 @@ def ingest_new_files(spark: SparkSession, raw_dir: str, out_path: str, checkpoin
 # log rows of those dates, and written over just those date partitions.
 
 
+SUMMARIES = ("user_day", "user_day_apps", "user_day_items")
+
+
+def read_summaries(spark: SparkSession, summary_dir: str) -> list:
+    """The three per-day profile summaries (session_date typed as DATE)."""
+    from pyspark.sql import functions as F
+
+    return [spark.read.parquet(f"{summary_dir}/{name}")
+            .withColumn("session_date", F.col("session_date").cast("date")) for name in SUMMARIES]
+
+
+def _write_dates(df, path: str, first_cols: tuple[str, ...]) -> None:
+    (df.sortWithinPartitions(*first_cols)
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("session_date").parquet(path))
+
+
 def refresh_fact_dates(spark: SparkSession, logs_path: str, fact_path: str,
-                       dates: list) -> int:
+                       dates: list, summary_dir: str | None = None) -> int:
     """Rebuild the fact partitions of ``dates`` from every log row of those dates.
 
     Idempotent: re-running it for the same dates rewrites the same partitions
@@ -82,15 +99,22 @@ def refresh_fact_dates(spark: SparkSession, logs_path: str, fact_path: str,
             .where((ts >= F.lit(lo).cast("timestamp_ntz"))
                    & (ts < F.date_add(F.lit(hi), 1).cast("timestamp_ntz")))
             .where(F.to_date(ts).isin(*dates)))
-    (build_fact(logs).sortWithinPartitions("session_date", "AppName", "session_timestamp")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("session_date").parquet(fact_path))
+    _write_dates(build_fact(logs), fact_path, ("session_date", "AppName", "session_timestamp"))
+    if summary_dir:
+        # Per-day profile parts of the same dates, from the partitions just written.
+        from viewlog.operators import profiles as A
+        from viewlog.sources.tables import read_fact
+
+        fact = read_fact(spark, fact_path).where(F.col("session_date").isin(*dates))
+        for name, build in zip(SUMMARIES, (A.user_day_summary, A.user_day_apps, A.user_day_items)):
+            _write_dates(build(fact), f"{summary_dir}/{name}", ("session_date", "Mac"))
     return len(dates)
 
 
 def start_incremental_transform(spark: SparkSession, logs_path: str, fact_path: str,
                                 checkpoint: str, available_now: bool = True,
-                                processing_time: str | None = None) -> StreamingQuery:
+                                processing_time: str | None = None,
+                                summary_dir: str | None = None) -> StreamingQuery:
     """Stream over new ``logs_clean`` files; rebuild the fact dates they touch.
 
     The file source reads the ingest sink's commit log, so each new file is
@@ -104,7 +128,7 @@ def start_incremental_transform(spark: SparkSession, logs_path: str, fact_path:
     def refresh(batch, batch_id):  # noqa: ARG001 - batch_id: writes are idempotent
         dates = [r["d"] for r in batch.select(F.to_date("session_timestamp").alias("d"))
                  .where(F.col("d").isNotNull()).distinct().collect()]
-        refresh_fact_dates(spark, logs_path, fact_path, sorted(dates))
+        refresh_fact_dates(spark, logs_path, fact_path, sorted(dates), summary_dir)
 
     stream = spark.readStream.schema(LOGS_CLEAN_SCHEMA).parquet(logs_path)
     writer = stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
@@ -116,9 +140,14 @@ def start_incremental_transform(spark: SparkSession, logs_path: str, fact_path:
 
 
 def refresh_fact(spark: SparkSession, logs_path: str, fact_path: str, checkpoint: str,
-                 timeout_s: float | None = None) -> int:
-    """Run one scheduled incremental fact refresh to completion; returns batches."""
-    q = start_incremental_transform(spark, logs_path, fact_path, checkpoint)
+                 timeout_s: float | None = None, summary_dir: str | None = None) -> int:
+    """Run one scheduled incremental fact refresh to completion; returns batches.
+
+    With ``summary_dir`` the per-day profile summaries of the touched dates
+    are refreshed too (see ``operators.profiles.profiles_from_summaries``).
+    """
+    q = start_incremental_transform(spark, logs_path, fact_path, checkpoint,
+                                    summary_dir=summary_dir)
     try:
         q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     finally:
