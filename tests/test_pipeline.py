@@ -231,3 +231,38 @@ def test_incremental_run_matches_full_run(spark, tmp_dir):
     pa = spark.read.parquet(f"{tmp_dir}/inc/user_profiles.parquet")
     pb = spark.read.parquet(f"{tmp_dir}/full/user_profiles.parquet")
     assert pa.exceptAll(pb).count() == 0 and pb.exceptAll(pa).count() == 0
+
+
+def test_incremental_refresh_rewrites_only_touched_dates(spark, tmp_dir):
+    import glob
+    import os as _os
+
+    from viewlog.sources.tables import read_fact
+    from viewlog.streaming.incremental import refresh_fact
+
+    raw, logs, fact = f"{tmp_dir}/raw", f"{tmp_dir}/logs", f"{tmp_dir}/fact"
+    write_logs(spark, raw, "logt0001.txt")
+    ingest_new_files(spark, raw, logs, f"{tmp_dir}/ck_in")
+    refresh_fact(spark, logs, fact, f"{tmp_dir}/ck_tr")
+
+    def files_by_date():
+        out = {}
+        for part in glob.glob(f"{fact}/session_date=*"):
+            out[part.rsplit("=", 1)[-1]] = sorted(
+                (f, _os.path.getmtime(f)) for f in glob.glob(f"{part}/*.parquet"))
+        return out
+
+    before = files_by_date()
+    day = sorted(before)[0]
+    lines = [r["value"] for r in load_raw_lines(spark, SF_SMALL).collect()
+             if f":{day.replace('-', ':')}:" in r["value"]]
+    assert lines
+    with open(f"{raw}/logt0002.txt", "w") as fh:
+        fh.write("\n".join(lines) + "\n")
+    ingest_new_files(spark, raw, logs, f"{tmp_dir}/ck_in")
+    refresh_fact(spark, logs, fact, f"{tmp_dir}/ck_tr")
+    after = files_by_date()
+    assert set(after) == set(before)
+    assert after[day] != before[day]
+    assert all(after[d] == before[d] for d in before if d != day)
+    assert read_fact(spark, fact).where(F.col("session_date") == day).count() > 0
