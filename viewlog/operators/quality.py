@@ -14,19 +14,22 @@ class QualityError(RuntimeError):
 
 def quality_report(fact: DataFrame, profiles: DataFrame,
                    warn_pct: float = NULL_MAC_WARN_PCT) -> DataFrame:
-    """One row: table sizes, NULL-Mac rate, date range and check statuses.
+    """One row: table sizes, churned users, NULL-Mac rate, date range, statuses.
 
     An empty fact table fails; a NULL-Mac share above ``warn_pct`` warns.
     The fact figures come from one aggregate pass; the profile count is a
     scalar subquery.
     """
     profile_rows = profiles.select(F.count(F.lit(1))).scalar()
+    # Informational: the churn distribution the original quality task promised.
+    churned = (profiles.select(F.count_if(F.col("churn_label") == 1)).scalar()
+               if "churn_label" in profiles.columns else F.lit(None).cast("bigint"))
     report = fact.agg(
         F.count(F.lit(1)).alias("fact_rows"),
         F.count_if(F.col("Mac").isNull()).alias("null_mac"),
         F.min("session_date").alias("min_date"),
         F.max("session_date").alias("max_date"),
-    ).withColumn("profile_rows", profile_rows)
+    ).withColumns({"profile_rows": profile_rows, "churned_users": churned})
     pct = F.when(F.col("fact_rows") > 0,
                  F.round(F.col("null_mac") * 100.0 / F.col("fact_rows"), 2)).otherwise(F.lit(0.0))
     row_status = F.when(F.col("fact_rows") == 0, "FAIL").otherwise("OK")
@@ -37,7 +40,7 @@ def quality_report(fact: DataFrame, profiles: DataFrame,
                   .withColumn("status", F.when(F.col("row_count_status") == "FAIL", "FAIL")
                                          .when(F.col("null_mac_status") == "WARN", "WARN")
                                          .otherwise("OK"))
-                  .select("fact_rows", "profile_rows", "null_mac", "null_mac_pct",
+                  .select("fact_rows", "profile_rows", "churned_users", "null_mac", "null_mac_pct",
                           "min_date", "max_date", "row_count_status", "null_mac_status", "status"))
 
 

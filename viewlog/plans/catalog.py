@@ -363,6 +363,7 @@ register("quality_report", f"""
 WITH f AS ({O.FACT_EV}),
 r AS (
   SELECT count(*) AS fact_rows, (SELECT count(*) FROM ({O.PROFILES_EV})) AS profile_rows,
+    (SELECT count(*) FILTER (WHERE churn_label = 1) FROM ({O.PROFILES_EV})) AS churned_users,
     count(*) FILTER (WHERE "Mac" IS NULL) AS null_mac,
     CASE WHEN count(*) > 0 THEN {O.rnd('count(*) FILTER (WHERE "Mac" IS NULL) * 100.0 / count(*)', 2)}
          ELSE 0.0 END AS null_mac_pct,
