@@ -150,6 +150,7 @@ def user_day_summary(fact: DataFrame) -> DataFrame:
     return fact.groupBy(*USER_KEYS, "session_date").agg(
         F.count(F.lit(1)).alias("events"),
         F.sum("RealTimePlaying").alias("watch_sum"),
+        F.count("RealTimePlaying").alias("watch_cnt"),
         F.max("RealTimePlaying").alias("watch_max"),
         F.countDistinct("hour_of_day").alias("hours"),
         F.sum("is_primetime").alias("prime"),
@@ -193,6 +194,7 @@ def profiles_from_summaries(days: DataFrame, apps: DataFrame, items: DataFrame,
         F.count(F.lit(1)).alias("active_days"),
         F.coalesce(F.sum("hours"), F.lit(0).cast("bigint")).alias("session_count"),
         F.sum("watch_sum").alias("total_watch_seconds"),
+        F.sum("watch_cnt").alias("_watch_cnt"),
         F.max("watch_max").alias("max_single_watch"),
         F.max("session_date").alias("last_active_date"),
         F.min("session_date").alias("first_active_date"),
@@ -213,7 +215,8 @@ def profiles_from_summaries(days: DataFrame, apps: DataFrame, items: DataFrame,
                     .select(joined["*"], item_side["unique_content_watched"]))
     days_inactive = F.datediff(end, F.col("last_active_date"))
     derived = {
-        "avg_watch_per_event": F.col("total_watch_seconds") / F.col("total_events"),
+        # avg() counts non-NULL values only; so does watch_cnt.
+        "avg_watch_per_event": F.try_divide(F.col("total_watch_seconds"), F.col("_watch_cnt")),
         "primetime_ratio": F.col("_prime") / F.col("total_events"),
         "weekend_ratio": F.col("_weekend") / F.col("total_events"),
         "avg_completion_rate": F.try_divide(F.col("_units") / F.lit(10_000.0), F.col("_comp")),
