@@ -222,6 +222,8 @@ def test_incremental_run_matches_full_run(spark, tmp_dir):
     raw = f"{tmp_dir}/raw"
     write_logs(spark, raw, "logt0001.txt")
     inc = run_incremental(spark, raw, f"{tmp_dir}/inc", table_prefix="t_inc1_")
+    again = run_incremental(spark, raw, f"{tmp_dir}/inc", table_prefix="t_inc1_")
+    assert again.skipped and [s for s, _, _ in again.steps] == ["check", "ingest"]
     write_logs(spark, raw, "logt0002.txt")
     inc = run_incremental(spark, raw, f"{tmp_dir}/inc", table_prefix="t_inc2_")
     full = run(spark, raw, f"{tmp_dir}/full", table_prefix="t_full2_")

@@ -216,7 +216,12 @@ def run_incremental(spark: SparkSession, raw_dir: str, out_dir: str, glob: str =
         result.skipped = True
         return result
     ckpt = f"{p.out}/_checkpoints"
-    timed("ingest", lambda: ingest_new_files(spark, p.raw, p.logs_clean, f"{ckpt}/ingest", p.glob))
+    new_lines = timed("ingest", lambda: ingest_new_files(spark, p.raw, p.logs_clean,
+                                                         f"{ckpt}/ingest", p.glob))
+    if new_lines == 0:  # no new files since the last run: nothing downstream changes
+        result.skipped = True
+        run_summary(spark, result).write.mode("append").parquet(p.run_log)
+        return result
     summaries = f"{p.out}/profile_parts"
     timed("transform", lambda: refresh_fact(spark, p.logs_clean, p.fact, f"{ckpt}/fact",
                                             summary_dir=summaries))

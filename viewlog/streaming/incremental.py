@@ -40,7 +40,10 @@ def start_incremental_ingest(spark: SparkSession, raw_dir: str, out_path: str, c
 
 def ingest_new_files(spark: SparkSession, raw_dir: str, out_path: str, checkpoint: str,
                      glob: str = LOG_GLOB, timeout_s: float | None = None) -> int:
-    """Run one scheduled increment to completion; returns batches committed."""
+    """Run one scheduled increment to completion; returns the lines read.
+
+    Zero means no new files arrived since the previous run.
+    """
     q = start_incremental_ingest(spark, raw_dir, out_path, checkpoint, glob)
     try:
         q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
@@ -49,7 +52,7 @@ def ingest_new_files(spark: SparkSession, raw_dir: str, out_path: str, checkpoin
             q.stop()
     if q.exception() is not None:
         raise q.exception()
-    return len(q.recentProgress)
+    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
 
 
 # --- incremental fact refresh -------------------------------------------------
