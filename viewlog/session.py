@@ -41,6 +41,8 @@ CLUSTER_CONF: dict[str, str] = {
     "spark.storage.decommission.shuffleBlocks.enabled": "true",
     "spark.speculation": "true",
     "spark.task.maxFailures": "8",
+    # Concurrent report jobs share executors fairly instead of queueing.
+    "spark.scheduler.mode": "FAIR",
 }
 
 
