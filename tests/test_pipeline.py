@@ -275,3 +275,23 @@ def test_incremental_refresh_rewrites_only_touched_dates(spark, tmp_dir):
     assert after[day] != before[day]
     assert all(after[d] == before[d] for d in before if d != day)
     assert read_fact(spark, fact).where(F.col("session_date") == day).count() > 0
+
+
+def test_size_shuffles_respects_user_setting(spark):
+    from viewlog.session import CLUSTER_CONF, size_shuffles
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    old = spark.conf.get(key, None)
+    try:
+        spark.conf.set(key, "123")
+        assert size_shuffles(spark, 10 * 1024**4) is None
+        assert spark.conf.get(key) == "123"
+        spark.conf.unset(key)
+        n = size_shuffles(spark, 10 * 1024**3)
+        assert n == 80 and spark.conf.get(key) == "80"
+    finally:
+        if old is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, old)
+    assert all(isinstance(k, str) and isinstance(v, str) for k, v in CLUSTER_CONF.items())
