@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -113,6 +116,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the Python workers, once per application.
+
+    Python functions travel to the workers as module references, so a worker
+    that does not start in the repository folder needs the modules themselves.
+    Nothing is sent when the package already runs from a shipped archive
+    (``spark-submit --py-files``).
+    """
+    root = os.path.dirname(os.path.abspath(__file__))
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or not os.path.isdir(root):
+        return
+    files = sorted(os.path.join(d, f) for d, _, names in os.walk(root) for f in names if f.endswith(".py"))
+    digest = hashlib.sha256()
+    for f in files:
+        with open(f, "rb") as src:
+            digest.update(src.read())
+    archive = os.path.join(tempfile.mkdtemp(prefix="viewlog-ship-"), f"viewlog-{digest.hexdigest()[:12]}.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in files:
+            z.write(f, os.path.join("viewlog", os.path.relpath(f, root)))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(app)
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location for an intermediate table in the shared folder."""
     base = checkpoint_dir(spark).rstrip("/")
