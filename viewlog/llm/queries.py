@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewlog.llm import bpe, exact_dedup, mixing, quality
+from viewlog.llm import bpe, exact_dedup, mixing, ngram_join, quality
 from viewlog.llm.common import documents, tokenizer_path
 
 
@@ -24,11 +24,15 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_documents(documents(spark, sf_dir))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_mixing, op5_exact_dedup, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_mixing, op5_exact_dedup, op6_ngram_jaccard, op9_bpe)}
 
 ORACLE = {
     # Windows are unnested and counted; the prior is the method of moments written out.
@@ -106,4 +110,18 @@ ORACLE = {
              g AS (SELECT t, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY t)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t) AS text_sha256
         FROM n JOIN g USING (t)""",
+    # Overlaps from a join on shingles, components by repeated union of neighbours.
+    "op6_ngram_jaccard": r"""
+        WITH RECURSIVE
+             d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+             g AS (SELECT DISTINCT r, array_to_string(w[i:i + 3], ' ') AS g
+                   FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)),
+             n AS (SELECT r, count(*) AS n FROM g GROUP BY r),
+             o AS (SELECT a.r AS x, b.r AS y, count(*) AS o FROM g a JOIN g b ON a.g = b.g AND a.r != b.r GROUP BY ALL),
+             e AS (SELECT x, y FROM o JOIN n p ON p.r = x JOIN n q ON q.r = y WHERE 100 * o >= 85 * (p.n + q.n - o)),
+             reach AS (SELECT r AS x, r AS y FROM d UNION SELECT reach.x, e.y FROM reach JOIN e ON e.x = reach.y)
+        SELECT a.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(b.doc_id) AS component_id
+        FROM reach JOIN d a ON a.r = reach.x JOIN d b ON b.r = reach.y LEFT JOIN n ON n.r = reach.x
+        GROUP BY a.r, a.doc_id""",
 }
