@@ -17,8 +17,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_ROWS = 1_000_000
 
 
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    return table(spark, sf_dir, "documents")
 
 
 def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:

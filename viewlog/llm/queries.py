@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewlog.llm import bpe, exact_dedup, mixing, ngram_join, quality
-from viewlog.llm.common import documents, tokenizer_path
+from viewlog.llm import bpe, exact_dedup, mixing, ngram_join, quality, toxicity
+from viewlog.llm.common import documents, table, tokenizer_path
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
@@ -32,7 +36,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_mixing, op5_exact_dedup, op6_ngram_jaccard, op9_bpe)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_mixing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard, op9_bpe)}
 
 ORACLE = {
     # Windows are unnested and counted; the prior is the method of moments written out.
