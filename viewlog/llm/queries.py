@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewlog.llm import bpe, exact_dedup, mixing, ngram_join, quality, toxicity
+from viewlog.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, quality, toxicity, warc
 from viewlog.llm.common import documents, table, tokenizer_path
 
 
@@ -32,11 +32,19 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(documents(spark, sf_dir))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(documents(spark, sf_dir))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_mixing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard, op9_bpe)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.record_digests(warc.derivatives(table(spark, sf_dir, "pages")))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_mixing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard, op8_line_dedup, op9_bpe, op10_warc)}
 
 ORACLE = {
     # Windows are unnested and counted; the prior is the method of moments written out.
