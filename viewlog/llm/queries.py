@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewlog.llm import bpe, exact_dedup, line_dedup, mixing, ngram_join, quality, toxicity, warc
+from viewlog.llm import bpe, exact_dedup, licenses, line_dedup, mixing, ngram_join, passages, quality, toxicity, warc
 from viewlog.llm.common import documents, table, tokenizer_path
 
 
@@ -16,6 +16,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(documents(spark, sf_dir))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_scan(documents(spark, sf_dir))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
@@ -32,6 +36,10 @@ def op6_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_documents(documents(spark, sf_dir))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(documents(spark, sf_dir))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.line_report(documents(spark, sf_dir))
 
@@ -44,7 +52,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.record_digests(warc.derivatives(table(spark, sf_dir, "pages")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_mixing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard, op8_line_dedup, op9_bpe, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_license_scan, op3_mixing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard, op7_substring_dedup, op8_line_dedup, op9_bpe, op10_warc)}
 
 ORACLE = {
     # Windows are unnested and counted; the prior is the method of moments written out.
