@@ -40,8 +40,6 @@ from viewlog.llm.shingles import mixed, popcount, shingle_set, texts_word_hashes
 
 WORDS = 4
 THRESHOLD = (85, 100)
-#: Bits of a signature bitmap.
-BITS = 1024
 #: Nodes in a block of a tile.
 BLOCK = 1024
 #: Ratio of successive band edges.
@@ -64,12 +62,30 @@ def node_of(elements: np.ndarray) -> int:
     return int(mixed(np.array([total])).view(np.int64)[0])
 
 
-def bitmap(elements: np.ndarray, bits: int = BITS) -> np.ndarray:
+def bitmap(elements: np.ndarray) -> np.ndarray:
+    """A set's signature: one hashed bit per element, in two to four times as many bits."""
+    bits = max(64, 1 << int(2 * len(elements) - 1).bit_length())
     out = np.zeros(bits, bool)
-    out[(mixed(elements) % _U(bits)).astype(np.int64)] = True
+    out[(mixed(elements) & _U(bits - 1)).astype(np.int64)] = True
     return np.packbits(out)
 
 
+def folded(rows: np.ndarray, width: int) -> np.ndarray:
+    """Bitmaps as they are with fewer bits: ``width`` bytes."""
+    return np.bitwise_or.reduce(rows.reshape(len(rows), -1, width), axis=1)
+
+
+def stacked(bitmaps: list[bytes]) -> np.ndarray:
+    """Bitmaps of several sizes as rows of the least size."""
+    size = np.array([len(b) for b in bitmaps])
+    width = int(size.min())
+    out = np.empty((len(bitmaps), width), np.uint8)
+    for s in np.unique(size):
+        at = np.flatnonzero(size == s)
+        out[at] = folded(np.frombuffer(b"".join([bitmaps[i] for i in at]), np.uint8).reshape(len(at), s), width)
+    return out
+
+
 def band_edges(limit: int) -> list[int]:
     """1 = E0 < E1 < ...: band k holds sizes from E(k) to E(k+1) - 1."""
     out = [1]
@@ -168,9 +184,15 @@ def _bounded(batches: Iterator[pa.RecordBatch], threshold: tuple[int, int]) -> I
     for batch in batches:
         if not batch.num_rows:
             continue
-        xa, xb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("bits_a", "bits_b"))
+        xa, xb = batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist()
         na, nb = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
-        most = (na + nb - popcount(xa ^ xb).sum(axis=1, dtype=np.int64)) // 2
+        differ = np.zeros(batch.num_rows, np.int64)
+        width = np.array([min(len(x), len(y)) for x, y in zip(xa, xb)])
+        for w in np.unique(width):  # each pair with the bits of its smaller bitmap
+            at = np.flatnonzero(width == w)
+            x, y = stacked([xa[i] for i in at] + [b"\0" * int(w)]), stacked([xb[i] for i in at] + [b"\0" * int(w)])
+            differ[at] = popcount(x[:-1] ^ y[:-1]).sum(axis=1, dtype=np.int64)
+        most = (na + nb - differ) // 2
         keep = _can_link(na, nb, np.minimum(most, np.minimum(na, nb)), threshold)
         if keep.any():
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
@@ -207,7 +229,7 @@ def _tile_pairs(batches: Iterator[pa.RecordBatch], threshold: tuple[int, int]) -
         i, j = rows[0][1], rows[0][2]
         node, comp, head, n = (np.array([r[k] for r in rows], np.int64) for k in (3, 5, 6, 7))
         block = np.array([r[4] for r in rows])
-        bits = np.frombuffer(b"".join(r[8] for r in rows), np.uint8).reshape(len(rows), -1)
+        bits = stacked([r[8] for r in rows])
         a, b = [], []
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         for x in left:
