@@ -186,3 +186,22 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     return classes.join(final, key).select(
         F.col("id").alias("doc_id"), F.col("best.id").alias("keep_id"), "group_size",
         (F.col("uid") == F.col("best.uid")).alias("kept"), "text_sha256")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` without those that repeat a text that stays, all columns as they were."""
+    found = written(exact_duplicates(docs, id_col, text_col), "verdicts")
+    ids = found.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.col("kept").cast("long")).alias("k"))
+    ids = written(ids.where("k < n").withColumnRenamed("doc_id", "_id"), "dropped")
+    own = F.col(id_col).cast("long").eqNullSafe(F.col("_id"))
+    kept = docs.join(small(ids.select("_id")), own, "left_anti")
+    odd = ids.where("k > 0").select("_id")
+    if not odd.limit(1).count():
+        return kept
+    # Ids with several rows of which some go: told apart by the digest of their texts.
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    sha = F.sha2(F.translate(F.coalesce(F.col(text_col), F.lit("")), letters, letters.lower()), 256)
+    stay = found.where("kept").select(F.col("doc_id").alias("_kid"), F.col("text_sha256").alias("_ksha")).distinct()
+    rows = docs.join(small(odd), own, "left_semi").withColumn("_sha", sha)
+    rows = rows.join(stay, F.col(id_col).cast("long").eqNullSafe(F.col("_kid")) & (F.col("_sha") == F.col("_ksha")), "left_semi")
+    return kept.unionByName(rows.dropDuplicates([id_col, "_sha"]).select(*docs.columns))

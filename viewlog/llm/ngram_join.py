@@ -340,7 +340,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
              threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` without those similar to one that stays: the smallest id of each component stays."""
+    """The rows of ``docs`` without those similar to one that stays: the smallest id of each component stays.
+
+    Rows without an id stay.
+    """
     found = similar_documents(docs, id_col, text_col, words, threshold)
     drop = written(found.where("doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct(), "dropped")
     kept = docs.join(small(drop), F.col(id_col).cast("long") == F.col("_id"), "left_anti")
