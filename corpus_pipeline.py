@@ -1,20 +1,52 @@
-"""A training corpus from ``documents``: quality rules, exact and near duplicates, source mix, BPE."""
+"""A training corpus from ``documents``.
+
+Quality rules, exact duplicates, near duplicates, source mix, BPE: each stage
+calls one operator of ``viewlog.llm`` on all that the stage before it kept. All
+but the last return the columns of their input.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from viewlog.llm import bpe, exact_dedup, mixing, ngram_join, quality
 from viewlog.llm.common import documents, tokenizer_path, written
-from viewlog.llm import bpe
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and whose host is not rejected."""
+    return quality.keep_good(docs)
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the document with the largest id."""
+    return exact_dedup.keep_one(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents connected by a Jaccard similarity of 0.8 on five-word shingles the one with the smallest id."""
+    return ngram_join.keep_one(docs, words=5, threshold=(80, 100))
+
+
+def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the source mix takes them."""
+    return mixing.repeat_taken(docs)
 
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of every document of the mix."""
     return bpe.digests(docs, tokenizer_path())
 
 
-STAGES = [("bpe", encode_stage)]
+STAGES = [
+    ("quality_rules", quality_stage),
+    ("exact_dedup", exact_stage),
+    ("ngram_jaccard", near_stage),
+    ("mixing", mix_stage),
+    ("bpe", encode_stage),
+]
 
-#: No SQL: the last stage's token ids and digests are not SQL-expressible.
+#: None: token ids and their digests cannot be expressed in SQL.
 ORACLE_SQL = None
 
 
