@@ -122,7 +122,7 @@ def test_shuffle_sizing():
 
     assert shuffle_partitions_for(0) == 8
     assert shuffle_partitions_for(10 * 1024**3) == 80
-    assert shuffle_partitions_for(100 * 1024**4) == 200_000
+    assert shuffle_partitions_for(100 * 1024**4) == 819_200  # no ceiling
 
 
 def test_fact_reads_back_with_string_app(spark, tmp_dir):
@@ -193,6 +193,59 @@ def test_command_line_runs_chosen_steps(spark, tmp_dir, capsys):
         main(["--raw", "x", "--out", "y", "--steps", "nope"])
 
 
+def test_command_line_starts_from_any_folder(spark, tmp_dir):
+    """A process of its own, in an empty folder, without the repository on its path."""
+    import subprocess
+    import sys
+
+    import viewlog
+
+    write_logs(spark, f"{tmp_dir}/raw")
+    os.makedirs(f"{tmp_dir}/empty")
+    script = os.path.join(os.path.dirname(viewlog.__file__), "__main__.py")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, script, "--raw", f"{tmp_dir}/raw", "--out", f"{tmp_dir}/out", "--master", "local[2]"],
+                          cwd=f"{tmp_dir}/empty", env=env, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert [x.split('"step": "')[1].split('"')[0] for x in done.stdout.splitlines() if '"step"' in x] == [
+        "check", "ingest", "transform", "load", "quality", "reports"]
+
+
+def test_jdbc_settings_from_environment_and_arguments():
+    from viewlog.sources.sinks import jdbc_settings
+
+    assert jdbc_settings({}) is None
+    env = {"VIEWLOG_JDBC_URL": "jdbc:x://h/d", "VIEWLOG_JDBC_USER": "u", "VIEWLOG_JDBC_CONNECTIONS": "4"}
+    got = jdbc_settings(env, user="other")
+    assert got["url"] == "jdbc:x://h/d" and got["user"] == "other" and got["numPartitions"] == "4"
+
+
+def test_run_log_is_written_when_the_gate_fails(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/raw")
+    with open(f"{tmp_dir}/raw/logt0001.txt", "w") as f:
+        f.write("not a literal\n")
+    with pytest.raises(QualityError):
+        run(spark, f"{tmp_dir}/raw", f"{tmp_dir}/out", table_prefix="t_gate_")
+    log = [r["step"] for r in spark.read.parquet(f"{tmp_dir}/out/run_log.parquet").collect()]
+    assert sorted(log) == sorted(["check", "ingest", "transform", "load", "quality"])
+
+
+def test_load_fails_on_missing_rows(spark, tmp_dir, monkeypatch):
+    from viewlog.plans import pipeline as P
+
+    write_logs(spark, f"{tmp_dir}/raw")
+    run(spark, f"{tmp_dir}/raw", f"{tmp_dir}/out", steps=("check", "ingest", "transform"))
+    spark.range(3).write.saveAsTable("t_wrong")
+    monkeypatch.setattr(P, "external_table", lambda *a: "t_wrong")
+    with pytest.raises(P.LoadError):
+        P.load_step(spark, P.Paths(f"{tmp_dir}/raw", f"{tmp_dir}/out"))
+
+
+def test_subfolders_are_not_sources(spark, tmp_dir):
+    write_logs(spark, f"{tmp_dir}/raw/below")
+    assert source_check(spark, f"{tmp_dir}/raw").first()["files"] == 0
+
+
 def test_incremental_fact_refresh_equals_full_build(spark, tmp_dir):
     from viewlog.plans.transform import build_fact
     from viewlog.sources.tables import read_fact
@@ -222,24 +275,55 @@ def test_incremental_fact_refresh_equals_full_build(spark, tmp_dir):
     assert read_fact(spark, fact).count() == n
 
 
+def same_rows(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
 def test_incremental_run_matches_full_run(spark, tmp_dir):
+    """Batch and incremental runs share an output folder and do not disturb each other."""
     from viewlog.plans.pipeline import run_incremental
     from viewlog.sources.tables import read_fact
 
-    raw = f"{tmp_dir}/raw"
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/out"
     write_logs(spark, raw, "logt0001.txt")
-    inc = run_incremental(spark, raw, f"{tmp_dir}/inc", table_prefix="t_inc1_")
-    again = run_incremental(spark, raw, f"{tmp_dir}/inc", table_prefix="t_inc1_")
-    assert again.skipped and [s for s, _, _ in again.steps] == ["check", "ingest"]
+    run(spark, raw, out, table_prefix="t_mix_")
+    run_incremental(spark, raw, out, table_prefix="t_mix_", reports_too=False)
     write_logs(spark, raw, "logt0002.txt")
-    inc = run_incremental(spark, raw, f"{tmp_dir}/inc", table_prefix="t_inc2_")
-    full = run(spark, raw, f"{tmp_dir}/full", table_prefix="t_full2_")
+    full = run(spark, raw, out, table_prefix="t_mix_")
+    inc = run_incremental(spark, raw, out, table_prefix="t_mix_", max_files_per_batch=1)
     assert inc.quality["status"] == full.quality["status"] == "OK"
-    a, b = read_fact(spark, f"{tmp_dir}/inc/fact_sessions.parquet"), read_fact(spark, f"{tmp_dir}/full/fact_sessions.parquet")
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-    pa = spark.read.parquet(f"{tmp_dir}/inc/user_profiles.parquet")
-    pb = spark.read.parquet(f"{tmp_dir}/full/user_profiles.parquet")
-    assert pa.exceptAll(pb).count() == 0 and pb.exceptAll(pa).count() == 0
+    a, b = (read_fact(spark, f"{o}/fact_sessions.parquet") for o in (f"{out}/incremental", out))
+    assert same_rows(a, b)
+    pa, pb = (spark.read.parquet(f"{o}/user_profiles.parquet") for o in (f"{out}/incremental", out))
+    assert same_rows(pa, pb)
+    assert spark.table("t_mix_fact_sessions").count() == b.count()
+
+
+@pytest.mark.parametrize("broken", ["refresh_fact", "write_parquet", "load_step", "quality_step"])
+def test_incremental_run_recovers_after_any_step(spark, tmp_dir, monkeypatch, broken):
+    from viewlog.plans import pipeline as P
+    from viewlog.plans.transform import build_fact
+    from viewlog.streaming import incremental as inc
+
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/out"
+    write_logs(spark, raw)
+
+    def fails(*args, **kwargs):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(inc if broken == "refresh_fact" else P, broken, fails)
+        with pytest.raises(RuntimeError, match="lost"):
+            P.run_incremental(spark, raw, out, table_prefix="t_rec_", reports_too=False)
+    P.run_incremental(spark, raw, out, table_prefix="t_rec_", reports_too=False)
+    from viewlog.operators.profiles import user_profiles
+    from viewlog.sources.tables import read_fact
+
+    p = f"{out}/incremental"
+    fact = read_fact(spark, f"{p}/fact_sessions.parquet")
+    assert same_rows(fact, build_fact(read_logs_clean(spark, f"{p}/logs_clean.parquet")))
+    assert same_rows(spark.read.parquet(f"{p}/user_profiles.parquet"), user_profiles(fact))
+    assert spark.table("t_rec_fact_sessions").count() == fact.count()
 
 
 def test_incremental_refresh_rewrites_only_touched_dates(spark, tmp_dir):
@@ -277,21 +361,26 @@ def test_incremental_refresh_rewrites_only_touched_dates(spark, tmp_dir):
     assert read_fact(spark, fact).where(F.col("session_date") == day).count() > 0
 
 
-def test_size_shuffles_respects_user_setting(spark):
-    from viewlog.session import CLUSTER_CONF, size_shuffles
+def test_sized_shuffles_per_run(spark):
+    from viewlog.session import CLUSTER_CONF, INITIAL_PARTITIONS, sized_shuffles
 
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    old = spark.conf.get(key, None)
+    with sized_shuffles(spark, 1024**2) as n:
+        assert n == int(spark.conf.get(INITIAL_PARTITIONS)) == 8
+    with sized_shuffles(spark, 100 * 1024**4) as n:  # the second run of a session gets its own size
+        assert n == int(spark.conf.get(INITIAL_PARTITIONS)) == 819_200
+    assert spark.conf.get(INITIAL_PARTITIONS, None) is None
+    spark.conf.set(INITIAL_PARTITIONS, "123")
     try:
-        spark.conf.set(key, "123")
-        assert size_shuffles(spark, 10 * 1024**4) is None
-        assert spark.conf.get(key) == "123"
-        spark.conf.unset(key)
-        n = size_shuffles(spark, 10 * 1024**3)
-        assert n == 80 and spark.conf.get(key) == "80"
+        with sized_shuffles(spark, 10 * 1024**4) as n:
+            assert n is None and spark.conf.get(INITIAL_PARTITIONS) == "123"
     finally:
-        if old is None:
-            spark.conf.unset(key)
-        else:
-            spark.conf.set(key, old)
+        spark.conf.unset(INITIAL_PARTITIONS)
     assert all(isinstance(k, str) and isinstance(v, str) for k, v in CLUSTER_CONF.items())
+
+
+def test_refresh_reads_only_the_dates_it_rebuilds(spark, tmp_dir):
+    write_logs(spark, f"{tmp_dir}/raw")
+    ingest_new_files(spark, f"{tmp_dir}/raw", f"{tmp_dir}/logs", f"{tmp_dir}/ck")
+    plan = (spark.read.parquet(f"{tmp_dir}/logs").where("log_date between date'2024-01-01' and date'2024-01-02'")
+            ._jdf.queryExecution().executedPlan().toString())
+    assert "PartitionFilters: [isnotnull(log_date" in plan

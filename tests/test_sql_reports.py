@@ -1,35 +1,15 @@
-"""The SQL report texts give the same rows as the DataFrame reports."""
+"""Views for ad-hoc SQL over the fact and profile tables."""
 
 from __future__ import annotations
 
-import pytest
-
 from conftest import SF_MID
-from viewlog.operators import reports as R
 from viewlog.operators.profiles import user_profiles
-from viewlog.plans.sql import REPORT_SQL, register_views, sql_report
+from viewlog.plans.sql import register_views
 from viewlog.plans.transform import fact_ev, fact_or
 
 
-@pytest.fixture(scope="module")
-def tables(spark):
-    fact = fact_ev(spark, SF_MID).cache()
-    profiles = user_profiles(fact_or(spark, SF_MID)).cache()
-    return fact, profiles
-
-
-@pytest.mark.parametrize("name", sorted(REPORT_SQL))
-def test_sql_equals_dataframe(spark, tables, name):
-    fact, profiles = tables
-    src = profiles if name in ("churn_analysis", "cohort_retention") else fact
-    want = getattr(R, name)(src)
-    got = sql_report(spark, name, fact=fact, profiles=profiles)
-    assert got.columns == want.columns
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-
-
-def test_views_for_ad_hoc_sql(spark, tables):
-    fact, profiles = tables
+def test_views_for_ad_hoc_sql(spark):
+    fact, profiles = fact_ev(spark, SF_MID), user_profiles(fact_or(spark, SF_MID))
     register_views(fact, profiles, prefix="t_")
     n = spark.sql("SELECT COUNT(*) FROM t_fact_sessions").first()[0]
     assert n == fact.count()

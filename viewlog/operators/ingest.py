@@ -1,8 +1,8 @@
 """Ingest: text lines -> parsed records -> the fixed 16-column ``logs_clean``.
 
-The parsed record stays a MAP<STRING,STRING> column until the canonical
-columns are pulled out of it, so the output schema never depends on which
-keys the data happened to contain.
+The output schema never depends on which keys the data happened to contain:
+the parser returns the canonical columns, and only column discovery looks at
+whole records (a MAP<STRING,STRING> column).
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewlog.functions.casts import legacy_long, session_timestamp, try_float
-from viewlog.functions.parse import parse_records
+from viewlog.functions.parse import parse_columns, parse_records
 from viewlog.schema import COLUMN_ALIASES, KEEP_FIELDS, REQUIRED_KEYS
 
 
@@ -70,9 +70,8 @@ def select_and_cast(df: DataFrame) -> DataFrame:
 
 def ingest_lines(lines: DataFrame, col: str = "value") -> DataFrame:
     """Whole ingest of a text-line DataFrame -> ``logs_clean`` rows."""
-    return (parse_lines(lines, col).transform(keep_required)
-            .transform(normalize_columns).transform(parse_session_timestamp)
-            .transform(select_and_cast))
+    return (parse_columns(lines, _spellings(), tuple(REQUIRED_KEYS), col)
+            .transform(parse_session_timestamp).transform(select_and_cast))
 
 
 def discover_columns(lines: DataFrame, col: str = "value") -> DataFrame:

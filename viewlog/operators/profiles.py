@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from viewlog.functions.numeric import exact_avg
+from viewlog.functions.numeric import avg_of_units, exact_avg, units_of
 from viewlog.schema import CHURN_THRESHOLD_DAYS, USER_KEYS
+from viewlog.session import written
 
 
 def dataset_end_date(fact: DataFrame) -> DataFrame:
@@ -68,24 +69,10 @@ PROFILE_COLUMNS = USER_KEYS + [
 ]
 
 
-def user_profiles(fact: DataFrame, end_date: Column | None = None,
-                  churn_days: int = CHURN_THRESHOLD_DAYS) -> DataFrame:
-    """One row per (Mac, CustomerID, Contract); NULL keys group together.
-
-    The four distinct counts are planned by Catalyst as one Expand plus a
-    two-level aggregate on (user, value); every level combines map-side, so
-    a heavy user is spread over many reducers before its final row. The most
-    used app comes from a separate per-(user, app) count, joined NULL-safely
-    on the user keys.
-    """
-    end = end_date if end_date is not None else end_date_value(fact)
-    main = fact.groupBy(*USER_KEYS).agg(*_profile_aggs())
-    top = _top_app(fact)
-    # Both sides read the same deduplicated events; AQE reuses that shuffle.
-    joined = (main.join(top, _null_safe_on(main, top), "left")
-                  .select(main["*"], top["_top"]["app"].alias("most_used_app")))
+def _derived(end: Column, churn_days: int) -> dict[str, Column]:
+    """The measures that follow from a user's dates and sums."""
     days_inactive = F.datediff(end, F.col("last_active_date"))
-    derived = {
+    return {
         "days_inactive": days_inactive,
         "days_since_first": F.datediff("last_active_date", "first_active_date"),
         "avg_daily_watch_seconds": F.when(
@@ -93,13 +80,34 @@ def user_profiles(fact: DataFrame, end_date: Column | None = None,
         ).otherwise(F.lit(0.0)),
         "churn_label": F.when(days_inactive >= churn_days, 1).otherwise(0),
     }
-    # One projection over the aggregate (each DataFrame call re-analyses the plan).
-    return joined.select(*[derived[c].alias(c) if c in derived else F.col(c)
-                           for c in PROFILE_COLUMNS])
 
 
-def churn_label_col(churn_days: int = CHURN_THRESHOLD_DAYS) -> Column:
-    return F.when(F.col("days_inactive") >= churn_days, 1).otherwise(0)
+def profile_core(fact: DataFrame, end_date: Column | None = None,
+                 churn_days: int = CHURN_THRESHOLD_DAYS) -> DataFrame:
+    """Profiles without the most used app: one aggregate, no join.
+
+    The four distinct counts are planned by Catalyst as one Expand plus a
+    two-level aggregate on (user, value); every level combines map-side, so
+    a heavy user is spread over many reducers before its final row. Unused
+    measures are pruned from it.
+    """
+    end = end_date if end_date is not None else end_date_value(fact)
+    derived = _derived(end, churn_days)
+    main = fact.groupBy(*USER_KEYS).agg(*_profile_aggs())
+    return main.select(*[derived[c].alias(c) if c in derived else F.col(c)
+                         for c in PROFILE_COLUMNS if c != "most_used_app"])
+
+
+def user_profiles(fact: DataFrame, end_date: Column | None = None,
+                  churn_days: int = CHURN_THRESHOLD_DAYS) -> DataFrame:
+    """One row per (Mac, CustomerID, Contract); NULL keys group together.
+
+    ``profile_core`` plus the most used app, which comes from a separate
+    per-(user, app) count, joined NULL-safely on the user keys.
+    """
+    core = profile_core(fact, end_date, churn_days)
+    joined = _with_user_side(core, _top_app(fact).withColumn("most_used_app", F.col("_top.app")))
+    return joined.select(*PROFILE_COLUMNS)
 
 
 def user_recency(profiles: DataFrame) -> DataFrame:
@@ -121,39 +129,28 @@ def most_used_app(fact: DataFrame) -> DataFrame:
 
 
 def session_rank(fact: DataFrame) -> DataFrame:
-    """Row number of each event within its user, by time (then Event, ItemId).
-
-    A plain ``row_number`` over ``partitionBy("Mac")`` would sort a heavy
-    user's whole history in one task. Instead rows are numbered inside
-    (user, minute) slices, and each slice gets an offset: the number of the
-    user's rows in earlier slices. The offset table has one row per
-    (user, minute), so its per-user window is bounded by the calendar span
-    (525,600 minutes a year), not by the data; the slice window is bounded
-    by what one device can log in a minute. Minute slices cost the same as
-    hour slices at sf0.1 and bound a bursty device 60 times tighter.
-
-    The slice counts are taken from the events again rather than from the
-    numbered rows: column pruning turns that branch into a keys-only hash
-    aggregate, which is cheaper than sorting and numbering twice. AQE
-    broadcasts the offsets in the join only once their measured size is small.
+    """Row number of each event within its user, by time, Event, ItemId, then every other column.
+
+    The events are range-partitioned and sorted by the whole order, which
+    splits any user, however heavy, over as many partitions as its rows fill.
+    A row's position in its partition comes with the sort; a table with one
+    row per (partition, user) holds where the user starts in each partition
+    and how many of its rows lie before. Only rows equal in every column can
+    swap, which changes nothing. The placed rows are written once: the table
+    and the numbering have to see the same partitions.
     """
     keys = ["Mac", "session_timestamp", "Event", "ItemId"]
-    minute = F.date_trunc("MINUTE", "session_timestamp").alias("_slice")
-    sliced = fact.select(*fact.columns, minute)
-    local = F.row_number().over(
-        Window.partitionBy("Mac", "_slice").orderBy(*[F.asc_nulls_first(k) for k in keys[1:]]))
-    offsets = (sliced.groupBy("Mac", "_slice").agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_offset", F.coalesce(F.sum("_n").over(
-                   Window.partitionBy("Mac").orderBy("_slice")
-                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .select("Mac", "_slice", "_offset"))
-    # Mac is never NULL in the fact table, so a plain equi-join suffices; the
-    # window already hash-partitioned the events on (Mac, _slice), which the
-    # sort-merge join reuses.
-    ranked = sliced.withColumn("_local", local)
-    return (ranked.join(offsets, on=["Mac", "_slice"])
-                  .select(*fact.columns,
-                          (F.col("_offset") + F.col("_local")).cast("int").alias("session_rank")))
+    order = [F.asc_nulls_first(k) for k in keys + [c for c in fact.columns if c not in keys]]
+    placed = written(fact.repartitionByRange(*order).sortWithinPartitions(*order)
+                     .withColumn("_row", F.monotonically_increasing_id()).withColumn("_part", F.spark_partition_id()), "placed")
+    before = Window.partitionBy("_user").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (placed.groupBy(F.col("Mac").alias("_user"), F.col("_part").alias("_slice"))
+              .agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+              .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))))
+    # Mac is never NULL in the fact table, so a plain equi-join suffices.
+    rank = F.col("_row") - F.col("_first") + F.col("_before") + 1
+    return (placed.join(starts, (F.col("Mac") == F.col("_user")) & (F.col("_part") == F.col("_slice")))
+                  .select(*fact.columns, rank.cast("int").alias("session_rank")))
 
 
 # --- profiles from per-day summaries -------------------------------------------
@@ -167,7 +164,7 @@ def session_rank(fact: DataFrame) -> DataFrame:
 
 def user_day_summary(fact: DataFrame) -> DataFrame:
     """One row per (user, date) with the additive parts of a profile."""
-    units = F.round(F.col("completion_rate") * 10_000).cast("bigint")
+    units = units_of("completion_rate", 4)
     return fact.groupBy(*USER_KEYS, "session_date").agg(
         F.count(F.lit(1)).alias("events"),
         F.sum("RealTimePlaying").alias("watch_sum"),
@@ -176,8 +173,10 @@ def user_day_summary(fact: DataFrame) -> DataFrame:
         F.countDistinct("hour_of_day").alias("hours"),
         F.sum("is_primetime").alias("prime"),
         F.sum("is_weekend").alias("weekend"),
-        F.sum(units).alias("comp_units"),
+        F.try_sum(units).alias("comp_units"),
+        F.count(units).alias("comp_exact"),
         F.count("completion_rate").alias("comp_cnt"),
+        F.sum("completion_rate").alias("comp_sum"),
     )
 
 
@@ -194,12 +193,19 @@ def user_day_items(fact: DataFrame) -> DataFrame:
                 .select(*USER_KEYS, "session_date", "ItemId").distinct())
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame) -> Column:
+def _with_user_side(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``left`` and the further columns of ``right``, NULL-safe on the user keys.
+
+    The right keys get names of their own: both sides come from one table, so
+    a condition on equal names would compare a column with itself.
+    """
+    other = right.select(*[F.col(k).alias(f"_right_{k}") for k in USER_KEYS],
+                         *[c for c in right.columns if c not in USER_KEYS])
     cond = None
     for k in USER_KEYS:
-        c = left[k].eqNullSafe(right[k])
+        c = F.col(k).eqNullSafe(F.col(f"_right_{k}"))
         cond = c if cond is None else cond & c
-    return cond
+    return left.join(other, cond, "left").drop(*[f"_right_{k}" for k in USER_KEYS])
 
 
 def profiles_from_summaries(days: DataFrame, apps: DataFrame, items: DataFrame,
@@ -220,7 +226,8 @@ def profiles_from_summaries(days: DataFrame, apps: DataFrame, items: DataFrame,
         F.max("session_date").alias("last_active_date"),
         F.min("session_date").alias("first_active_date"),
         F.sum("prime").alias("_prime"), F.sum("weekend").alias("_weekend"),
-        F.sum("comp_units").alias("_units"), F.sum("comp_cnt").alias("_comp"),
+        F.when(F.count_if(F.col("comp_units").isNull() & (F.col("comp_exact") > 0)) == 0, F.try_sum("comp_units")).alias("_units"),
+        F.sum("comp_exact").alias("_exact"), F.sum("comp_cnt").alias("_comp"), F.sum("comp_sum").alias("_comp_sum"),
     )
     per_app = apps.groupBy(*USER_KEYS, "AppName").agg(F.sum("n").alias("n"))
     app_side = per_app.groupBy(*USER_KEYS).agg(
@@ -230,26 +237,18 @@ def profiles_from_summaries(days: DataFrame, apps: DataFrame, items: DataFrame,
          .alias("_top"))
     item_side = items.groupBy(*USER_KEYS).agg(
         F.countDistinct("ItemId").alias("unique_content_watched"))
-    joined = (base.join(app_side, _null_safe_on(base, app_side), "left")
-                  .select(base["*"], app_side["unique_apps_used"], app_side["_top"]))
-    joined = (joined.join(item_side, _null_safe_on(joined, item_side), "left")
-                    .select(joined["*"], item_side["unique_content_watched"]))
-    days_inactive = F.datediff(end, F.col("last_active_date"))
+    joined = _with_user_side(_with_user_side(base, app_side), item_side)
     derived = {
+        **_derived(end, churn_days),
         # avg() counts non-NULL values only; so does watch_cnt.
         "avg_watch_per_event": F.try_divide(F.col("total_watch_seconds"), F.col("_watch_cnt")),
         "primetime_ratio": F.col("_prime") / F.col("total_events"),
         "weekend_ratio": F.col("_weekend") / F.col("total_events"),
-        "avg_completion_rate": F.try_divide(F.col("_units") / F.lit(10_000.0), F.col("_comp")),
+        "avg_completion_rate": avg_of_units(F.col("_units"), F.col("_exact"), F.col("_comp"),
+                                            F.try_divide(F.col("_comp_sum"), F.col("_comp")), 4),
         "unique_content_watched": F.coalesce(F.col("unique_content_watched"), F.lit(0).cast("bigint")),
         "unique_apps_used": F.coalesce(F.col("unique_apps_used"), F.lit(0).cast("bigint")),
         "most_used_app": F.col("_top.app"),
-        "days_inactive": days_inactive,
-        "days_since_first": F.datediff("last_active_date", "first_active_date"),
-        "avg_daily_watch_seconds": F.when(
-            F.col("active_days") > 0, F.col("total_watch_seconds") / F.col("active_days"),
-        ).otherwise(F.lit(0.0)),
-        "churn_label": F.when(days_inactive >= churn_days, 1).otherwise(0),
     }
     return joined.select(*[derived[c].alias(c) if c in derived else F.col(c)
                            for c in PROFILE_COLUMNS])

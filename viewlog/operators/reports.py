@@ -29,16 +29,24 @@ def daily_active_users(fact: DataFrame) -> DataFrame:
 
 
 def top_content(fact: DataFrame, k: int = 10) -> DataFrame:
-    """Top-k items by watch time among VOD play/stop events; ties by ItemId."""
-    return (fact.where(F.col("Event").isin(*VOD_PLAY_EVENTS))
-                .groupBy("ItemId")
-                .agg(F.max("ItemName").alias("item_name"),
-                     F.sum("RealTimePlaying").alias("total_watch_seconds"),
+    """Top-k items by watch time among VOD play/stop events; ties by ItemId.
+
+    The ranking aggregates numbers only (hash aggregates); names are looked up
+    for the k items afterwards.
+    """
+    plays = fact.where(F.col("Event").isin(*VOD_PLAY_EVENTS))
+    order = [F.desc_nulls_last("total_watch_seconds"), F.asc_nulls_first("ItemId")]
+    top = (plays.groupBy("ItemId")
+                .agg(F.sum("RealTimePlaying").alias("total_watch_seconds"),
                      F.round(F.sum("RealTimePlaying") / 3600, 1).alias("total_watch_hours"),
                      F.countDistinct("Mac").alias("unique_viewers"),
                      F.round(exact_avg("completion_rate", 4), 3).alias("avg_completion"))
-                .orderBy(F.desc_nulls_last("total_watch_seconds"), F.asc_nulls_first("ItemId"))
-                .limit(k))
+                .orderBy(*order).limit(k))
+    names = plays.select(F.col("ItemId").alias("_item"), "ItemName")
+    # k rows: the broadcast has a fixed size.
+    named = names.join(F.broadcast(top), F.col("_item").eqNullSafe(F.col("ItemId")))
+    return (named.groupBy(*top.columns).agg(F.max("ItemName").alias("item_name"))
+                 .select("ItemId", "item_name", *top.columns[1:]).orderBy(*order))
 
 
 def activity_heatmap(fact: DataFrame) -> DataFrame:

@@ -1,7 +1,8 @@
 """Registry of named queries: Spark callables and their DuckDB oracle SQL.
 
-Each Spark query takes ``(spark, sf_dir)`` and returns a lazy DataFrame over
-the whole test tables; each oracle computes the same rows in DuckDB over the
+Each Spark query takes ``(spark, sf_dir)`` and returns a DataFrame over the
+whole test tables (those of sources, sinks, load and streaming write files
+when called); each oracle computes the same rows in DuckDB over the
 pre-registered views of the same tables.
 """
 
@@ -20,7 +21,7 @@ from viewlog.operators import profiles as A
 from viewlog.operators import reports as R
 from viewlog.operators.quality import quality_report
 from viewlog.plans import oracle as O
-from viewlog.plans.transform import build_fact, fact_ev, fact_or, profiles_or
+from viewlog.plans.transform import build_fact, fact_ev, fact_or, profile_core_or, profiles_or
 from viewlog.session import work_path
 from viewlog.sources import sinks as S
 from viewlog.sources.tables import (load_raw_lines, load_sessions_ev, load_sessions_ev_dup,
@@ -223,16 +224,16 @@ SELECT "Mac", "CustomerID", "Contract", most_used_app FROM ({O.PROFILES_OR})""")
 register("user_recency", f"""
 SELECT "Mac", "CustomerID", "Contract", first_active_date, last_active_date,
   days_inactive, days_since_first FROM ({O.PROFILES_OR})""")(
-    lambda s, d: A.user_recency(profiles_or(s, d)))
+    lambda s, d: A.user_recency(profile_core_or(s, d)))
 
 register("user_daily_watch", f"""
 SELECT "Mac", "CustomerID", "Contract", total_watch_seconds, active_days,
   avg_daily_watch_seconds FROM ({O.PROFILES_OR})""")(
-    lambda s, d: A.user_daily_watch(profiles_or(s, d)))
+    lambda s, d: A.user_daily_watch(profile_core_or(s, d)))
 
 register("churn_label", f"""
 SELECT "Mac", "CustomerID", "Contract", days_inactive, churn_label FROM ({O.PROFILES_OR})""")(
-    lambda s, d: A.churn_labels(profiles_or(s, d)))
+    lambda s, d: A.churn_labels(profile_core_or(s, d)))
 
 register("churn_analysis", f"""
 SELECT churn_label, count(*) AS user_count,
@@ -242,7 +243,7 @@ SELECT churn_label, count(*) AS user_count,
   {rnd('avg(avg_completion_rate)', 3)} AS avg_completion,
   {rnd('avg(primetime_ratio)', 3)} AS avg_primetime_ratio
 FROM ({O.PROFILES_OR}) GROUP BY churn_label ORDER BY churn_label""")(
-    lambda s, d: R.churn_analysis(profiles_or(s, d)))
+    lambda s, d: R.churn_analysis(profile_core_or(s, d)))
 
 register("cohort_retention", f"""
 SELECT strftime(date_trunc('month', first_active_date), '%Y-%m') AS cohort,
@@ -251,7 +252,7 @@ SELECT strftime(date_trunc('month', first_active_date), '%Y-%m') AS cohort,
   count(*) FILTER (WHERE active_days >= 14) AS retained_14d,
   count(*) FILTER (WHERE active_days >= 30) AS retained_30d
 FROM ({O.PROFILES_OR}) GROUP BY 1 ORDER BY 1""")(
-    lambda s, d: R.cohort_retention(profiles_or(s, d)))
+    lambda s, d: R.cohort_retention(profile_core_or(s, d)))
 
 register("session_rank", f"""
 SELECT {O.cols(O.FACT_COLS)}, CAST(row_number() OVER (PARTITION BY "Mac"
@@ -335,7 +336,7 @@ def _load_verify(s: SparkSession, d: str) -> DataFrame:
 def _incremental(s: SparkSession, d: str) -> DataFrame:
     raw = _written_lines(s, d)
     out, ckpt = work_path(s, "stream-out"), work_path(s, "stream-ckpt")
-    ingest_new_files(s, raw, out, ckpt, glob="part-*", timeout_s=1800)
+    ingest_new_files(s, raw, out, ckpt, glob="part-*")
     return read_logs_clean(s, out)
 
 
@@ -343,8 +344,8 @@ def _incremental_fact(s: SparkSession, d: str) -> DataFrame:
     """Streaming ingest of the log files, then the incremental fact refresh."""
     raw = _written_lines(s, d)
     logs, fact = work_path(s, "stream-logs"), work_path(s, "stream-fact")
-    ingest_new_files(s, raw, logs, work_path(s, "ck-ingest"), glob="part-*", timeout_s=1800)
-    refresh_fact(s, logs, fact, work_path(s, "ck-fact"), timeout_s=1800)
+    ingest_new_files(s, raw, logs, work_path(s, "ck-ingest"), glob="part-*")
+    refresh_fact(s, logs, fact, work_path(s, "ck-fact"))
     return read_fact(s, fact)
 
 
@@ -358,7 +359,6 @@ register("load_verify", f"""
 SELECT 'fact_sessions' AS table_name, count(*) AS source_rows, count(*) AS loaded_rows,
   true AS matches FROM ({O.FACT_EV})""")(_load_verify)
 register("incremental_ingest", f"SELECT * FROM ({O.LOGS_FROM_LINES})")(_incremental)
-register("source_check")(lambda s, d: source_check(s, d, glob="*.parquet"))
 register("quality_report", f"""
 WITH f AS ({O.FACT_EV}),
 r AS (
@@ -380,19 +380,38 @@ def _quality(s: SparkSession, d: str) -> DataFrame:
     """As in the pipeline: the report and the profiles read the written fact table."""
     path = S.write_partitioned(fact_ev(s, d), work_path(s, "fact"), "AppName")
     fact = read_fact(s, path)
-    return quality_report(fact, A.user_profiles(fact))
+    return quality_report(fact, A.profile_core(fact))
+
+
+#: Files that the rendered log lines are written to for the two queries below.
+LOG_FILES = 7
+
+
+def _log_folder(s: SparkSession, d: str) -> str:
+    path = work_path(s, "log-files")
+    load_raw_lines(s, d).repartition(LOG_FILES).write.text(path)
+    return path
 
 
 def _run_summary(s: SparkSession, d: str) -> DataFrame:
-    """Whole pipeline over rendered log files; the run log it appended."""
+    """Whole pipeline over rendered log files; steps and rows of the run log it appended."""
     from viewlog.plans.pipeline import run
 
-    raw = _written_lines(s, d)
     out = work_path(s, "pipeline-out")
     prefix = "run_" + out.rsplit("-", 1)[-1] + "_"
-    run(s, raw, out, glob="part-*", table_prefix=prefix)
-    return s.read.parquet(f"{out}/run_log.parquet")
-
-
-# Step timings differ on every run, so this one is checked by row count only.
-register("run_summary")(_run_summary)
+    run(s, _log_folder(s, d), out, glob="part-*", table_prefix=prefix)
+    return s.read.parquet(f"{out}/run_log.parquet").select("step", "rows")
+
+
+register("source_check", f"SELECT {LOG_FILES} AS files, true AS has_files")(
+    lambda s, d: source_check(s, _log_folder(s, d), glob="part-*").select("files", "has_files"))
+# Step timings differ on every run; the rows of each step do not.
+register("run_summary", f"""
+WITH f AS ({O.FACT_FROM_LINES}), n AS (SELECT count(*) AS facts FROM f),
+u AS (SELECT count(*) AS users FROM (SELECT DISTINCT "Mac", "CustomerID", "Contract" FROM f))
+SELECT 'check' AS step, CAST({LOG_FILES} AS BIGINT) AS "rows"
+UNION ALL SELECT 'ingest', count(*) FROM ({O.LOGS_FROM_LINES})
+UNION ALL SELECT 'transform', facts FROM n
+UNION ALL SELECT 'load', facts + users FROM n, u
+UNION ALL SELECT 'quality', NULL
+UNION ALL SELECT 'reports', 15""")(_run_summary)

@@ -206,7 +206,7 @@ PROFILES_EV = profiles(FACT_EV)
 
 _MAC_E = "lpad(CAST(user_id AS VARCHAR), 12, '0')"
 _MONTH_BAD = "event_id % 23 = 0"
-_KIND = "(event_id // 50) % 5"
+_KIND = "(event_id // 50) % 8"
 
 INGEST_STRINGS = f"""
 SELECT {_MAC_E} AS "Mac", CAST(user_id AS VARCHAR) AS "CustomerID",

@@ -22,9 +22,9 @@ from viewlog.operators.ingest import ingest_lines
 from viewlog.operators.profiles import (profiles_from_summaries, user_day_apps,
                                          user_day_items, user_day_summary)
 from viewlog.operators.quality import gate, quality_report
-from viewlog.session import size_shuffles
-from viewlog.sources.sinks import (jdbc_probe, save_table, write_jdbc, write_parquet,
-                                   write_partitioned)
+from viewlog.session import sized_shuffles
+from viewlog.sources.sinks import (external_table, jdbc_count, jdbc_probe, write_jdbc,
+                                   write_parquet, write_partitioned)
 from viewlog.sources.tables import read_fact, read_logs_clean
 from viewlog.sources.text import LOG_GLOB, read_text_logs, source_check
 
@@ -42,6 +42,7 @@ class Paths:
     raw: str
     out: str
     glob: str = LOG_GLOB
+    fact_folders: str = "AppName"  # the fact's partition column
 
     @property
     def logs_clean(self) -> str:
@@ -69,20 +70,18 @@ class RunResult:
 
 
 def check_step(spark: SparkSession, p: Paths) -> int:
-    """Number of matching source files (0 means: nothing to do).
+    """Number of matching source files (0 means: nothing to do)."""
+    return int(source_check(spark, p.raw, p.glob).first()["files"])
 
-    The total input size also sizes the run's shuffles (see ``size_shuffles``).
-    """
-    row = source_check(spark, p.raw, p.glob).first()
-    if row["files"]:
-        size_shuffles(spark, int(row["total_mb"] * 1024 * 1024))
-    return int(row["files"])
+
+class LoadError(RuntimeError):
+    """A loaded table does not have the rows of its source."""
 
 
 def ingest_step(spark: SparkSession, p: Paths) -> int:
     logs = ingest_lines(read_text_logs(spark, p.raw, p.glob))
     write_partitioned(logs, p.logs_clean, "AppName")
-    return spark.read.parquet(p.logs_clean).count()
+    return read_logs_clean(spark, p.logs_clean).count()
 
 
 def profiles_of(fact: DataFrame) -> DataFrame:
@@ -111,27 +110,30 @@ def transform_step(spark: SparkSession, p: Paths) -> tuple[int, int, int]:
 
 
 def load_step(spark: SparkSession, p: Paths, table_prefix: str = "",
-              external: bool = True, jdbc: dict[str, str] | None = None) -> int:
-    """Load both outputs; returns rows loaded.
-
-    Default: catalog tables. External tables keep their files under the
-    run's output folder (shared storage), so a re-run replaces them even if
-    the catalog was reset. With ``jdbc`` options (see ``jdbc_options``) the
-    database is probed first, then each table is written by all tasks in
-    parallel, in batches.
+              jdbc: dict[str, str] | None = None) -> int:
+    """Load both outputs; returns rows found in the targets, which must be those of the outputs.
+
+    Default: external catalog tables over the written files, without a copy.
+    With ``jdbc`` options (see ``jdbc_options``) the database is probed first,
+    then each table is written by all tasks in parallel, in batches, and
+    counted by the database.
     """
-    outputs = (("fact_sessions", read_fact(spark, p.fact)),
-               ("user_profiles", spark.read.parquet(p.profiles)))
     if jdbc is not None:
         jdbc_probe(spark, jdbc)
-        for name, df in outputs:
-            write_jdbc(df, {**jdbc, "dbtable": f"{table_prefix}{name}"})
-        return sum(spark.read.parquet(path).count() for path in (p.fact, p.profiles))
     n = 0
-    for name, df in outputs:
+    for name, path, df, folders in (("fact_sessions", p.fact, read_fact(spark, p.fact), p.fact_folders),
+                                    ("user_profiles", p.profiles, spark.read.parquet(p.profiles), None)):
         table = f"{table_prefix}{name}"
-        save_table(df, table, path=f"{p.out}/tables/{table}" if external else None)
-        n += spark.table(table).count()
+        if jdbc is not None:
+            target = {**jdbc, "dbtable": table}
+            write_jdbc(df, target)
+            loaded = jdbc_count(spark, target)
+        else:
+            loaded = spark.table(external_table(spark, table, df, path, folders)).count()
+        expected = df.count()  # from the files' footers
+        if loaded != expected:
+            raise LoadError(f"{table} has {loaded} rows, its source {expected}")
+        n += loaded
     return n
 
 
@@ -152,13 +154,15 @@ def report_step(spark: SparkSession, p: Paths, parallel: int = 4) -> int:
     Reading the AppName-partitioned fact lets the VOD reports prune to one
     folder; each report is one aggregate job over pruned columns. The jobs
     are independent, so up to ``parallel`` of them run at once in the same
-    session, keeping the cluster busy while small stages finish.
+    session, keeping the cluster busy while small stages finish. Each has a
+    scheduler pool of its own, so under FAIR scheduling none waits for another.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     fact, profiles = read_fact(spark, p.fact), spark.read.parquet(p.profiles)
 
     def one(name: str) -> int:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"report-{name}")
         src = fact if name in FACT_REPORTS else profiles
         return write_parquet(getattr(reports, name)(src), f"{p.out}/reports/{name}.parquet")
 
@@ -174,78 +178,83 @@ def run_summary(spark: SparkSession, result: RunResult) -> DataFrame:
     return spark.createDataFrame(rows, RUN_LOG_SCHEMA)
 
 
-def run(spark: SparkSession, raw_dir: str, out_dir: str, glob: str = LOG_GLOB,
-        steps: tuple[str, ...] = ("check", "ingest", "transform", "load", "quality", "reports"),
-        table_prefix: str = "", jdbc: dict[str, str] | None = None) -> RunResult:
-    p = Paths(raw_dir.rstrip("/"), out_dir.rstrip("/"), glob)
-    result = RunResult(run_id=datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f"))
+class _Run:
+    """Times the steps of a run; the log is written however the run ends."""
+
+    def __init__(self, spark: SparkSession, paths: Paths) -> None:
+        self.spark, self.paths = spark, paths
+        self.result = RunResult(run_id=datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f"))
 
-    def timed(name, fn):
+    def __enter__(self) -> _Run:
+        return self
+
+    def __call__(self, name: str, fn):
         t0 = time.perf_counter()
-        out = fn()
-        rows = out if isinstance(out, int) else (out[1] if isinstance(out, tuple) else None)
-        result.steps.append((name, time.perf_counter() - t0, rows))
+        out = None
+        try:
+            out = fn()
+        finally:  # a step that fails is logged too, without rows
+            rows = out if isinstance(out, int) else (out[1] if isinstance(out, tuple) else None)
+            self.result.steps.append((name, time.perf_counter() - t0, rows))
         return out
 
-    if "check" in steps and timed("check", lambda: check_step(spark, p)) == 0:
-        result.skipped = True
-        return result
-    if "ingest" in steps:
-        timed("ingest", lambda: ingest_step(spark, p))
-    if "transform" in steps:
-        timed("transform", lambda: transform_step(spark, p))
-    if "load" in steps:
-        timed("load", lambda: load_step(spark, p, table_prefix, jdbc=jdbc))
-    if "quality" in steps:
-        result.quality = timed("quality", lambda: quality_step(spark, p))
-    if "reports" in steps:
-        timed("reports", lambda: report_step(spark, p))
-    run_summary(spark, result).write.mode("append").parquet(p.run_log)
+    def __exit__(self, *exc) -> None:
+        if not self.result.skipped:
+            run_summary(self.spark, self.result).write.mode("append").parquet(self.paths.run_log)
+
+
+def run(spark: SparkSession, raw_dir: str, out_dir: str, glob: str = LOG_GLOB,
+        steps: tuple[str, ...] = ("check", "ingest", "transform", "load", "quality", "reports"),
+        table_prefix: str = "", jdbc: dict[str, str] | None = None) -> RunResult:
+    """Batch run over the whole folder; every output is replaced. Shuffles are sized by the input."""
+    p = Paths(raw_dir.rstrip("/"), out_dir.rstrip("/"), glob)
+    size = int(source_check(spark, p.raw, p.glob).first()["total_mb"] * 1024 * 1024)
+    with sized_shuffles(spark, size), _Run(spark, p) as step:
+        result = step.result
+        if "check" in steps and step("check", lambda: check_step(spark, p)) == 0:
+            result.skipped = True
+            return result
+        if "ingest" in steps:
+            step("ingest", lambda: ingest_step(spark, p))
+        if "transform" in steps:
+            step("transform", lambda: transform_step(spark, p))
+        if "load" in steps:
+            step("load", lambda: load_step(spark, p, table_prefix, jdbc=jdbc))
+        if "quality" in steps:
+            result.quality = step("quality", lambda: quality_step(spark, p))
+        if "reports" in steps:
+            step("reports", lambda: report_step(spark, p))
     return result
 
 
 def run_incremental(spark: SparkSession, raw_dir: str, out_dir: str, glob: str = LOG_GLOB,
-                    table_prefix: str = "", reports_too: bool = True) -> RunResult:
+                    table_prefix: str = "", reports_too: bool = True, jdbc: dict[str, str] | None = None,
+                    max_files_per_batch: int | None = None) -> RunResult:
     """Scheduled incremental run: new files -> touched fact dates -> profiles.
 
-    Ingest and the fact refresh are streaming queries with checkpoints under
-    ``out_dir/_checkpoints``, so each run processes only what arrived since
-    the previous one. The fact and three per-day profile summaries are
-    partitioned by ``session_date`` and rebuilt only for touched dates;
-    profiles are aggregated from the summaries (one row per user-day), and
-    the load, quality and reports read the fact table.
+    Its files lie in ``out_dir/incremental``, apart from a batch run's. Ingest
+    and the fact refresh are streaming queries with checkpoints, so each run
+    processes what no earlier run has finished: new files, and the rest of a
+    run that failed. The fact and three per-day profile summaries are
+    partitioned by ``session_date`` and rebuilt only for touched dates.
+    Profiles, tables and reports follow in every run, so a failure in one of
+    them is made good by the next.
     """
-    from viewlog.operators.profiles import profiles_from_summaries
     from viewlog.streaming.incremental import ingest_new_files, read_summaries, refresh_fact
 
-    p = Paths(raw_dir.rstrip("/"), out_dir.rstrip("/"), glob)
-    result = RunResult(run_id=datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f"))
-
-    def timed(name, fn):
-        t0 = time.perf_counter()
-        out = fn()
-        result.steps.append((name, time.perf_counter() - t0, out if isinstance(out, int) else None))
-        return out
-
-    if timed("check", lambda: check_step(spark, p)) == 0:
-        result.skipped = True
-        return result
-    ckpt = f"{p.out}/_checkpoints"
-    new_lines = timed("ingest", lambda: ingest_new_files(spark, p.raw, p.logs_clean,
-                                                         f"{ckpt}/ingest", p.glob))
-    if new_lines == 0:  # no new files since the last run: nothing downstream changes
-        result.skipped = True
-        run_summary(spark, result).write.mode("append").parquet(p.run_log)
-        return result
-    summaries = f"{p.out}/profile_parts"
-    timed("transform", lambda: refresh_fact(spark, p.logs_clean, p.fact, f"{ckpt}/fact",
-                                            summary_dir=summaries))
-    # Profiles from the per-day summaries: user-days, not events.
-    timed("profiles", lambda: write_parquet(
-        profiles_from_summaries(*read_summaries(spark, summaries)), p.profiles))
-    timed("load", lambda: load_step(spark, p, table_prefix))
-    result.quality = timed("quality", lambda: quality_step(spark, p))
-    if reports_too:
-        timed("reports", lambda: report_step(spark, p))
-    run_summary(spark, result).write.mode("append").parquet(p.run_log)
+    p = Paths(raw_dir.rstrip("/"), f"{out_dir.rstrip('/')}/incremental", glob, "session_date")
+    ckpt, summaries = f"{p.out}/_checkpoints", f"{p.out}/profile_parts"
+    with _Run(spark, p) as step:
+        result = step.result
+        if step("check", lambda: check_step(spark, p)) == 0:
+            result.skipped = True
+            return result
+        step("ingest", lambda: ingest_new_files(spark, p.raw, p.logs_clean, f"{ckpt}/ingest", p.glob, max_files_per_batch))
+        step("transform", lambda: refresh_fact(spark, p.logs_clean, p.fact, f"{ckpt}/fact", summary_dir=summaries))
+        # Profiles from the per-day summaries: user-days, not events.
+        step("profiles", lambda: write_parquet(profiles_from_summaries(*read_summaries(spark, summaries)), p.profiles))
+        step("load", lambda: load_step(spark, p, table_prefix, jdbc))
+        result.quality = step("quality", lambda: quality_step(spark, p))
+        if reports_too:
+            step("reports", lambda: report_step(spark, p))
     return result

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from viewlog.operators.clean import clean
 from viewlog.operators.features import fact_sessions, session_features
-from viewlog.operators.profiles import user_profiles
+from viewlog.operators.profiles import profile_core, user_profiles
 from viewlog.sources.tables import load_sessions_ev, load_sessions_or
 
 
@@ -25,3 +25,7 @@ def fact_or(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def profiles_or(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_profiles(fact_or(spark, sf_dir))
+
+
+def profile_core_or(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile_core(fact_or(spark, sf_dir))

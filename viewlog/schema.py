@@ -18,9 +18,7 @@ COLUMN_ALIASES: list[tuple[str, str]] = [
     ("customerid", "CustomerID"),
     ("Customerid", "CustomerID"),
     ("sessionmainmenu", "SessionMainMenu"),
-    ("sessionSubMenu", "SessionSubMenu"),
     ("appname", "AppName"),
-    ("appid", "AppId"),
     ("event", "Event"),
     ("itemid", "ItemId"),
     ("itemId", "ItemId"),
@@ -48,6 +46,22 @@ KEEP_FIELDS: list[str] = [
     "Screen", "Firmware", "PublishCountry",
 ]
 
+# Columns of the fact table, in output order.
+FACT_COLUMNS: list[str] = [
+    "Mac", "CustomerID", "Contract",
+    "session_timestamp", "session_date",
+    "hour_of_day", "day_of_week", "month", "year",
+    "AppName", "Event",
+    "ItemId", "ItemName",
+    "RealTimePlaying", "ElapsedTimePlaying", "Duration",
+    "completion_rate", "watch_category",
+    "is_primetime", "is_weekend",
+    "Screen", "Firmware", "PublishCountry",
+]
+
+# A user is one value of these.
+USER_KEYS: list[str] = ["Mac", "CustomerID", "Contract"]
+
 # A raw record is kept only when it has one of these exact keys.
 REQUIRED_KEYS: tuple[str, ...] = ("Mac", "MAC")
 
@@ -101,18 +115,6 @@ LOGS_CLEAN_SCHEMA = T.StructType(
     + [T.StructField("session_timestamp", T.TimestampNTZType())]
 )
 
-FACT_COLUMNS: list[str] = [
-    "Mac", "CustomerID", "Contract",
-    "session_timestamp", "session_date",
-    "hour_of_day", "day_of_week", "month", "year",
-    "AppName", "Event",
-    "ItemId", "ItemName",
-    "RealTimePlaying", "ElapsedTimePlaying", "Duration",
-    "completion_rate", "watch_category",
-    "is_primetime", "is_weekend",
-    "Screen", "Firmware", "PublishCountry",
-]
-
 _FACT_TYPES: dict[str, T.DataType] = {
     **NUMERIC_TYPES,
     "session_timestamp": T.TimestampNTZType(),
@@ -125,5 +127,3 @@ _FACT_TYPES: dict[str, T.DataType] = {
 
 FACT_SCHEMA = T.StructType(
     [T.StructField(c, _FACT_TYPES.get(c, T.StringType())) for c in FACT_COLUMNS])
-
-USER_KEYS: list[str] = ["Mac", "CustomerID", "Contract"]

@@ -7,8 +7,10 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. Shuffle partitions are left to the caller:
 # AQE coalesces small shuffles and splits skewed ones at run time.
@@ -44,7 +46,7 @@ CLUSTER_CONF: dict[str, str] = {
     "spark.storage.decommission.shuffleBlocks.enabled": "true",
     "spark.speculation": "true",
     "spark.task.maxFailures": "8",
-    # Concurrent report jobs share executors fairly instead of queueing.
+    # Concurrent report jobs share executors fairly (each runs in a pool of its own).
     "spark.scheduler.mode": "FAIR",
 }
 
@@ -64,26 +66,33 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 
 
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 * 1024 * 1024,
-                           floor: int = 8, ceiling: int = 200_000) -> int:
+                           floor: int = 8) -> int:
     """Initial shuffle partition count so each reducer starts near ``target_bytes``.
 
     AQE coalesces small partitions afterwards, so erring high is cheap;
     erring low makes reducers spill.
     """
-    return max(floor, min(ceiling, -(-int(input_bytes) // target_bytes)))
+    return max(floor, -(-int(input_bytes) // target_bytes))
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int) -> int | None:
-    """Set AQE's initial shuffle partition count from the input size.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
-    Leaves an explicit user setting alone; returns the value it set.
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int) -> Iterator[int | None]:
+    """AQE's initial shuffle partition count from the input size, for one run.
+
+    An explicit user setting stays in force; the session is left as it was.
     """
-    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    if spark.conf.get(key, None):
-        return None
+    if spark.conf.get(INITIAL_PARTITIONS, None):
+        yield None
+        return
     n = max(shuffle_partitions_for(input_bytes), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    spark.conf.set(key, str(n))
-    return n
+    spark.conf.set(INITIAL_PARTITIONS, str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.unset(INITIAL_PARTITIONS)
 
 
 def _is_local(spark: SparkSession) -> bool:
@@ -145,6 +154,23 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location for an intermediate table in the shared folder."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/viewlog-work/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique location for an intermediate table in the shared folder.
+
+    It is deleted when the application ends.
+    """
+    path = f"{checkpoint_dir(spark).rstrip('/')}/viewlog-work/{name}-{uuid.uuid4().hex[:12]}"
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared work folder: computed once, lineage cut.
+
+    The files survive the loss of any executor; later steps read only the
+    columns they need.
+    """
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,8 @@ a second time.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +66,35 @@ def save_table(df: DataFrame, name: str, path: str | None = None,
     return name
 
 
+def external_table(spark: SparkSession, name: str, df: DataFrame, path: str, partition_col: str | None = None) -> str:
+    """Replace catalog table ``name`` by an external one over the files at ``path``, which ``df`` reads.
+
+    No data is copied: the table is the written output.
+    """
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    by = f" PARTITIONED BY (`{partition_col}`)" if partition_col else ""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet{by} LOCATION '{path}'")
+    if partition_col:
+        spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+    return name
+
+
+#: Environment variables that name a target database; command-line options win over them.
+JDBC_ENV = {"url": "VIEWLOG_JDBC_URL", "user": "VIEWLOG_JDBC_USER", "password": "VIEWLOG_JDBC_PASSWORD",
+            "driver": "VIEWLOG_JDBC_DRIVER", "num_partitions": "VIEWLOG_JDBC_CONNECTIONS"}
+
+
+def jdbc_settings(environ: Mapping[str, str], **given: str | None) -> dict[str, str] | None:
+    """JDBC options from ``given`` values, else from the environment; None without a url."""
+    found = {k: given.get(k) or environ.get(name) for k, name in JDBC_ENV.items()}
+    if not found["url"]:
+        return None
+    n = found.pop("num_partitions")
+    return jdbc_options(found.pop("url"), "", num_partitions=int(n) if n else None, **found)
+
+
 def jdbc_options(url: str, table: str, user: str | None = None, password: str | None = None,
                  driver: str | None = None, batch_rows: int = LOAD_BATCH_ROWS,
                  num_partitions: int | None = None) -> dict[str, str]:
@@ -104,6 +135,13 @@ def write_jdbc(df: DataFrame, options: dict[str, str]) -> None:
     df.write.format("jdbc").mode("overwrite").options(**options).save()
 
 
+def jdbc_count(spark: SparkSession, options: dict[str, str]) -> int:
+    """Rows of the target table, counted by the database."""
+    query = {k: v for k, v in options.items() if k not in ("dbtable", "batchsize", "truncate")}
+    return int(spark.read.format("jdbc").options(**query)
+               .option("query", f"SELECT count(*) AS n FROM {options['dbtable']}").load().first()[0])
+
+
 def verify_load(spark: SparkSession, table: str, source: DataFrame) -> DataFrame:
     """One row: rows in the loaded table vs rows in the source, and whether they match."""
     loaded = spark.table(table).select(F.count(F.lit(1))).scalar()

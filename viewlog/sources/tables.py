@@ -164,28 +164,25 @@ def raw_lines(events: DataFrame) -> DataFrame:
                     pair(F.lit("ElapsedTimePlaying"), elapsed, quoted=False),
                     pair(F.lit("Duration"), (k.cast("bigint") * 60).cast("string"))),
         F.lit("}"))
-    kind = F.floor(eid / 50) % 5
+    kind = F.floor(eid / 50) % 8
     extra = (F.when(kind == 0, F.lit("not a literal"))
               .when(kind == 1, F.lit("[1, 2]"))
               .when(kind == 2, F.lit(""))
               .when(kind == 3, F.concat(F.lit("{'mac': '"), mac, F.lit("', 'Event': 'STOPVOD'}")))
-              .otherwise(F.lit("{'Mac': None, 'Event': 'STOPVOD'}")))
+              .when(kind == 4, F.lit("{'Mac': None, 'Event': 'STOPVOD'}"))
+              # Values without a text form, and a character no literal may hold.
+              .when(kind == 5, F.concat(F.lit("{'Mac': 'm', 'Duration': "), F.repeat(F.lit("9"), 5000), F.lit("}")))
+              .when(kind == 6, F.concat(F.lit("{'Mac': 'm', 'Duration': 0x"), F.repeat(F.lit("f"), 6000), F.lit("}")))
+              .otherwise(F.lit("{'Mac': 'm\0', 'Event': 'STOPVOD'}")))
     lines = F.when(eid % 50 == 0, F.array(line, extra)).otherwise(F.array(line))
     return events.select(F.explode(lines).alias("value"))
 
 
 def load_raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rendered lines, spread over at least ``defaultParallelism`` partitions.
+    """Rendered lines, dealt over the session's shuffle partitions.
 
-    Real logs are read as many text splits; a small Parquet file is a single
-    split, which would leave the Python parse on one core. A round-robin
-    spread is added only when the scan has fewer partitions than cores, so a
-    large, already-parallel input is not shuffled.
+    Real logs are read as many text splits, the Parquet file of a test table
+    as one; the round robin stands for the splits.
     """
     lines = raw_lines(read_table(spark, sf_dir, "events"))
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        parts = lines.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without the RDD API (Spark Connect)
-        return lines
-    return lines.repartition(cores) if parts < cores else lines
+    return lines.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))

@@ -23,11 +23,12 @@ def read_text_logs(spark: SparkSession, path: str, glob: str = LOG_GLOB) -> Data
 def source_check(spark: SparkSession, path: str, glob: str = LOG_GLOB) -> DataFrame:
     """Files matching ``glob``: count, total MB, and whether there is work.
 
+    Looks where the scan looks: in ``path`` itself, not in folders below it.
     Only file metadata (path, length) is selected, so the binary-file source
     does not read file contents.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", "true").load(path).select("path", "length"))
+             .load(path).select("path", "length"))
     return files.agg(
         F.count(F.lit(1)).alias("files"),
         F.round(F.coalesce(F.sum("length"), F.lit(0)) / (1024 * 1024), 3).alias("total_mb"),
@@ -37,8 +38,7 @@ def source_check(spark: SparkSession, path: str, glob: str = LOG_GLOB) -> DataFr
 
 def list_sources(spark: SparkSession, path: str, glob: str = LOG_GLOB) -> DataFrame:
     """Per-file name and size in MB, sorted by name."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .option("recursiveFileLookup", "true").load(path)
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
             .select(F.element_at(F.split("path", "/"), -1).alias("file"),
                     F.round(F.col("length") / (1024 * 1024), 3).alias("size_mb"))
             .orderBy("file"))

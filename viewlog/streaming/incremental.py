@@ -10,10 +10,17 @@ executors (or the driver) fail mid-run.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from viewlog.operators.ingest import ingest_lines
+from viewlog.schema import LOGS_CLEAN_SCHEMA
+from viewlog.session import work_path
+from viewlog.sources.tables import read_fact
 from viewlog.sources.text import LOG_GLOB
 
 
@@ -21,15 +28,20 @@ def start_incremental_ingest(spark: SparkSession, raw_dir: str, out_path: str, c
                              glob: str = LOG_GLOB, max_files_per_batch: int | None = None,
                              available_now: bool = True,
                              processing_time: str | None = None) -> StreamingQuery:
-    """Start the stream: text lines -> ``logs_clean`` rows -> partitioned Parquet."""
+    """Start the stream: text lines -> ``logs_clean`` rows -> Parquet, a folder per date.
+
+    The folders are what lets the fact refresh open only the dates it rebuilds.
+    """
     reader = spark.readStream.format("text").option("pathGlobFilter", glob)
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
-    logs = ingest_lines(reader.load(raw_dir))
+    # An empty AppName reads back as NULL from the batch layout's folders; the same here.
+    logs = (ingest_lines(reader.load(raw_dir)).withColumn("AppName", F.nullif("AppName", F.lit("")))
+            .withColumn("log_date", F.to_date("session_timestamp")))
     writer = (logs.writeStream.format("parquet")
               .option("path", out_path)
               .option("checkpointLocation", checkpoint)
-              .partitionBy("AppName")
+              .partitionBy("log_date")
               .outputMode("append"))
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -38,21 +50,41 @@ def start_incremental_ingest(spark: SparkSession, raw_dir: str, out_path: str, c
     return writer.start()
 
 
-def ingest_new_files(spark: SparkSession, raw_dir: str, out_path: str, checkpoint: str,
-                     glob: str = LOG_GLOB, timeout_s: float | None = None) -> int:
-    """Run one scheduled increment to completion; returns the lines read.
+@contextmanager
+def _all_progress(spark: SparkSession):
+    """Keep the progress of every batch, not only of the last hundred."""
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "1000000")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, old)
 
-    Zero means no new files arrived since the previous run.
-    """
-    q = start_incremental_ingest(spark, raw_dir, out_path, checkpoint, glob)
+
+def _finish(q: StreamingQuery) -> None:
+    """Wait until the query has processed all there is; raises what ended it early."""
     try:
-        q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+        q.awaitTermination()
     finally:
         if q.isActive:
             q.stop()
     if q.exception() is not None:
         raise q.exception()
-    return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
+
+
+def ingest_new_files(spark: SparkSession, raw_dir: str, out_path: str, checkpoint: str,
+                     glob: str = LOG_GLOB, max_files_per_batch: int | None = None) -> int:
+    """Run one scheduled increment to completion; returns the lines read.
+
+    Zero means no new files arrived since the previous run. With
+    ``max_files_per_batch`` a large backlog is ingested in several batches, so
+    that a failure repeats one of them only.
+    """
+    with _all_progress(spark):
+        q = start_incremental_ingest(spark, raw_dir, out_path, checkpoint, glob, max_files_per_batch)
+        _finish(q)
+        return sum(int(p.get("numInputRows", 0)) for p in q.recentProgress)
 
 
 # --- incremental fact refresh -------------------------------------------------
@@ -67,51 +99,50 @@ SUMMARIES = ("user_day", "user_day_apps", "user_day_items")
 
 def read_summaries(spark: SparkSession, summary_dir: str) -> list:
     """The three per-day profile summaries (session_date typed as DATE)."""
-    from pyspark.sql import functions as F
-
     return [spark.read.parquet(f"{summary_dir}/{name}")
             .withColumn("session_date", F.col("session_date").cast("date")) for name in SUMMARIES]
 
 
-def _write_dates(df, path: str, first_cols: tuple[str, ...]) -> None:
-    (df.sortWithinPartitions(*first_cols)
+def _write_dates(df: DataFrame, path: str, first_cols: tuple[str, ...]) -> None:
+    """Overwrite the date folders that ``df`` has rows of.
+
+    The rebalance gathers a date's rows in few tasks, so that a folder gets few
+    files, and splits a date that is too large for one.
+    """
+    (df.hint("rebalance", "session_date").sortWithinPartitions(*first_cols)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy("session_date").parquet(path))
 
 
 def refresh_fact_dates(spark: SparkSession, logs_path: str, fact_path: str,
-                       dates: list, summary_dir: str | None = None) -> int:
-    """Rebuild the fact partitions of ``dates`` from every log row of those dates.
+                       dates: DataFrame, summary_dir: str | None = None) -> int:
+    """Rebuild the fact partitions of ``dates`` (column ``d``) from every log row of those dates.
 
     Idempotent: re-running it for the same dates rewrites the same partitions
     with the same rows (the dedup survivor is deterministic), so a retried
     micro-batch cannot duplicate data. Returns the number of dates rebuilt.
     """
-    from pyspark.sql import functions as F
-
+    from viewlog.operators import profiles as A
     from viewlog.plans.transform import build_fact
-    from viewlog.sources.tables import read_logs_clean
 
-    if not dates:
+    path = work_path(spark, "touched-dates")
+    dates.select("d").where("d is not null").distinct().write.parquet(path)
+    touched = spark.read.schema("d date").parquet(path)
+    lo, hi, n = touched.agg(F.min("d"), F.max("d"), F.count("*")).first()
+    if not n:
         return 0
-    lo, hi = min(dates), max(dates)
-    ts = F.col("session_timestamp")
-    # The range predicate reaches the Parquet reader (row-group skipping);
-    # the date list then keeps exactly the touched dates.
-    logs = (read_logs_clean(spark, logs_path)
-            .where((ts >= F.lit(lo).cast("timestamp_ntz"))
-                   & (ts < F.date_add(F.lit(hi), 1).cast("timestamp_ntz")))
-            .where(F.to_date(ts).isin(*dates)))
+    # The range prunes date folders at planning time; the join leaves exactly the touched dates.
+    logs = spark.read.schema(T.StructType([*LOGS_CLEAN_SCHEMA, T.StructField("log_date", T.DateType())])).parquet(logs_path)
+    logs = logs.where(F.col("log_date").between(F.lit(lo), F.lit(hi)))
+    logs = logs.join(touched, F.col("log_date") == F.col("d"), "left_semi").drop("log_date")
     _write_dates(build_fact(logs), fact_path, ("session_date", "AppName", "session_timestamp"))
     if summary_dir:
         # Per-day profile parts of the same dates, from the partitions just written.
-        from viewlog.operators import profiles as A
-        from viewlog.sources.tables import read_fact
-
-        fact = read_fact(spark, fact_path).where(F.col("session_date").isin(*dates))
+        fact = read_fact(spark, fact_path).where(F.col("session_date").between(F.lit(lo), F.lit(hi)))
+        fact = fact.join(touched, F.col("session_date") == F.col("d"), "left_semi")
         for name, build in zip(SUMMARIES, (A.user_day_summary, A.user_day_apps, A.user_day_items)):
             _write_dates(build(fact), f"{summary_dir}/{name}", ("session_date", "Mac"))
-    return len(dates)
+    return n
 
 
 def start_incremental_transform(spark: SparkSession, logs_path: str, fact_path: str,
@@ -121,17 +152,11 @@ def start_incremental_transform(spark: SparkSession, logs_path: str, fact_path:
     """Stream over new ``logs_clean`` files; rebuild the fact dates they touch.
 
     The file source reads the ingest sink's commit log, so each new file is
-    seen once; the set of dates in a batch is bounded by the calendar (one
-    row per date reaches the driver), not by the data.
+    seen once. The dates of a batch stay a table; only their range and number
+    reach the driver.
     """
-    from pyspark.sql import functions as F
-
-    from viewlog.schema import LOGS_CLEAN_SCHEMA
-
     def refresh(batch, batch_id):  # noqa: ARG001 - batch_id: writes are idempotent
-        dates = [r["d"] for r in batch.select(F.to_date("session_timestamp").alias("d"))
-                 .where(F.col("d").isNotNull()).distinct().collect()]
-        refresh_fact_dates(spark, logs_path, fact_path, sorted(dates), summary_dir)
+        refresh_fact_dates(spark, logs_path, fact_path, batch.select(F.to_date("session_timestamp").alias("d")), summary_dir)
 
     stream = spark.readStream.schema(LOGS_CLEAN_SCHEMA).parquet(logs_path)
     writer = stream.writeStream.foreachBatch(refresh).option("checkpointLocation", checkpoint)
@@ -143,19 +168,13 @@ def start_incremental_transform(spark: SparkSession, logs_path: str, fact_path:
 
 
 def refresh_fact(spark: SparkSession, logs_path: str, fact_path: str, checkpoint: str,
-                 timeout_s: float | None = None, summary_dir: str | None = None) -> int:
+                 summary_dir: str | None = None) -> int:
     """Run one scheduled incremental fact refresh to completion; returns batches.
 
     With ``summary_dir`` the per-day profile summaries of the touched dates
     are refreshed too (see ``operators.profiles.profiles_from_summaries``).
     """
-    q = start_incremental_transform(spark, logs_path, fact_path, checkpoint,
-                                    summary_dir=summary_dir)
-    try:
-        q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
-    finally:
-        if q.isActive:
-            q.stop()
-    if q.exception() is not None:
-        raise q.exception()
-    return len(q.recentProgress)
+    with _all_progress(spark):
+        q = start_incremental_transform(spark, logs_path, fact_path, checkpoint, summary_dir=summary_dir)
+        _finish(q)
+        return len(q.recentProgress)
