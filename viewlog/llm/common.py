@@ -8,7 +8,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewlog.session import ship_package, work_path
+from viewlog.session import ship_package, written
+
+__all__ = ["BROADCAST_ROWS", "WORD", "byte_texts", "documents", "map_batches", "row_slices", "small", "table",
+           "tokenizer_path", "written"]
 
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,21 +28,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
-def written(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """``df`` as a table in the shared work folder: cut lineage, computed once.
-
-    The files survive the loss of any executor; later steps read only the
-    columns they need.
-    """
-    spark = df.sparkSession
-    path = work_path(spark, name)
-    out = df.write
-    if partition_by:
-        out = out.partitionBy(*partition_by)
-    out.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def small(ids: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``ids`` marked for broadcast if a count proves it has at most ``rows`` rows.
 

@@ -182,10 +182,12 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     classes = (prints.alias("p").join(differ.withColumn("odd", F.lit(True)).alias("d"), on, "left")
                .select("p.*", F.when(F.col("odd"), F.col("p.text_sha256")).otherwise("").alias("apart")))
     key = [*PRINT, "apart"]
-    final = classes.groupBy(*key).agg(F.count("*").alias("group_size"), best.alias("best"))
-    return classes.join(final, key).select(
-        F.col("id").alias("doc_id"), F.col("best.id").alias("keep_id"), "group_size",
-        (F.col("uid") == F.col("best.uid")).alias("kept"), "text_sha256")
+    # Only texts with copies need their group; as a table of its own it joins by broadcast or skew-split.
+    final = classes.groupBy(*key).agg(F.count("*").alias("group_size"), best.alias("best")).where("group_size > 1")
+    return classes.join(written(final, "classes"), key, "left").select(
+        F.col("id").alias("doc_id"), F.when(F.col("best").isNull(), F.col("id")).otherwise(F.col("best.id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).alias("group_size"),
+        F.coalesce(F.col("uid") == F.col("best.uid"), F.lit(True)).alias("kept"), "text_sha256")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
