@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from viewlog.session import ship_package, written
 
-__all__ = ["BROADCAST_ROWS", "WORD", "byte_texts", "documents", "map_batches", "row_slices", "small", "table",
+__all__ = ["BROADCAST_ROWS", "WORD", "byte_texts", "documents", "map_batches", "once", "row_slices", "small", "table",
            "tokenizer_path", "written"]
 
 #: Words are runs of anything but the six ASCII white-space characters.
@@ -42,6 +42,11 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """``rows`` with a column computed once: an explode() is not copied into the expressions that use it."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def byte_texts(column: pa.Array) -> list[bytes | None]:
     """A string column as UTF-8 bytes objects."""
     return column.cast(pa.large_binary()).to_pylist()

@@ -32,7 +32,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from viewlog.llm.common import written
+from viewlog.llm.common import once, written
 
 # Licence families and the notices they are known by.
 TEMPLATES = {
@@ -119,7 +119,7 @@ def _pairs(words: Column) -> Column:
 def paragraphs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, line_no, words`` of every line with a letter or digit."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text_col).cast("string"), "\n")).alias("line_no", "line"))
-    return rows.select("doc_id", "line_no", paragraph_words(F.col("line")).alias("words")).where(F.col("words")[0] != "")
+    return once(rows, "words", paragraph_words(F.col("line"))).drop("line").where(F.col("words")[0] != "")
 
 
 def _literal(value, schema: str) -> Column:
@@ -212,12 +212,11 @@ class Classifier:
         return F.concat(F.array_intersect(words, anchors), pairs)
 
     def featured(self, rows: DataFrame) -> DataFrame:
-        return self.counts.transform(rows.withColumn("grams", self.grams(F.col("words"))))
+        return self.counts.transform(once(rows, "grams", self.grams(F.col("words"))))
 
     def odds(self, rows: DataFrame) -> DataFrame:
         """Adds the best family ``best`` and ``z``, the log odds of any family against unknown."""
-        p = vector_to_array("probability")
-        out = self.model.transform(rows).withColumn("p", p)
+        out = once(self.model.transform(rows), "p", vector_to_array("probability"))
         known = F.slice("p", 2, len(self.families) - 1)
         best = F.array_position(known, F.array_max(known)).cast("int") + 1
         names = F.array(*(F.lit(f) for f in self.families))
@@ -237,6 +236,6 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     by_family = _literal([{"family": f, "templates": ts} for f, ts in TEMPLATES.items()], "array<struct<family:string,templates:array<string>>>")
     own = F.filter(by_family, lambda t: t["family"] == F.col("best"))[0]["templates"]
     share = F.array_max(F.transform(own, lambda t: overlap(F.col("words"), paragraph_words(t))))
-    return found.withColumn("template_overlap", F.round(share, 6)).select(
+    return once(found, "template_overlap", F.round(share, 6)).select(
         "doc_id", "line_no", F.col("best").alias("family"), "probability", "template_overlap",
         (F.col("template_overlap") >= CONFIRM_OVERLAP).alias("confirmed"))
