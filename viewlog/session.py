@@ -165,12 +165,13 @@ def work_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` as a table in the shared work folder: computed once, lineage cut.
 
     The files survive the loss of any executor; later steps read only the
-    columns they need.
+    columns they need. ``compression="none"`` suits hashes, which do not get
+    smaller, and spares the codec's native buffers for every file and column.
     """
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
