@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from viewlog.session import ship_package, written
 
-__all__ = ["BROADCAST_ROWS", "WORD", "byte_texts", "documents", "map_batches", "once", "row_slices", "small", "table",
+__all__ = ["BROADCAST_ROWS", "WORD", "byte_texts", "documents", "hashes_written", "map_batches", "once", "row_slices", "small", "table",
            "tokenizer_path", "written"]
 
 #: Words are runs of anything but the six ASCII white-space characters.
@@ -28,6 +28,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def hashes_written(df: DataFrame, name: str) -> DataFrame:
+    """``written`` for tables of hashes and counts: without compression."""
+    return written(df, name, "none")
+
+
 def small(ids: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """``ids`` marked for broadcast if a count proves it has at most ``rows`` rows.
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewlog.llm.common import written
+from viewlog.llm.common import hashes_written as written
 
 
 def _least(pairs: DataFrame) -> DataFrame:
@@ -27,7 +27,7 @@ def _least(pairs: DataFrame) -> DataFrame:
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return _least(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
+    return _least(both).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

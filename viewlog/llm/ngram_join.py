@@ -34,7 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewlog.llm.common import byte_texts, map_batches, row_slices, small, written
+from viewlog.llm.common import byte_texts, map_batches, row_slices, small
+from viewlog.llm.common import hashes_written as written
 from viewlog.llm.components import components
 from viewlog.llm.shingles import mixed, popcount, shingle_set, texts_word_hashes
 
