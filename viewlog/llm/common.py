@@ -8,10 +8,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from viewlog.session import ship_package, written
+from viewlog.session import ship_package, work_path, written
 
 __all__ = ["BROADCAST_ROWS", "WORD", "byte_texts", "documents", "hashes_written", "map_batches", "once", "row_slices", "small", "table",
-           "tokenizer_path", "written"]
+           "tokenizer_path", "work_path", "written"]
 
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"

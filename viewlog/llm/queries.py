@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewlog.llm import bpe, exact_dedup, licenses, line_dedup, mixing, ngram_join, passages, quality, toxicity, warc
+from viewlog.llm import bpe, exact_dedup, licenses, line_dedup, mixing, ngram_join, passages, quality, token_files, toxicity, warc
 from viewlog.llm.common import documents, table, tokenizer_path
 
 
@@ -52,7 +52,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.record_digests(warc.derivatives(table(spark, sf_dir, "pages")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_license_scan, op3_mixing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard, op7_substring_dedup, op8_line_dedup, op9_bpe, op10_warc)}
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_license_scan, op3_mixing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard, op7_substring_dedup, op8_line_dedup, op9_bpe, op10_warc, op13_token_files)}
 
 ORACLE = {
     # Windows are unnested and counted; the prior is the method of moments written out.
