@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from viewlog.llm import bpe, exact_dedup, licenses, line_dedup, mixing, ngram_join, passages, quality, token_files, toxicity, warc
+from viewlog.llm import bpe, divergence, exact_dedup, licenses, line_dedup, mixing, ngram_join, passages, quality, ranked_search, token_files, toxicity, warc
 from viewlog.llm.common import documents, table, tokenizer_path
 
 
@@ -52,11 +52,21 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.record_digests(warc.derivatives(table(spark, sf_dir, "pages")))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_license_scan, op3_mixing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard, op7_substring_dedup, op8_line_dedup, op9_bpe, op10_warc, op13_token_files)}
+QUERIES = {f.__name__: f for f in (
+    op1_quality_rules, op2_license_scan, op3_mixing, op4_toxicity, op5_exact_dedup, op6_ngram_jaccard, op7_substring_dedup,
+    op8_line_dedup, op9_bpe, op10_warc, op11_source_divergence, op12_ranked_search, op13_token_files)}
 
 ORACLE = {
     # Windows are unnested and counted; the prior is the method of moments written out.
@@ -148,4 +158,45 @@ ORACLE = {
         SELECT a.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(b.doc_id) AS component_id
         FROM reach JOIN d a ON a.r = reach.x JOIN d b ON b.r = reach.y LEFT JOIN n ON n.r = reach.x
         GROUP BY a.r, a.doc_id""",
+    # Every kept term of every group, zero counts included.
+    "op11_source_divergence": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+             g AS (SELECT DISTINCT lang, source FROM d),
+             t AS (SELECT r, lang, source, unnest(w) AS term FROM d),
+             kept AS (SELECT lang, term, count(*) AS lang_n FROM t GROUP BY lang, term HAVING count(DISTINCT r) >= 3),
+             v AS (SELECT lang, count(*) AS terms, sum(lang_n)::BIGINT AS lang_total FROM kept GROUP BY lang),
+             c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY ALL),
+             tot AS (SELECT lang, source, coalesce(sum(n), 0)::BIGINT AS total FROM g LEFT JOIN c USING (lang, source) GROUP BY ALL),
+             p AS (SELECT tot.lang, tot.source, kept.term, coalesce(c.n, 0) AS n,
+                          1 + (1000000000 * (coalesce(c.n, 0) + 1)) // (total + terms) AS p, 1 + (1000000000 * (lang_n + 1)) // (lang_total + terms) AS q
+                   FROM tot JOIN v ON v.lang = tot.lang JOIN kept ON kept.lang = tot.lang
+                   LEFT JOIN c ON c.lang = tot.lang AND c.source = tot.source AND c.term = kept.term),
+             f AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::BIGINT AS value
+                   FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+             pair AS (SELECT a.lang, a.source, b.source AS item, coalesce(f.value, 0) AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+                      LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+             o AS (SELECT 'pair' AS part, * FROM pair
+                   UNION ALL SELECT 'term', lang, source, term, ((p - q) * (p - q)) // q FROM p WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM (
+            SELECT *, row_number() OVER (PARTITION BY part, lang, source ORDER BY value DESC, item) AS rank FROM o)
+        WHERE part = 'pair' OR rank <= 200""",
+    # Every document that shares a term with the item is scored.
+    "op12_ranked_search": r"""
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+             b AS (SELECT row_number() OVER () AS i, item_id, list_distinct(regexp_extract_all(
+                       translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS w FROM benchmark),
+             s AS (SELECT count(*) FILTER (WHERE len(w) > 0) AS n_docs, sum(len(w))::BIGINT AS n_words FROM d),
+             m AS (SELECT r, doc_id, 100 - 90 + (90 * len(w)::BIGINT * n_docs) // n_words AS m FROM d, s WHERE len(w) > 0),
+             tf AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM d) GROUP BY ALL),
+             wt AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, s GROUP BY term),
+             sc AS (SELECT i, item_id, m.r, doc_id, sum(wt.w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+                    FROM (SELECT i, item_id, unnest(w) AS term FROM b) q JOIN wt USING (term) JOIN tf USING (term) JOIN m USING (r) GROUP BY ALL)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM (
+            SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS FIRST) AS rank FROM sc WHERE score > 0)
+        WHERE rank <= 10""",
 }
