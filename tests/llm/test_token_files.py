@@ -114,6 +114,14 @@ def test_shared_dictionary_saves_space(spark, tmp_dir):
     assert stored < 0.9 * alone
 
 
+with open(PATH, encoding="utf-8") as f:
+    ENCODER = token_files.Encoder(f.read(), 0)
+
+
+def unpacked(ids: bytes) -> list[int]:
+    return list(struct.unpack(f"<{len(ids) // 2}H", ids))
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("abcXYé日 '  \n\t\r1290!?.-_<|>"), max_size=80), st.integers(1, 12))
 def test_pieces_do_not_change_the_ids(text, size):
@@ -121,9 +129,25 @@ def test_pieces_do_not_change_the_ids(text, size):
     assert ids == LIBRARY.encode(text, add_special_tokens=False).ids
 
 
-def test_long_texts_are_cut(monkeypatch):
-    with open(PATH, encoding="utf-8") as f:
-        encoder = token_files.Encoder(f.read(), 0)
+@settings(max_examples=1000, deadline=None)
+@given(st.one_of(st.text(max_size=40), st.text(st.sampled_from("abé'st-(9<|> \x1c\x1f\x85\xa0\u1680\u2003\u2028\u202f\u3000\u200b\ufeff \n\r\t\x0b1½.日"), max_size=40)))
+def test_chunks_do_not_change_the_ids(text):
+    assert unpacked(ENCODER([text])[0]) == ids_of(text)
+
+
+def test_every_white_space_character():
+    import sys
+
+    for c in map(chr, range(sys.maxunicode + 1)):
+        if c.isspace() or c in "\u180e\u200b\u2060\ufeff":
+            for text in (f"a{c}b", f"a{c}{c}b", f"a{c} b", f"a {c}b", f"{c}a{c}", f"a{c}!b", f"{c}1{c} "):
+                assert unpacked(ENCODER([text])[0]) == ids_of(text), (text, hex(ord(c)))
+
+
+def test_long_texts_and_a_full_store(monkeypatch):
     monkeypatch.setattr(token_files, "PIECE_CHARS", 500)
+    monkeypatch.setattr(token_files, "HELD", 20)
     text = data.prose(random.Random(2), 3_000) + " <|endoftext|> it's\n\n x" + "y" * 2_000
-    assert [list(x) for x in encoder([text, None, "", "<|endoftext|>"])] == [ids_of(t) for t in (text, None, "", "<|endoftext|>")]
+    monkeypatch.setattr(token_files, "GROUP_CHARS", 700)
+    texts = [text, None, "", "<|endoftext|>", "a<|endoftext|> b", text]
+    assert [unpacked(x) for x in ENCODER(texts)] == [ids_of(t) for t in texts]

@@ -21,9 +21,11 @@ leaves a file that nothing refers to.
 
 Texts are encoded and compressed where they are read; only frames are
 shuffled, each straight to its shard (range limits come from the ids alone).
-A very long text is encoded in pieces cut where the tokenizer's own splitting
-must end a word (an ASCII character, then a blank or line end, then an ASCII
-letter); stretches without such a place are encoded whole.
+The tokenizer must split texts as byte-level BPE does: at white space, each
+blank going with the word behind it. A worker keeps the ids of the chunks it
+has met. A very long text is taken in pieces, cut where an ASCII character, a
+blank or line end and an ASCII letter follow each other; stretches without
+such a place are taken whole.
 
 Defined results: a null text counts as empty and gives the end id alone; null
 ids come first; rows that repeat an id lie next to each other, in any order,
@@ -37,6 +39,8 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import json
+import operator
 import os
 import re
 import uuid
@@ -60,9 +64,16 @@ SAMPLE_DOCS, SAMPLE_CHARS = 1_000, 8_192
 LEVEL = 3
 #: Text that a shard holds, roughly.
 SHARD_BYTES = 128 << 20
-#: Text that is encoded at a time; a token takes the library some hundred bytes.
-PIECE_CHARS = 1 << 20
+#: Text that is cut, and encoded, at a time.
+PIECE_CHARS, GROUP_CHARS = 1 << 20, 4 << 20
 
+#: Chunks whose ids a worker keeps.
+HELD = 1_000_000
+
+_BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # fixed values: Unicode White_Space
+_CHUNK = re.compile(rf" ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
+#: Latin letters that ASCII punctuation, a digit or the end follows: no token goes beyond.
+_WORD = re.compile(r" ?[A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+(?=[!-@\[-`{-~]|\Z)")
 _CUT = re.compile(r"(?<=[!-~])[ \n](?=[A-Za-z])")
 
 MANIFEST = "shard int, file string, n_docs long, n_ids long, n_bytes long, first_id long, last_id long"
@@ -83,35 +94,104 @@ def _qualified(spark: SparkSession, path: str) -> str:
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(place).toString()
 
 
+def _byte_letters() -> str:
+    """The letter that byte-level BPE writes for each byte: printable Latin-1 for itself, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = iter(range(0x100, 0x200))
+    return "".join(chr(b if b in plain else next(others)) for b in range(256))
+
+
 class Encoder:
-    """The library's tokenizer; ids as packed integers of ``width`` bytes."""
+    """The library's tokenizer; ids as packed integers of ``width`` bytes.
+
+    Chunks are what a byte-level tokenizer's splitting never joins:
+    non-white-space with at most one blank before it, or white space. Their ids
+    are kept. Of new chunks, leading words go to the library's BPE model
+    together, as one text of lines; what follows them goes to the whole tokenizer.
+    """
 
     def __init__(self, spec: str, end_id: int) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core per task
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(spec)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        known = json.loads(spec)
+        split = known.get("pre_tokenizer") or {}
+        if known.get("normalizer") or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex", True):
+            raise ValueError("token files need a tokenizer that only splits as byte-level BPE does")
         self.width = 2 if max(self.tokenizer.get_vocab_size(with_added_tokens=True), end_id + 1) <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
-        self.end = np.array([end_id], self.kind)
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def __call__(self, texts: list[str | None]) -> list[np.ndarray]:
-        """The ids of each text with the end id."""
-        long = {i for i, t in enumerate(texts) if t and len(t) > PIECE_CHARS}
-        ids = self._ids(["" if i in long else t or "" for i, t in enumerate(texts)])
-        for i in long:
-            ids[i] = np.concatenate([part for piece in pieces(texts[i]) for part in self._ids([piece])])
-        return [np.concatenate([x, self.end]) for x in ids]
-
-
-def pieces(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
+        self.end = np.array([end_id], self.kind).tobytes()
+        self.letters = _byte_letters()
+        self.model = Tokenizer(self.tokenizer.model)
+        self.model.pre_tokenizer = pre_tokenizers.Split(self.letters[10], "isolated")
+        self.line_end = self.tokenizer.token_to_id(self.letters[10])
+        self.known: dict[str, bytes] = {}
+        self.rests: dict[str, bytes] = {"": b""}
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        text = "\n".join(words).encode().decode("latin-1").translate(self.letters)
+        ids = np.array(self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+        data, ends = ids.tobytes(), (np.flatnonzero(ids == self.line_end) * self.width).tolist()
+        return [data[a:b] for a, b in zip([0, *(e + self.width for e in ends)], [*ends, len(data)])]
+
+    def _rests(self, rests: list[str]) -> list[bytes]:
+        new = list({r for r in rests if r not in self.rests})
+        for r, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            self.rests[r] = np.array(e.ids, self.kind).tobytes()
+        return list(map(self.rests.__getitem__, rests))
+
+    def _learn(self, chunks: list[str]) -> None:
+        if len(self.known) > HELD:
+            self.known.clear()
+        if len(self.rests) > HELD:
+            self.rests = {"": b""}
+        words = [m[0] if (m := _WORD.match(c)) else "" for c in chunks]
+        rests = self._rests([c[len(w):] for c, w in zip(chunks, words)])
+        self.known.update(zip(chunks, map(operator.add, self._words(words), rests)))
+
+    def _ids(self, chunks: list[str]) -> list[bytes]:
+        """The ids of distinct chunks."""
+        ids = list(map(self.known.get, chunks))
+        if None in ids:
+            self._learn([c for c, i in zip(chunks, ids) if i is None])
+            ids = [self.known[c] if i is None else i for c, i in zip(chunks, ids)]
+        return ids
+
+    def _group(self, group: list[str]) -> list[bytes]:
+        """The ids of each of a group of texts: every distinct chunk is looked up once, then gathered by its places."""
+        found = [pa.array(_CHUNK.findall(t), pa.large_string()) for t in group]
+        coded = pa.concat_arrays(found).dictionary_encode()
+        ids = pa.array(self._ids(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        offsets = np.frombuffer(ids.buffers()[1], np.int64)[:len(ids) + 1]
+        ends = offsets[np.cumsum([0, *map(len, found)])].tolist()
+        data = ids.buffers()[2].to_pybytes() if ends[-1] else b""
+        return [data[a:b] for a, b in zip(ends, ends[1:])]
+
+    def __call__(self, texts: list[str | None]) -> list[bytes]:
+        """The packed ids of each text with the end id."""
+        out: list[list[bytes]] = [[] for _ in texts]
+        owners, group, held = [], [], 0
+        for i, text in enumerate(texts):
+            for piece in pieces(text or ""):
+                owners.append(i)
+                group.append(piece)
+                held += len(piece)
+                if held >= GROUP_CHARS:
+                    for k, ids in zip(owners, self._group(group)):
+                        out[k].append(ids)
+                    owners, group, held = [], [], 0
+        if group:
+            for k, ids in zip(owners, self._group(group)):
+                out[k].append(ids)
+        return [b"".join([*parts, self.end]) for parts in out]
+
+
+def pieces(text: str, size: int | None = None) -> Iterator[str]:
     """Parts of a text of at least ``size`` characters, cut where no token can cross."""
-    at = 0
+    size, at = size or PIECE_CHARS, 0
     while at < len(text):
         cut = _CUT.search(text, at + size)
         stop = cut.start() if cut else len(text)
@@ -152,8 +232,8 @@ def train_dictionary(docs: DataFrame, spec, end_id: int, size: int = DICTIONARY_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(spec.value, end_id)
         for batch in batches:
-            for part in row_slices(batch, "text", PIECE_CHARS):
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in encode(part.column(0).to_pylist())], pa.binary())], names=["ids"])
+            for part in row_slices(batch, "text", GROUP_CHARS):
+                yield pa.RecordBatch.from_arrays([pa.array(encode(part.column(0).to_pylist()), pa.binary())], names=["ids"])
 
     sample = docs.where(place <= limit).limit(sample_docs).select(F.substring("text", 1, sample_chars).alias("text"))
     samples = [bytes(r.ids) for r in map_batches(sample, run, "ids binary").collect()]
@@ -194,13 +274,13 @@ def frames(docs: DataFrame, spec, end_id: int, dictionary: bytes, limits: list[t
         packer = zstandard.ZstdCompressor(level=LEVEL, **_compression(shared.value))
         bounds = limits.value
         for batch in batches:
-            for part in row_slices(batch, "text", PIECE_CHARS):
+            for part in row_slices(batch, "text", GROUP_CHARS):
                 keys, uids = part.column("doc_id"), part.column("uid")
                 shard = [bisect.bisect_right(bounds, _order(k, u)) for k, u in zip(keys.to_pylist(), uids.to_pylist())]
                 ids = encode(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(shard, pa.int32()), keys, uids, pa.array(map(len, ids), pa.int64()),
-                     pa.array([packer.compress(x.tobytes()) for x in ids], pa.binary())],
+                    [pa.array(shard, pa.int32()), keys, uids, pa.array([len(x) // encode.width for x in ids], pa.int64()),
+                     pa.array(map(packer.compress, ids), pa.binary())],
                     names=["shard", "doc_id", "uid", "n_ids", "frame"])
 
     rows = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("uid"))
