@@ -65,10 +65,10 @@ LEVEL = 3
 #: Text that a shard holds, roughly.
 SHARD_BYTES = 128 << 20
 #: Text that is cut, and encoded, at a time.
-PIECE_CHARS, GROUP_CHARS = 1 << 20, 4 << 20
+PIECE_CHARS, GROUP_CHARS = 1 << 20, 3 << 20
 
 #: Chunks whose ids a worker keeps.
-HELD = 1_000_000
+HELD = 700_000
 
 _BLANK = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"  # fixed values: Unicode White_Space
 _CHUNK = re.compile(rf" ?[^{_BLANK}]+|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
