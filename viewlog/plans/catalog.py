@@ -19,10 +19,11 @@ from viewlog.operators import features as D
 from viewlog.operators import ingest as I
 from viewlog.operators import profiles as A
 from viewlog.operators import reports as R
+from viewlog.operators.bitmaps import new_codes
 from viewlog.operators.quality import quality_report
 from viewlog.plans import oracle as O
 from viewlog.plans.transform import build_fact, fact_ev, fact_or, profile_core_or, profiles_or
-from viewlog.session import work_path
+from viewlog.session import work_path, written
 from viewlog.sources import sinks as S
 from viewlog.sources.tables import (load_raw_lines, load_sessions_ev, load_sessions_ev_dup,
                                     read_fact, read_logs_clean)
@@ -214,6 +215,19 @@ def _profiles_via_summaries(s: SparkSession, d: str) -> DataFrame:
 
 register("profiles_from_summaries", O.PROFILES_OR)(_profiles_via_summaries)
 
+def _profiles_via_months(s: SparkSession, d: str) -> DataFrame:
+    """The fact is written once; items are coded, and days merged into months with bitmaps."""
+    path = work_path(s, "fact")
+    S.write_parquet(fact_or(s, d), path)
+    f = read_fact(s, path)
+    items = A.user_day_items(f)
+    codes = written(new_codes(items, s.createDataFrame([], "value string, code bigint"), "ItemId"), "item-codes")
+    return A.profiles_from_months(A.user_month_summary(A.user_day_summary(f)), A.user_month_apps(A.user_day_apps(f)),
+                                  A.user_month_items(items, codes))
+
+
+register("profiles_from_months", O.PROFILES_OR)(_profiles_via_months)
+
 register("dataset_end_date", f"SELECT max(session_date) AS dataset_end_date FROM ({O.FACT_OR})")(
     lambda s, d: A.dataset_end_date(fact_or(s, d)))
 

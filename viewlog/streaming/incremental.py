@@ -94,24 +94,64 @@ def ingest_new_files(spark: SparkSession, raw_dir: str, out_path: str, checkpoin
 # log rows of those dates, and written over just those date partitions.
 
 
-SUMMARIES = ("user_day", "user_day_apps", "user_day_items")
+DAY_SUMMARIES = ("user_day", "user_day_apps", "user_day_items")
+MONTH_SUMMARIES = ("user_month", "user_month_apps", "user_month_items")
+#: Numbers of the items, which the item bitmaps of all months share.
+ITEM_CODES, CODES_SCHEMA = "item_codes", "value string, code bigint"
 
 
-def read_summaries(spark: SparkSession, summary_dir: str) -> list:
-    """The three per-day profile summaries (session_date typed as DATE)."""
-    return [spark.read.parquet(f"{summary_dir}/{name}")
-            .withColumn("session_date", F.col("session_date").cast("date")) for name in SUMMARIES]
+def _read_summary(spark: SparkSession, summary_dir: str, name: str) -> DataFrame:
+    """A summary with its folder column typed as DATE."""
+    column = "session_date" if name in DAY_SUMMARIES else "month"
+    return spark.read.parquet(f"{summary_dir}/{name}").withColumn(column, F.col(column).cast("date"))
 
 
-def _write_dates(df: DataFrame, path: str, first_cols: tuple[str, ...]) -> None:
-    """Overwrite the date folders that ``df`` has rows of.
+def read_months(spark: SparkSession, summary_dir: str) -> list[DataFrame]:
+    """The three per-month profile summaries."""
+    return [_read_summary(spark, summary_dir, name) for name in MONTH_SUMMARIES]
 
-    The rebalance gathers a date's rows in few tasks, so that a folder gets few
-    files, and splits a date that is too large for one.
+
+def _write_folders(df: DataFrame, path: str, column: str, first_cols: tuple[str, ...]) -> None:
+    """Overwrite the folders of ``column`` (a date, a month) that ``df`` has rows of.
+
+    The rebalance gathers a folder's rows in few tasks, so that it gets few
+    files, and splits one that is too large for a task.
     """
-    (df.hint("rebalance", "session_date").sortWithinPartitions(*first_cols)
+    (df.hint("rebalance", column).sortWithinPartitions(column, *first_cols)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy("session_date").parquet(path))
+       .partitionBy(column).parquet(path))
+
+
+def refresh_months(spark: SparkSession, summary_dir: str, touched: DataFrame) -> None:
+    """Rebuild the per-month summaries of the months that the dates of ``touched`` (column ``d``) lie in.
+
+    Only the user-days of those months are read. Items seen for the first time
+    get the next free codes before their bitmaps are built; a run that is
+    repeated finds them known. Rebuilt months get the same rows again.
+    """
+    from viewlog.operators import bitmaps
+    from viewlog.operators import profiles as A
+
+    months = touched.select(F.trunc("d", "month").alias("m")).distinct()
+    lo, hi = months.agg(F.min("m"), F.last_day(F.max("m"))).first()
+
+    def days(name: str) -> DataFrame:
+        df = _read_summary(spark, summary_dir, name).where(F.col("session_date").between(F.lit(lo), F.lit(hi)))
+        return df.join(months, F.trunc("session_date", "month") == F.col("m"), "left_semi")
+
+    items, path = days("user_day_items"), f"{summary_dir}/{ITEM_CODES}"
+    if not _exists(spark, path):
+        spark.createDataFrame([], CODES_SCHEMA).write.parquet(path)
+    bitmaps.new_codes(items, spark.read.schema(CODES_SCHEMA).parquet(path), "ItemId").write.mode("append").parquet(path)
+    codes = spark.read.schema(CODES_SCHEMA).parquet(path)
+    for name, df in (("user_month", A.user_month_summary(days("user_day"))), ("user_month_apps", A.user_month_apps(days("user_day_apps"))),
+                     ("user_month_items", A.user_month_items(items, codes))):
+        _write_folders(df, f"{summary_dir}/{name}", "month", ("Mac",))
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
 def refresh_fact_dates(spark: SparkSession, logs_path: str, fact_path: str,
@@ -135,13 +175,14 @@ def refresh_fact_dates(spark: SparkSession, logs_path: str, fact_path: str,
     logs = spark.read.schema(T.StructType([*LOGS_CLEAN_SCHEMA, T.StructField("log_date", T.DateType())])).parquet(logs_path)
     logs = logs.where(F.col("log_date").between(F.lit(lo), F.lit(hi)))
     logs = logs.join(touched, F.col("log_date") == F.col("d"), "left_semi").drop("log_date")
-    _write_dates(build_fact(logs), fact_path, ("session_date", "AppName", "session_timestamp"))
+    _write_folders(build_fact(logs), fact_path, "session_date", ("AppName", "session_timestamp"))
     if summary_dir:
         # Per-day profile parts of the same dates, from the partitions just written.
         fact = read_fact(spark, fact_path).where(F.col("session_date").between(F.lit(lo), F.lit(hi)))
         fact = fact.join(touched, F.col("session_date") == F.col("d"), "left_semi")
-        for name, build in zip(SUMMARIES, (A.user_day_summary, A.user_day_apps, A.user_day_items)):
-            _write_dates(build(fact), f"{summary_dir}/{name}", ("session_date", "Mac"))
+        for name, build in zip(DAY_SUMMARIES, (A.user_day_summary, A.user_day_apps, A.user_day_items)):
+            _write_folders(build(fact), f"{summary_dir}/{name}", "session_date", ("Mac",))
+        refresh_months(spark, summary_dir, touched)
     return n
 
 
@@ -171,8 +212,8 @@ def refresh_fact(spark: SparkSession, logs_path: str, fact_path: str, checkpoint
                  summary_dir: str | None = None) -> int:
     """Run one scheduled incremental fact refresh to completion; returns batches.
 
-    With ``summary_dir`` the per-day profile summaries of the touched dates
-    are refreshed too (see ``operators.profiles.profiles_from_summaries``).
+    With ``summary_dir`` the profile summaries of the touched dates and of their
+    months are refreshed too (see ``operators.profiles.profiles_from_months``).
     """
     with _all_progress(spark):
         q = start_incremental_transform(spark, logs_path, fact_path, checkpoint, summary_dir=summary_dir)
