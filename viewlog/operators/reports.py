@@ -130,7 +130,11 @@ def events_by_app(fact: DataFrame) -> DataFrame:
     same shuffle output instead of deduplicating the events twice. No
     single-partition window and no driver-side collect.
     """
-    per_app = fact.groupBy("AppName").agg(F.count(F.lit(1)).alias("events"))
+    return share_of_events(fact.groupBy("AppName").agg(F.count(F.lit(1)).alias("events")))
+
+
+def share_of_events(per_app: DataFrame) -> DataFrame:
+    """Event counts per app with their share of the total."""
     total = per_app.select(F.sum("events")).scalar()
     return (per_app.withColumn("event_share", F.round(F.col("events") / total, 4))
                    .orderBy(F.desc("events"), F.asc_nulls_first("AppName")))
@@ -178,10 +182,14 @@ def mau_change(fact: DataFrame) -> DataFrame:
     The window runs over the monthly result, one row per calendar month, so
     its single partition is bounded by the time span, not by the data size.
     """
+    return change_by_month(monthly_active_users(fact))
+
+
+def change_by_month(monthly: DataFrame) -> DataFrame:
+    """The change from the previous month of ``year, month, active_users``."""
     w = Window.orderBy("year", "month")
-    monthly = monthly_active_users(fact).select("year", "month", "active_users")
     prev = F.lag("active_users").over(w)
-    return (monthly.withColumn("prev_active_users", prev)
+    return (monthly.select("year", "month", "active_users").withColumn("prev_active_users", prev)
                    .withColumn("change", F.col("active_users") - F.col("prev_active_users"))
                    .withColumn("change_pct", F.round(
                        F.col("change") * 100.0 / F.col("prev_active_users"), 2))

@@ -20,6 +20,7 @@ from viewlog.operators import ingest as I
 from viewlog.operators import profiles as A
 from viewlog.operators import reports as R
 from viewlog.operators.bitmaps import new_codes
+from viewlog.operators.cube import activity_cube
 from viewlog.operators.quality import quality_report
 from viewlog.plans import oracle as O
 from viewlog.plans.transform import build_fact, fact_ev, fact_or, profile_core_or, profiles_or
@@ -139,6 +140,18 @@ SELECT "AppName", count(DISTINCT "Mac") AS unique_users, count(*) AS total_event
 FROM ({O.FACT_EV}) GROUP BY "AppName" ORDER BY total_watch_hours DESC""")(
     lambda s, d: R.app_usage(fact_ev(s, d)))
 
+_CUBE_KEYS = {"date": ["session_date"], "week_hour": ["hour_of_day", "day_of_week"], "app": ['"AppName"'],
+              "month": ["year", "month"], "hour": ["hour_of_day"]}
+_CUBE_COLS = {"session_date": "DATE", "hour_of_day": "INTEGER", "day_of_week": "INTEGER", '"AppName"': "VARCHAR",
+              "year": "INTEGER", "month": "INTEGER"}
+
+register("activity_cube", f"WITH f AS ({O.FACT_EV}) " + " UNION ALL ".join(f"""
+SELECT '{name}' AS "grouping", {", ".join(c if c in by else f"CAST(NULL AS {t}) AS {c}" for c, t in _CUBE_COLS.items())},
+  count(DISTINCT "Mac") AS users, count(*) AS events, {rnd('sum(CAST("RealTimePlaying" AS DOUBLE))', 3)} AS watch_sum,
+  count("RealTimePlaying") AS watch_count
+FROM f GROUP BY {", ".join(by)}""" for name, by in _CUBE_KEYS.items()))(
+    lambda s, d: activity_cube(fact_ev(s, d)).withColumn("watch_sum", F.round("watch_sum", 3)))
+
 _BUCKET = """CASE WHEN completion_rate < 0.25 THEN '0-25% (dropped early)'
   WHEN completion_rate < 0.50 THEN '25-50%' WHEN completion_rate < 0.75 THEN '50-75%'
   ELSE '75-100% (completed)' END"""

@@ -15,7 +15,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from viewlog.operators import reports
+from viewlog.operators import cube, reports
 from viewlog.operators.clean import clean_observed
 from viewlog.operators.features import fact_sessions, session_features
 from viewlog.operators.ingest import ingest_lines
@@ -56,6 +56,10 @@ class Paths:
     def profiles(self) -> str:
         return f"{self.out}/user_profiles.parquet"
 
+    @property
+    def cube(self) -> str:
+        return f"{self.out}/reports/activity_cube.parquet"
+
     @property
     def run_log(self) -> str:
         return f"{self.out}/run_log.parquet"
@@ -149,20 +153,27 @@ PROFILE_REPORTS = ("churn_analysis", "cohort_retention")
 def report_step(spark: SparkSession, p: Paths, parallel: int = 4) -> int:
     """Write every report, computed from the written fact table and profiles.
 
-    Reading the AppName-partitioned fact lets the VOD reports prune to one
-    folder; each report is one aggregate job over pruned columns. The jobs
-    are independent, so up to ``parallel`` of them run at once in the same
-    session, keeping the cluster busy while small stages finish. Each has a
-    scheduler pool of its own, so under FAIR scheduling none waits for another.
+    The reports that ``operators.cube`` answers share one scan: the cube is
+    written first and they read it. Reading the AppName-partitioned fact lets
+    the VOD reports prune to one folder; each is one aggregate job over pruned
+    columns. The jobs are independent, so up to ``parallel`` of them run at once
+    in the same session, keeping the cluster busy while small stages finish.
+    Each has a scheduler pool of its own, so under FAIR scheduling none waits
+    for another.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     fact, profiles = read_fact(spark, p.fact), spark.read.parquet(p.profiles)
+    write_parquet(cube.activity_cube(fact), p.cube)
+    shared = spark.read.parquet(p.cube)
 
     def one(name: str) -> int:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"report-{name}")
-        src = fact if name in FACT_REPORTS else profiles
-        return write_parquet(getattr(reports, name)(src), f"{p.out}/reports/{name}.parquet")
+        if name in cube.REPORTS:
+            report = cube.REPORTS[name](shared)
+        else:
+            report = getattr(reports, name)(fact if name in FACT_REPORTS else profiles)
+        return write_parquet(report, f"{p.out}/reports/{name}.parquet")
 
     names = FACT_REPORTS + PROFILE_REPORTS
     with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
