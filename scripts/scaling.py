@@ -21,6 +21,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from viewlog.operators import reports as R  # noqa: E402
+from viewlog.operators.clean import dedup_hashed  # noqa: E402
 from viewlog.operators.profiles import user_profiles  # noqa: E402
 from viewlog.plans.transform import build_fact  # noqa: E402
 from viewlog.session import get_spark  # noqa: E402
@@ -52,7 +53,8 @@ def main() -> None:
         ev = build_fact(sessions_ev(replicate_events(events, k)))
         orr = build_fact(sessions_or(replicate_orders(orders, k)))
         cases = {
-            "fact_sessions": lambda: ev,
+            "fact_sessions": lambda: build_fact(sessions_ev(replicate_events(events, k)), dedup_hashed),
+            "fact_sessions_sorted": lambda: ev,
             "daily_active_users": lambda: R.daily_active_users(ev),
             "user_profiles": lambda: user_profiles(orr),
         }

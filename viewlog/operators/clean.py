@@ -8,11 +8,17 @@ the same, while less data reaches the shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from viewlog.schema import DEDUP_KEYS
+from viewlog.session import written
+
+#: Repeated key hashes (8 bytes each) up to which they are broadcast.
+BROADCAST_KEYS = 1_000_000
 
 
 def filter_not_null(df: DataFrame, cols: tuple[str, ...] = ("Mac", "session_timestamp")) -> DataFrame:
@@ -48,6 +54,46 @@ def dedup(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return best.select(*[picked.get(c, F.col(c)) for c in df.columns])
 
 
+def _key_hash(keys: list[str]) -> Column:
+    return F.xxhash64(*keys)
+
+
+def repeated_keys(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
+    """``key``: the hashes of the key tuples that occur more than once, written.
+
+    Reads the key columns only and shuffles one number per tuple. Two tuples
+    of one hash count as repeated, which is harmless.
+    """
+    keys = list(keys or DEDUP_KEYS)
+    found = df.select(_key_hash(keys).alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    return written(found.where("n > 1").select("key"), "repeated-keys")
+
+
+def dedup_hashed(df: DataFrame, keys: list[str] | None = None, counted: DataFrame | None = None) -> DataFrame:
+    """``dedup`` that leaves rows of unrepeated keys where they are: no sort and no shuffle for them.
+
+    A first pass over the keys alone counts key hashes. Rows whose key occurs
+    once pass through; the others take ``dedup``. They are told apart by a
+    broadcast of the repeated hashes if a count proves these to be few; if they
+    are many, all rows take ``dedup``.
+
+    ``df`` is read up to three times, so it should be a scan of files, not an
+    expensive plan. The first pass runs when called, over ``counted`` if given
+    (``df`` with an observation). Where a report needs the keys alone, ``dedup``
+    is cheaper: Catalyst prunes its other columns away.
+    """
+    keys = list(keys or DEDUP_KEYS)
+    found = repeated_keys(df if counted is None else counted, keys)
+    n = found.limit(BROADCAST_KEYS + 1).count()
+    if not n:
+        return df
+    if n > BROADCAST_KEYS:
+        return dedup(df, keys)
+    found = F.broadcast(found.withColumnRenamed("key", "_repeated"))
+    same = _key_hash(keys) == F.col("_repeated")
+    return df.join(found, same, "left_anti").unionByName(dedup(df.join(found, same, "left_semi"), keys))
+
+
 def fill_nulls(df: DataFrame) -> DataFrame:
     """Watch time and elapsed time default to zero; Duration stays NULL.
 
@@ -61,9 +107,10 @@ def normalize_text(df: DataFrame, cols: tuple[str, ...] = ("AppName", "Event"))
     return df.withColumns({c: F.upper(F.trim(F.col(c))) for c in cols})
 
 
-def clean(df: DataFrame) -> DataFrame:
+def clean(df: DataFrame, unique: Callable[[DataFrame], DataFrame] = dedup) -> DataFrame:
+    """``unique`` is the deduplication: ``dedup``, or ``dedup_hashed`` over written rows."""
     return (df.transform(filter_not_null)
-              .transform(dedup)
+              .transform(unique)
               .transform(fill_nulls)
               .transform(normalize_text))
 
@@ -89,7 +136,9 @@ def clean_observed(df: DataFrame) -> tuple[DataFrame, Observation, Observation]:
 
     Pipelines use this so the audit costs no extra job; read the counts with
     ``before.get["rows"]`` and ``after.get["rows"]`` once the output is written.
+    The rows before are counted in the first pass of ``dedup_hashed``.
     """
     before, after = Observation("clean_before"), Observation("clean_after")
-    out = clean(df.observe(before, F.count(F.lit(1)).alias("rows")))
+    counted = filter_not_null(df.observe(before, F.count(F.lit(1)).alias("rows")))
+    out = clean(df, lambda rows: dedup_hashed(rows, counted=counted))
     return out.observe(after, F.count(F.lit(1)).alias("rows")), before, after

@@ -56,6 +56,9 @@ register("filter_not_null", f"SELECT * FROM ({O.not_null(O.SESSIONS_EV)})")(
 register("dedup_sessions", O.dedup(O.not_null(O.SESSIONS_EV_DUP)))(
     lambda s, d: C.dedup(C.filter_not_null(load_sessions_ev_dup(s, d))))
 
+register("dedup_hashed", O.dedup(O.not_null(O.SESSIONS_EV_DUP)))(
+    lambda s, d: C.dedup_hashed(C.filter_not_null(load_sessions_ev_dup(s, d))))
+
 register("fill_nulls", f"""
 SELECT * REPLACE (
   CASE WHEN "RealTimePlaying" IS NULL OR isnan("RealTimePlaying") THEN CAST(0 AS FLOAT)
@@ -107,7 +110,7 @@ FROM ({_FEAT_EV}) GROUP BY ALL""")(
 
 register("session_features", _FEAT_EV)(_features_ev)
 
-register("fact_sessions", O.FACT_EV)(fact_ev)
+register("fact_sessions", O.FACT_EV)(lambda s, d: build_fact(load_sessions_ev(s, d), C.dedup_hashed))
 
 # --- reports over the event-level fact ---------------------------------------
 

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
-from viewlog.operators.clean import clean
+from viewlog.operators.clean import clean, dedup
 from viewlog.operators.features import fact_sessions, session_features
 from viewlog.operators.profiles import profile_core, user_profiles
 from viewlog.sources.tables import load_sessions_ev, load_sessions_or
 
 
-def build_fact(sessions: DataFrame) -> DataFrame:
-    """logs_clean-shaped rows -> the 23-column fact table."""
-    return sessions.transform(clean).transform(session_features).transform(fact_sessions)
+def build_fact(sessions: DataFrame, unique: Callable[[DataFrame], DataFrame] = dedup) -> DataFrame:
+    """logs_clean-shaped rows -> the 23-column fact table; ``unique`` as in ``clean``."""
+    return sessions.transform(clean, unique).transform(session_features).transform(fact_sessions)
 
 
 def fact_ev(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -163,6 +163,7 @@ def refresh_fact_dates(spark: SparkSession, logs_path: str, fact_path: str,
     micro-batch cannot duplicate data. Returns the number of dates rebuilt.
     """
     from viewlog.operators import profiles as A
+    from viewlog.operators.clean import dedup_hashed
     from viewlog.plans.transform import build_fact
 
     path = work_path(spark, "touched-dates")
@@ -175,7 +176,7 @@ def refresh_fact_dates(spark: SparkSession, logs_path: str, fact_path: str,
     logs = spark.read.schema(T.StructType([*LOGS_CLEAN_SCHEMA, T.StructField("log_date", T.DateType())])).parquet(logs_path)
     logs = logs.where(F.col("log_date").between(F.lit(lo), F.lit(hi)))
     logs = logs.join(touched, F.col("log_date") == F.col("d"), "left_semi").drop("log_date")
-    _write_folders(build_fact(logs), fact_path, "session_date", ("AppName", "session_timestamp"))
+    _write_folders(build_fact(logs, dedup_hashed), fact_path, "session_date", ("AppName", "session_timestamp"))
     if summary_dir:
         # Per-day profile parts of the same dates, from the partitions just written.
         fact = read_fact(spark, fact_path).where(F.col("session_date").between(F.lit(lo), F.lit(hi)))
