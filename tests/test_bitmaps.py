@@ -99,3 +99,33 @@ def test_only_touched_months_are_rebuilt(spark, tmp_dir):
     assert before["2024-02"] == after["2024-02"] and before["2024-01"] != after["2024-01"]
     codes = spark.read.parquet(f"{out}/incremental/profile_parts/item_codes").collect()
     assert sorted(c.value for c in codes) == ["a", "b", "c"] and sorted(c.code for c in codes) == [0, 1, 2]
+
+
+def test_last_events_follow_late_files_without_the_fact(spark, tmp_dir):
+    from viewlog.operators import reports as R
+    from viewlog.plans.pipeline import run_incremental
+    from viewlog.sources.tables import read_fact
+    from viewlog.streaming.incremental import read_latest
+
+    raw, out = f"{tmp_dir}/raw", f"{tmp_dir}/out"
+    os.makedirs(raw)
+
+    def deliver(name, lines):
+        with open(f"{raw}/{name}", "w") as f:
+            f.write("\n".join(lines) + "\n")
+        run_incremental(spark, raw, out, table_prefix="le_")
+        fact = read_fact(spark, f"{out}/incremental/fact_sessions.parquet")
+        latest = read_latest(spark, f"{out}/incremental/profile_parts")
+        want = R.latest_event_per_user(fact)
+        assert latest.exceptAll(want).count() == 0 and want.exceptAll(latest).count() == 0
+        for name, report in (("last_action", R.last_action), ("crashed_share", R.crashed_share)):
+            assert spark.read.parquet(f"{out}/incremental/reports/{name}.parquet").collect() == report(fact).collect()
+        scans = [f for f in latest.inputFiles()]
+        assert scans and all("/profile_parts/user_month_last/" in f for f in scans)
+        return {r.Mac: (str(r.last_timestamp), r.last_item_id) for r in latest.collect()}
+
+    got = deliver("logt1.txt", [_line("m1", "2024-03-05", "VOD", "a"), _line("m1", "2024-01-05", "VOD", "b"), _line("m2", "2024-01-06", "VOD", "a")])
+    assert got == {"m1": ("2024-03-05 10:00:00", "a"), "m2": ("2024-01-06 10:00:00", "a")}
+    # Late: an older event changes nothing; the same second with a greater item wins; a new user.
+    got = deliver("logt2.txt", [_line("m1", "2024-01-09", "VOD", "z"), _line("m2", "2024-01-06", "VOD", "c"), _line("m3", "2023-12-31", "VOD", "q")])
+    assert got == {"m1": ("2024-03-05 10:00:00", "a"), "m2": ("2024-01-06 10:00:00", "c"), "m3": ("2023-12-31 10:00:00", "q")}

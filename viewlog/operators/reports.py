@@ -94,6 +94,10 @@ def completion_buckets(fact: DataFrame, null_bucket: bool = False) -> DataFrame:
                 .orderBy("bucket"))
 
 
+#: A user's last event, as it stands in the reports and in the state.
+LAST = ["last_timestamp", "last_event", "last_item_id"]
+
+
 def latest_event_per_user(fact: DataFrame) -> DataFrame:
     """Each user's last event: latest time, then greatest Event, then ItemId.
 
@@ -101,17 +105,31 @@ def latest_event_per_user(fact: DataFrame) -> DataFrame:
     aggregate is combined map-side, so even a user with a third of all rows
     leaves one partial row per map task.
     """
-    last = F.max(F.struct("session_timestamp", "Event", "ItemId")).alias("_last")
-    return (fact.groupBy("Mac").agg(last)
-                .select("Mac",
-                        F.col("_last.session_timestamp").alias("last_timestamp"),
-                        F.col("_last.Event").alias("last_event"),
-                        F.col("_last.ItemId").alias("last_item_id")))
+    return _latest(fact, ["Mac"])
+
+
+def latest_event_per_day(fact: DataFrame) -> DataFrame:
+    """Each user's last event of each date: the parts that ``merge_latest`` folds."""
+    return _latest(fact, ["Mac", "session_date"])
+
+
+def _latest(fact: DataFrame, keys: list[str]) -> DataFrame:
+    events = fact.select(*keys, *[F.col(c).alias(name) for c, name in zip(("session_timestamp", "Event", "ItemId"), LAST)])
+    return merge_latest(events, keys)
+
+
+def merge_latest(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """The last of ``LAST`` for each ``keys``; parts may come from any days, in any order, late or twice."""
+    return parts.groupBy(*keys).agg(F.max(F.struct(*LAST)).alias("_last")).select(*keys, *[F.col(f"_last.{c}").alias(c) for c in LAST])
 
 
 def last_action(fact: DataFrame) -> DataFrame:
-    return (latest_event_per_user(fact)
-            .groupBy("last_event").agg(F.count(F.lit(1)).alias("users"))
+    return last_action_of(latest_event_per_user(fact))
+
+
+def last_action_of(latest: DataFrame) -> DataFrame:
+    """Users by their last event, from one row per user."""
+    return (latest.groupBy("last_event").agg(F.count(F.lit(1)).alias("users"))
             .orderBy(F.desc("users"), F.asc_nulls_first("last_event")))
 
 
@@ -158,8 +176,13 @@ def watch_time_by_bucket(fact: DataFrame, null_bucket: bool = False) -> DataFram
 
 def crashed_share(fact: DataFrame, crash_event: str = "STARTCHANNEL") -> DataFrame:
     """Share of users whose last event is a channel start (a crashed session)."""
+    return crashed_share_of(latest_event_per_user(fact), crash_event)
+
+
+def crashed_share_of(latest: DataFrame, crash_event: str = "STARTCHANNEL") -> DataFrame:
+    """The crashed share from one row per user."""
     crashed = F.col("last_event") == crash_event
-    return (latest_event_per_user(fact)
+    return (latest
             .agg(F.count(F.lit(1)).alias("users"),
                  F.count_if(crashed).alias("crashed_users"),
                  F.round(F.avg(F.when(crashed, 1).otherwise(0)), 4).alias("crashed_share")))

@@ -172,6 +172,15 @@ FROM (SELECT *, row_number() OVER (PARTITION BY "Mac"
 
 register("latest_event_per_user", _LATEST)(lambda s, d: R.latest_event_per_user(fact_ev(s, d)))
 
+
+def _latest_via_months(s: SparkSession, d: str) -> DataFrame:
+    """Last events per date, merged per month, merged per user: the steps of an incremental run."""
+    days = R.latest_event_per_day(fact_ev(s, d)).withColumn("month", A.month_of())
+    return R.merge_latest(R.merge_latest(days, ["Mac", "month"]), ["Mac"])
+
+
+register("latest_from_months", _LATEST)(_latest_via_months)
+
 register("last_action", f"""
 SELECT last_event, count(*) AS users FROM ({_LATEST}) GROUP BY last_event
 ORDER BY users DESC""")(lambda s, d: R.last_action(fact_ev(s, d)))

@@ -148,9 +148,11 @@ FACT_REPORTS = ("daily_active_users", "top_content", "activity_heatmap", "app_us
                 "active_hours", "watch_time_by_bucket", "crashed_share", "completion_by_entry",
                 "mau_change")
 PROFILE_REPORTS = ("churn_analysis", "cohort_retention")
+#: Reports on each user's last event, from the state that incremental runs keep.
+LATEST_REPORTS = {"last_action": reports.last_action_of, "crashed_share": reports.crashed_share_of}
 
 
-def report_step(spark: SparkSession, p: Paths, parallel: int = 4) -> int:
+def report_step(spark: SparkSession, p: Paths, parallel: int = 4, latest: DataFrame | None = None) -> int:
     """Write every report, computed from the written fact table and profiles.
 
     The reports that ``operators.cube`` answers share one scan: the cube is
@@ -159,7 +161,8 @@ def report_step(spark: SparkSession, p: Paths, parallel: int = 4) -> int:
     columns. The jobs are independent, so up to ``parallel`` of them run at once
     in the same session, keeping the cluster busy while small stages finish.
     Each has a scheduler pool of its own, so under FAIR scheduling none waits
-    for another.
+    for another. With ``latest`` (a row per user) the reports on last events
+    read that instead of the fact.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -171,6 +174,8 @@ def report_step(spark: SparkSession, p: Paths, parallel: int = 4) -> int:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"report-{name}")
         if name in cube.REPORTS:
             report = cube.REPORTS[name](shared)
+        elif latest is not None and name in LATEST_REPORTS:
+            report = LATEST_REPORTS[name](latest)
         else:
             report = getattr(reports, name)(fact if name in FACT_REPORTS else profiles)
         return write_parquet(report, f"{p.out}/reports/{name}.parquet")
@@ -250,7 +255,7 @@ def run_incremental(spark: SparkSession, raw_dir: str, out_dir: str, glob: str =
     Profiles, tables and reports follow in every run, so a failure in one of
     them is made good by the next.
     """
-    from viewlog.streaming.incremental import ingest_new_files, read_months, refresh_fact
+    from viewlog.streaming.incremental import ingest_new_files, read_latest, read_months, refresh_fact
 
     p = Paths(raw_dir.rstrip("/"), f"{out_dir.rstrip('/')}/incremental", glob, "session_date")
     ckpt, summaries = f"{p.out}/_checkpoints", f"{p.out}/profile_parts"
@@ -266,5 +271,5 @@ def run_incremental(spark: SparkSession, raw_dir: str, out_dir: str, glob: str =
         step("load", lambda: load_step(spark, p, table_prefix, jdbc))
         result.quality = step("quality", lambda: quality_step(spark, p))
         if reports_too:
-            step("reports", lambda: report_step(spark, p))
+            step("reports", lambda: report_step(spark, p, latest=read_latest(spark, summaries)))
     return result

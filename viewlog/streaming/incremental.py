@@ -94,8 +94,10 @@ def ingest_new_files(spark: SparkSession, raw_dir: str, out_path: str, checkpoin
 # log rows of those dates, and written over just those date partitions.
 
 
-DAY_SUMMARIES = ("user_day", "user_day_apps", "user_day_items")
+#: Parts of profiles, and the last events: per date, and merged per month.
+DAY_SUMMARIES = ("user_day", "user_day_apps", "user_day_items", "user_day_last")
 MONTH_SUMMARIES = ("user_month", "user_month_apps", "user_month_items")
+LAST_EVENTS = "user_month_last"
 #: Numbers of the items, which the item bitmaps of all months share.
 ITEM_CODES, CODES_SCHEMA = "item_codes", "value string, code bigint"
 
@@ -111,6 +113,13 @@ def read_months(spark: SparkSession, summary_dir: str) -> list[DataFrame]:
     return [_read_summary(spark, summary_dir, name) for name in MONTH_SUMMARIES]
 
 
+def read_latest(spark: SparkSession, summary_dir: str) -> DataFrame:
+    """Each user's last event from the monthly state: ``latest_event_per_user`` without the fact."""
+    from viewlog.operators.reports import merge_latest
+
+    return merge_latest(_read_summary(spark, summary_dir, LAST_EVENTS), ["Mac"])
+
+
 def _write_folders(df: DataFrame, path: str, column: str, first_cols: tuple[str, ...]) -> None:
     """Overwrite the folders of ``column`` (a date, a month) that ``df`` has rows of.
 
@@ -131,6 +140,7 @@ def refresh_months(spark: SparkSession, summary_dir: str, touched: DataFrame) ->
     """
     from viewlog.operators import bitmaps
     from viewlog.operators import profiles as A
+    from viewlog.operators.reports import merge_latest
 
     months = touched.select(F.trunc("d", "month").alias("m")).distinct()
     lo, hi = months.agg(F.min("m"), F.last_day(F.max("m"))).first()
@@ -145,7 +155,8 @@ def refresh_months(spark: SparkSession, summary_dir: str, touched: DataFrame) ->
     bitmaps.new_codes(items, spark.read.schema(CODES_SCHEMA).parquet(path), "ItemId").write.mode("append").parquet(path)
     codes = spark.read.schema(CODES_SCHEMA).parquet(path)
     for name, df in (("user_month", A.user_month_summary(days("user_day"))), ("user_month_apps", A.user_month_apps(days("user_day_apps"))),
-                     ("user_month_items", A.user_month_items(items, codes))):
+                     ("user_month_items", A.user_month_items(items, codes)),
+                     (LAST_EVENTS, merge_latest(days("user_day_last").withColumn("month", A.month_of()), ["Mac", "month"]))):
         _write_folders(df, f"{summary_dir}/{name}", "month", ("Mac",))
 
 
@@ -164,6 +175,7 @@ def refresh_fact_dates(spark: SparkSession, logs_path: str, fact_path: str,
     """
     from viewlog.operators import profiles as A
     from viewlog.operators.clean import dedup_hashed
+    from viewlog.operators.reports import latest_event_per_day
     from viewlog.plans.transform import build_fact
 
     path = work_path(spark, "touched-dates")
@@ -181,7 +193,7 @@ def refresh_fact_dates(spark: SparkSession, logs_path: str, fact_path: str,
         # Per-day profile parts of the same dates, from the partitions just written.
         fact = read_fact(spark, fact_path).where(F.col("session_date").between(F.lit(lo), F.lit(hi)))
         fact = fact.join(touched, F.col("session_date") == F.col("d"), "left_semi")
-        for name, build in zip(DAY_SUMMARIES, (A.user_day_summary, A.user_day_apps, A.user_day_items)):
+        for name, build in zip(DAY_SUMMARIES, (A.user_day_summary, A.user_day_apps, A.user_day_items, latest_event_per_day)):
             _write_folders(build(fact), f"{summary_dir}/{name}", "session_date", ("Mac",))
         refresh_months(spark, summary_dir, touched)
     return n
