@@ -1,15 +1,18 @@
 """Sinks: Parquet files, catalog tables and JDBC, plus load verification.
 
-Writes are full refreshes (overwrite), as in the original pipeline. Row
-counts come from the written files' metadata, never from running the plan
-a second time.
+Writes are full refreshes, as in the original pipeline, but never in place: an
+output is written beside the old one, its rows are verified, and only then it
+takes the old one's name. A run that dies before leaves the old output as it
+was, and a plan may read the output that it replaces. Row counts come from the
+written files' metadata, never from running the plan a second time.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from viewlog.schema import LOAD_BATCH_ROWS
@@ -22,7 +25,7 @@ MAX_RECORDS_PER_FILE = 5_000_000
 def write_partitioned(df: DataFrame, path: str, partition_col: str | None = "AppName",
                       max_records: int = MAX_RECORDS_PER_FILE,
                       cluster_by: tuple[str, ...] = ("session_date", "session_timestamp")) -> str:
-    """Overwrite ``path`` with Parquet, partitioned by ``partition_col`` if present.
+    """Publish ``df`` at ``path`` as Parquet, partitioned by ``partition_col`` if present.
 
     No repartition before the write: each task writes its own rows into
     the partition folders, so a value holding most rows is still written
@@ -34,20 +37,79 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str | None = "App
     order = part + [c for c in cluster_by if c in df.columns][:1]
     if order:
         df = df.sortWithinPartitions(*order)
-    writer = df.write.mode("overwrite").option("maxRecordsPerFile", max_records)
-    if part:
-        writer = writer.partitionBy(*part)
-    writer.parquet(path)
+    publish(df, path, lambda w: (w.partitionBy(*part) if part else w).option("maxRecordsPerFile", max_records))
     return path
 
 
 def write_parquet(df: DataFrame, path: str, max_records: int = MAX_RECORDS_PER_FILE) -> int:
-    """Overwrite ``path`` with Parquet and return the number of rows written.
+    """Publish ``df`` at ``path`` as Parquet and return the number of rows written."""
+    return publish(df, path, lambda w: w.option("maxRecordsPerFile", max_records))
 
-    The count reads Parquet footers only.
+
+class PublishError(RuntimeError):
+    """An output could not be verified or moved; the old one is in place."""
+
+
+def _place(spark: SparkSession, path: str):
+    """The Hadoop path and its file system."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _beside(path: str, kind: str, name: str = "") -> str:
+    """A hidden sibling of ``path``: Spark's readers pass over names that begin with an underscore."""
+    parent, _, base = path.rstrip("/").rpartition("/")
+    return f"{parent}/_{kind}/{base}{name}"
+
+
+def publish(df: DataFrame, path: str, options: Callable[[DataFrameWriter], DataFrameWriter] = lambda w: w) -> int:
+    """Write ``df`` beside ``path``, verify its rows, then put it in the place of what is there.
+
+    The rows counted while writing must be those in the files' footers. Two
+    renames make the exchange; if the second fails the old output is put back.
+    Should the run die between them, the next ``publish`` or ``recover`` does so.
     """
-    df.write.mode("overwrite").option("maxRecordsPerFile", max_records).parquet(path)
-    return df.sparkSession.read.parquet(path).count()
+    spark = df.sparkSession
+    recover(spark, path)
+    staged, seen = _beside(path, "staged", f"-{uuid.uuid4().hex}"), Observation(f"published-{uuid.uuid4().hex}")
+    options(df.observe(seen, F.count(F.lit(1)).alias("rows")).write).parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged).count()
+    if rows != seen.get["rows"]:
+        raise PublishError(f"{staged} has {rows} rows, {seen.get['rows']} were written")
+    _exchange(spark, staged, path)
+    spark.catalog.refreshByPath(path)
+    return rows
+
+
+def _exchange(spark: SparkSession, staged: str, path: str) -> None:
+    (new, fs), (target, _) = _place(spark, staged), _place(spark, path)
+    aside, _ = _place(spark, _beside(path, "replaced"))
+    fs.mkdirs(target.getParent())
+    replaced = fs.exists(target)
+    if replaced:
+        fs.mkdirs(aside.getParent())
+        if not fs.rename(target, aside):
+            raise PublishError(f"{path} cannot be moved aside")
+    if not fs.rename(new, target):
+        if replaced:
+            fs.rename(aside, target)
+        raise PublishError(f"{staged} cannot be moved to {path}")
+    if replaced:
+        fs.delete(aside, True)
+
+
+def recover(spark: SparkSession, path: str) -> bool:
+    """Finish an exchange that was cut off: the replaced output returns if nothing took its place; else it goes."""
+    target, fs = _place(spark, path)
+    aside, _ = _place(spark, _beside(path, "replaced"))
+    if not fs.exists(aside):
+        return False
+    if fs.exists(target):
+        fs.delete(aside, True)
+        return False
+    if not fs.rename(aside, target):
+        raise PublishError(f"{path} cannot be restored")
+    return True
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None,
@@ -67,20 +129,42 @@ def save_table(df: DataFrame, name: str, path: str | None = None,
 
 
 def external_table(spark: SparkSession, name: str, df: DataFrame, path: str, partition_col: str | None = None) -> str:
-    """Replace catalog table ``name`` by an external one over the files at ``path``, which ``df`` reads.
+    """Make catalog table ``name`` an external one over the files at ``path``, which ``df`` reads.
 
-    No data is copied: the table is the written output.
+    No data is copied: the table is the written output. A table that is there
+    with these columns stays: its location follows the output, its folders are
+    synchronised, and readers always find it. It is made anew only if its
+    columns or partitioning differ, or a partitioned one moved.
     """
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     by = f" PARTITIONED BY (`{partition_col}`)" if partition_col else ""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet{by} LOCATION '{path}'")
-    if partition_col:
-        spark.catalog.recoverPartitions(name)
+    if _same_table(spark, name, df, path, partition_col):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
+        if partition_col:
+            spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} ({fields}) USING parquet{by} LOCATION '{path}'")
+        if partition_col:
+            spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
     return name
 
 
+def _same_table(spark: SparkSession, name: str, df: DataFrame, path: str, partition_col: str | None) -> bool:
+    """Whether the table has the columns and partitioning of ``df`` and, if partitioned, lies at ``path``."""
+    if not spark.catalog.tableExists(name):
+        return False
+    columns = spark.catalog.listColumns(name)
+    if {(c.name, c.dataType) for c in columns} != {(f.name, f.dataType.simpleString()) for f in df.schema}:
+        return False
+    if [c.name for c in columns if c.isPartition] != ([partition_col] if partition_col else []):
+        return False
+    place, fs = _place(spark, path)
+    location = next(r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r.col_name == "Location")
+    return not partition_col or _place(spark, location)[0].equals(fs.makeQualified(place))
+
+
 #: Environment variables that name a target database; command-line options win over them.
 JDBC_ENV = {"url": "VIEWLOG_JDBC_URL", "user": "VIEWLOG_JDBC_USER", "password": "VIEWLOG_JDBC_PASSWORD",
             "driver": "VIEWLOG_JDBC_DRIVER", "num_partitions": "VIEWLOG_JDBC_CONNECTIONS"}
