@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from viewlog.functions.casts import legacy_long, session_timestamp, try_float
-from viewlog.functions.parse import parse_columns, parse_records
+from viewlog.functions.parse import parse_columns, parse_judged, parse_records
 from viewlog.schema import COLUMN_ALIASES, KEEP_FIELDS, REQUIRED_KEYS
 
 
@@ -58,14 +58,16 @@ def parse_session_timestamp(df: DataFrame) -> DataFrame:
     return df.withColumn("session_timestamp", session_timestamp(F.col("SessionMainMenu")))
 
 
-def select_and_cast(df: DataFrame) -> DataFrame:
+def select_and_cast(df: DataFrame, *more: Column) -> DataFrame:
+    """The 16 ``logs_clean`` columns, and ``more``."""
+    extra = df.select(*more).columns
     return df.select(
         *[F.col(c) for c in KEEP_FIELDS if c not in ("RealTimePlaying", "ElapsedTimePlaying", "Duration")],
         try_float(F.col("RealTimePlaying")).alias("RealTimePlaying"),
         legacy_long(F.col("ElapsedTimePlaying")).alias("ElapsedTimePlaying"),
         legacy_long(F.col("Duration")).alias("Duration"),
-        "session_timestamp",
-    ).select(*KEEP_FIELDS, "session_timestamp")
+        "session_timestamp", *more,
+    ).select(*KEEP_FIELDS, "session_timestamp", *extra)
 
 
 def ingest_lines(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -74,6 +76,18 @@ def ingest_lines(lines: DataFrame, col: str = "value") -> DataFrame:
             .transform(parse_session_timestamp).transform(select_and_cast))
 
 
+def ingest_judged(lines: DataFrame, col: str = "value") -> DataFrame:
+    """``logs_clean`` rows and rejected lines of one parse: ``verdict`` (accepted, rejected), ``reject_reason``, ``line``."""
+    rows = parse_judged(lines, _spellings(), tuple(REQUIRED_KEYS), col).transform(parse_session_timestamp)
+    verdict = F.when(F.col("reject_reason").isNull(), "accepted").otherwise("rejected").alias("verdict")
+    return select_and_cast(rows, F.col("reject_reason"), F.col("line"), verdict)
+
+
+def reject_counts(rejected: DataFrame) -> DataFrame:
+    """Rejected lines per reason."""
+    return rejected.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("lines")).orderBy("reject_reason")
+
+
 def discover_columns(lines: DataFrame, col: str = "value") -> DataFrame:
     """Every key seen in parsed, kept records and how many records carry it."""
     return (parse_lines(lines, col).transform(keep_required)

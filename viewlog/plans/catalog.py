@@ -388,6 +388,14 @@ def _incremental_fact(s: SparkSession, d: str) -> DataFrame:
     return read_fact(s, fact)
 
 
+def _rejected(s: SparkSession, d: str) -> DataFrame:
+    """As in the pipeline: log files are parsed once, accepted rows and rejected lines written; counted per reason."""
+    logs, rejected = work_path(s, "logs-clean"), work_path(s, "rejected")
+    S.write_judged(I.ingest_judged(read_text_logs(s, _written_lines(s, d), glob="part-*")), logs, rejected)
+    return I.reject_counts(S.read_rejected(s, rejected))
+
+
+register("rejected_lines", O.REJECTED)(_rejected)
 register("text_scan", f"SELECT * FROM ({O.LOGS_FROM_LINES})")(_text_scan)
 register("transform_lines", O.FACT_FROM_LINES)(lambda s, d: build_fact(_ingest(s, d)))
 register("incremental_fact", O.FACT_FROM_LINES)(_incremental_fact)

@@ -18,13 +18,13 @@ from pyspark.sql import types as T
 from viewlog.operators import cube, reports
 from viewlog.operators.clean import clean_observed
 from viewlog.operators.features import fact_sessions, session_features
-from viewlog.operators.ingest import ingest_lines
+from viewlog.operators.ingest import ingest_judged
 from viewlog.operators.profiles import (profiles_from_months, profiles_from_summaries, user_day_apps,
                                          user_day_items, user_day_summary)
 from viewlog.operators.quality import gate, quality_report
 from viewlog.session import sized_shuffles
 from viewlog.sources.sinks import (external_table, jdbc_count, jdbc_probe, write_jdbc,
-                                   write_parquet, write_partitioned)
+                                   write_judged, write_parquet, write_partitioned)
 from viewlog.sources.tables import read_fact, read_logs_clean
 from viewlog.sources.text import LOG_GLOB, read_text_logs, source_check
 
@@ -48,6 +48,10 @@ class Paths:
     def logs_clean(self) -> str:
         return f"{self.out}/logs_clean.parquet"
 
+    @property
+    def rejected(self) -> str:
+        return f"{self.out}/rejected_lines.parquet"
+
     @property
     def fact(self) -> str:
         return f"{self.out}/fact_sessions.parquet"
@@ -83,9 +87,8 @@ class LoadError(RuntimeError):
 
 
 def ingest_step(spark: SparkSession, p: Paths) -> int:
-    logs = ingest_lines(read_text_logs(spark, p.raw, p.glob))
-    write_partitioned(logs, p.logs_clean, "AppName")
-    return read_logs_clean(spark, p.logs_clean).count()
+    """One parse writes the accepted rows and, with their reasons, the rejected lines."""
+    return write_judged(ingest_judged(read_text_logs(spark, p.raw, p.glob)), p.logs_clean, p.rejected)["accepted"]
 
 
 def profiles_of(fact: DataFrame) -> DataFrame:

@@ -81,6 +81,45 @@ def publish(df: DataFrame, path: str, options: Callable[[DataFrameWriter], DataF
     return rows
 
 
+def publish_split(df: DataFrame, column: str, paths: Mapping[str, str],
+                  options: Callable[[DataFrameWriter], DataFrameWriter] = lambda w: w, then_by: tuple[str, ...] = ()) -> dict[str, int]:
+    """Publish the rows of each value of ``column`` at a path of its own, all written by one job.
+
+    The folders that the partitioned write makes for the values are what takes
+    the old outputs' places; below them it goes on by ``then_by``.
+    """
+    spark, first = df.sparkSession, next(iter(paths.values()))
+    for path in paths.values():
+        recover(spark, path)
+    staged, seen = _beside(first, "staged", f"-{uuid.uuid4().hex}"), Observation(f"published-{uuid.uuid4().hex}")
+    counts = [F.count_if(F.col(column) == value).alias(value) for value in paths]
+    options(df.observe(seen, *counts).write).partitionBy(column, *then_by).parquet(staged)
+    rows, schema = {}, df.drop(column).schema
+    for value in paths:
+        folder, fs = _place(spark, f"{staged}/{column}={value}")
+        fs.mkdirs(folder)  # of a value without rows
+        rows[value] = spark.read.schema(schema).parquet(f"{staged}/{column}={value}").count()
+        if rows[value] != seen.get[value]:
+            raise PublishError(f"{staged} has {rows[value]} rows of {value}, {seen.get[value]} were written")
+    for value, path in paths.items():
+        _exchange(spark, f"{staged}/{column}={value}", path)
+        spark.catalog.refreshByPath(path)
+    return rows
+
+
+def write_judged(df: DataFrame, accepted: str, rejected: str, partition_col: str = "AppName",
+                 max_records: int = MAX_RECORDS_PER_FILE) -> dict[str, int]:
+    """Ingested rows to ``accepted`` by ``partition_col``, as ``write_partitioned`` does, and rejected lines to ``rejected``."""
+    rows = df.sortWithinPartitions("verdict", partition_col, "session_timestamp")
+    return publish_split(rows, "verdict", {"accepted": accepted, "rejected": rejected},
+                         lambda w: w.option("maxRecordsPerFile", max_records), (partition_col,))
+
+
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """``reject_reason, line`` of the rejected lines."""
+    return spark.read.schema("reject_reason string, line string").parquet(path).select("reject_reason", "line")
+
+
 def _exchange(spark: SparkSession, staged: str, path: str) -> None:
     (new, fs), (target, _) = _place(spark, staged), _place(spark, path)
     aside, _ = _place(spark, _beside(path, "replaced"))
