@@ -26,8 +26,9 @@ from viewlog.plans import oracle as O
 from viewlog.plans.transform import build_fact, fact_ev, fact_or, profile_core_or, profiles_or
 from viewlog.session import work_path, written
 from viewlog.sources import sinks as S
+from viewlog.sources.ledger import line_digests, source_changes
 from viewlog.sources.tables import (load_raw_lines, load_sessions_ev, load_sessions_ev_dup,
-                                    read_fact, read_logs_clean)
+                                    read_fact, read_logs_clean, read_table)
 from viewlog.sources.text import read_text_logs, source_check
 from viewlog.streaming.incremental import ingest_new_files, refresh_fact
 
@@ -395,6 +396,25 @@ def _rejected(s: SparkSession, d: str) -> DataFrame:
     return I.reject_counts(S.read_rejected(s, rejected))
 
 
+def _source_changes(s: SparkSession, d: str) -> DataFrame:
+    """Two deliveries of text files, a folder per event date, compared by their ledgers.
+
+    The second lacks the first date, has the last, and lacks every tenth event
+    of odd days; a date's files count as one source.
+    """
+    events = read_table(s, d, "events").select(F.to_date("ts").alias("day"), "event_id", F.to_json(F.struct("event_id", "event_type", "value")).alias("value"))
+    first, last = events.select(F.min("day")).scalar(), events.select(F.max("day")).scalar()
+    kept = (F.col("day") > first) & ((F.dayofmonth("day") % 2 == 0) | (F.col("event_id") % 10 != 0))
+    ledgers = []
+    for name, part in (("before", events.where(F.col("day") < last)), ("after", events.where(kept))):
+        path = work_path(s, f"delivery-{name}")
+        part.select("day", "value").write.partitionBy("day").text(path)
+        source = F.regexp_extract(F.col("_metadata.file_path"), "day=([^/]*)/", 1)
+        ledgers.append(written(line_digests(s.read.text(path), source), "ledger"))
+    return source_changes(ledgers[1], ledgers[0])
+
+
+register("source_changes", O.SOURCE_CHANGES)(_source_changes)
 register("rejected_lines", O.REJECTED)(_rejected)
 register("text_scan", f"SELECT * FROM ({O.LOGS_FROM_LINES})")(_text_scan)
 register("transform_lines", O.FACT_FROM_LINES)(lambda s, d: build_fact(_ingest(s, d)))

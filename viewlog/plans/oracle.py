@@ -273,6 +273,18 @@ SELECT CASE {_KIND} WHEN 1 THEN 'not a dict' WHEN 2 THEN 'empty' WHEN 3 THEN 'no
 FROM events WHERE event_id % 50 = 0 AND {_KIND} <> 4 GROUP BY 1 ORDER BY 1
 """
 
+# Two deliveries of the events as lines, a source per date; see the query.
+SOURCE_CHANGES = """
+WITH e AS (SELECT CAST(ts AS DATE) AS day, event_id FROM events),
+ends AS (SELECT min(day) AS first, max(day) AS last FROM e),
+b AS (SELECT day, count(*) AS n FROM e, ends WHERE day < last GROUP BY day),
+a AS (SELECT day, count(*) AS n FROM e, ends WHERE day > first AND (day(day) % 2 = 0 OR event_id % 10 <> 0) GROUP BY day)
+SELECT strftime(coalesce(a.day, b.day), '%Y-%m-%d') AS file,
+  CASE WHEN b.day IS NULL THEN 'new' WHEN a.day IS NULL THEN 'gone' ELSE 'changed' END AS status,
+  b.n AS lines_before, a.n AS lines_after
+FROM a FULL JOIN b ON a.day = b.day WHERE a.n IS DISTINCT FROM b.n
+"""
+
 LOGS_COLS = KEEP + ["session_timestamp"]
 
 

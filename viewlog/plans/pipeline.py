@@ -22,8 +22,9 @@ from viewlog.operators.ingest import ingest_judged
 from viewlog.operators.profiles import (profiles_from_months, profiles_from_summaries, user_day_apps,
                                          user_day_items, user_day_summary)
 from viewlog.operators.quality import gate, quality_report
-from viewlog.session import sized_shuffles
-from viewlog.sources.sinks import (external_table, jdbc_count, jdbc_probe, write_jdbc,
+from viewlog.session import sized_shuffles, written
+from viewlog.sources.ledger import current_ledger, read_ledger, source_changes, write_ledger
+from viewlog.sources.sinks import (external_table, jdbc_count, jdbc_probe, path_exists, write_jdbc,
                                    write_judged, write_parquet, write_partitioned)
 from viewlog.sources.tables import read_fact, read_logs_clean
 from viewlog.sources.text import LOG_GLOB, read_text_logs, source_check
@@ -64,6 +65,10 @@ class Paths:
     def cube(self) -> str:
         return f"{self.out}/reports/activity_cube.parquet"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.out}/input_ledger.parquet"
+
     @property
     def run_log(self) -> str:
         return f"{self.out}/run_log.parquet"
@@ -75,6 +80,11 @@ class RunResult:
     steps: list[tuple[str, float, int | None]] = field(default_factory=list)
     quality: dict | None = None
     skipped: bool = False
+    changes: dict[str, int] = field(default_factory=dict)  # source files by status: new, changed, gone
+
+
+class SourceChanged(RuntimeError):
+    """Files that earlier runs have ingested hold other lines now."""
 
 
 def check_step(spark: SparkSession, p: Paths) -> int:
@@ -246,7 +256,7 @@ def run(spark: SparkSession, raw_dir: str, out_dir: str, glob: str = LOG_GLOB,
 
 def run_incremental(spark: SparkSession, raw_dir: str, out_dir: str, glob: str = LOG_GLOB,
                     table_prefix: str = "", reports_too: bool = True, jdbc: dict[str, str] | None = None,
-                    max_files_per_batch: int | None = None) -> RunResult:
+                    max_files_per_batch: int | None = None, accept_changed: bool = False, skip_unchanged: bool = True) -> RunResult:
     """Scheduled incremental run: new files -> touched fact dates -> profiles.
 
     Its files lie in ``out_dir/incremental``, apart from a batch run's. Ingest
@@ -255,8 +265,15 @@ def run_incremental(spark: SparkSession, raw_dir: str, out_dir: str, glob: str =
     run that failed. The fact and three per-day profile summaries are
     partitioned by ``session_date`` and rebuilt only for touched dates, three
     per-month summaries only for the months of those dates.
-    Profiles, tables and reports follow in every run, so a failure in one of
-    them is made good by the next.
+    Profiles, tables and reports follow in every run that has something to do,
+    so a failure in one of them is made good by the next.
+
+    A ledger of the source files is published when a run has done all its
+    steps. If the files are those of the ledger, the next run ends after the
+    check (``skip_unchanged``). A file whose lines have changed since would
+    never be read again by the stream: the run fails, naming such files, unless
+    ``accept_changed``; a batch ``run`` reads everything anew. Files that are gone
+    are counted only, as logs are rotated away.
     """
     from viewlog.streaming.incremental import ingest_new_files, read_latest, read_months, refresh_fact
 
@@ -267,6 +284,16 @@ def run_incremental(spark: SparkSession, raw_dir: str, out_dir: str, glob: str =
         if step("check", lambda: check_step(spark, p)) == 0:
             result.skipped = True
             return result
+        last = read_ledger(spark, p.ledger)
+        current = written(current_ledger(spark, p.raw, last, p.glob), "ledger")
+        changes = written(source_changes(current, last), "source-changes")
+        result.changes = {r.status: r["count"] for r in changes.groupBy("status").count().collect()}
+        if result.changes.get("changed") and not accept_changed:
+            names = [r.file for r in changes.where("status = 'changed'").orderBy("file").limit(10).collect()]
+            raise SourceChanged(f"{result.changes['changed']} ingested files have changed: {', '.join(names)}")
+        if skip_unchanged and not result.changes and path_exists(spark, p.ledger):
+            result.skipped = True
+            return result
         step("ingest", lambda: ingest_new_files(spark, p.raw, p.logs_clean, f"{ckpt}/ingest", p.glob, max_files_per_batch))
         step("transform", lambda: refresh_fact(spark, p.logs_clean, p.fact, f"{ckpt}/fact", summary_dir=summaries))
         # Profiles from the per-month summaries, not from events or user-days.
@@ -275,4 +302,5 @@ def run_incremental(spark: SparkSession, raw_dir: str, out_dir: str, glob: str =
         result.quality = step("quality", lambda: quality_step(spark, p))
         if reports_too:
             step("reports", lambda: report_step(spark, p, latest=read_latest(spark, summaries)))
+            write_ledger(current, p.ledger)
     return result

@@ -56,6 +56,11 @@ def _place(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, fs = _place(spark, path)
+    return fs.exists(place)
+
+
 def _beside(path: str, kind: str, name: str = "") -> str:
     """A hidden sibling of ``path``: Spark's readers pass over names that begin with an underscore."""
     parent, _, base = path.rstrip("/").rpartition("/")

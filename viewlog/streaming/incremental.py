@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from viewlog.operators.ingest import ingest_lines
-from viewlog.schema import LOGS_CLEAN_SCHEMA
+from viewlog.schema import FACT_SCHEMA, LOGS_CLEAN_SCHEMA
 from viewlog.session import work_path
+from viewlog.sources.sinks import path_exists
 from viewlog.sources.tables import read_fact
 from viewlog.sources.text import LOG_GLOB
 
@@ -102,10 +103,28 @@ LAST_EVENTS = "user_month_last"
 ITEM_CODES, CODES_SCHEMA = "item_codes", "value string, code bigint"
 
 
+def _summaries(fact: DataFrame, codes: DataFrame) -> dict[str, DataFrame]:
+    """Every summary of a fact table, by name."""
+    from viewlog.operators import profiles as A
+    from viewlog.operators.reports import latest_event_per_day
+
+    days = dict(zip(DAY_SUMMARIES, (f(fact) for f in (A.user_day_summary, A.user_day_apps, A.user_day_items, latest_event_per_day))))
+    return {**days, **_month_summaries(days, codes)}
+
+
+def _month_summaries(days: dict[str, DataFrame], codes: DataFrame) -> dict[str, DataFrame]:
+    from viewlog.operators import profiles as A
+    from viewlog.operators.reports import merge_latest
+
+    return {"user_month": A.user_month_summary(days["user_day"]), "user_month_apps": A.user_month_apps(days["user_day_apps"]),
+            "user_month_items": A.user_month_items(days["user_day_items"], codes),
+            LAST_EVENTS: merge_latest(days["user_day_last"].withColumn("month", A.month_of()), ["Mac", "month"])}
+
+
 def _read_summary(spark: SparkSession, summary_dir: str, name: str) -> DataFrame:
-    """A summary with its folder column typed as DATE."""
-    column = "session_date" if name in DAY_SUMMARIES else "month"
-    return spark.read.parquet(f"{summary_dir}/{name}").withColumn(column, F.col(column).cast("date"))
+    """A summary with the schema that its definition gives, so that one without rows reads too."""
+    schema = _summaries(spark.createDataFrame([], FACT_SCHEMA), spark.createDataFrame([], CODES_SCHEMA))[name].schema
+    return spark.read.schema(schema).parquet(f"{summary_dir}/{name}")
 
 
 def read_months(spark: SparkSession, summary_dir: str) -> list[DataFrame]:
@@ -139,8 +158,6 @@ def refresh_months(spark: SparkSession, summary_dir: str, touched: DataFrame) ->
     repeated finds them known. Rebuilt months get the same rows again.
     """
     from viewlog.operators import bitmaps
-    from viewlog.operators import profiles as A
-    from viewlog.operators.reports import merge_latest
 
     months = touched.select(F.trunc("d", "month").alias("m")).distinct()
     lo, hi = months.agg(F.min("m"), F.last_day(F.max("m"))).first()
@@ -150,21 +167,15 @@ def refresh_months(spark: SparkSession, summary_dir: str, touched: DataFrame) ->
         return df.join(months, F.trunc("session_date", "month") == F.col("m"), "left_semi")
 
     items, path = days("user_day_items"), f"{summary_dir}/{ITEM_CODES}"
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         spark.createDataFrame([], CODES_SCHEMA).write.parquet(path)
     bitmaps.new_codes(items, spark.read.schema(CODES_SCHEMA).parquet(path), "ItemId").write.mode("append").parquet(path)
     codes = spark.read.schema(CODES_SCHEMA).parquet(path)
-    for name, df in (("user_month", A.user_month_summary(days("user_day"))), ("user_month_apps", A.user_month_apps(days("user_day_apps"))),
-                     ("user_month_items", A.user_month_items(items, codes)),
-                     (LAST_EVENTS, merge_latest(days("user_day_last").withColumn("month", A.month_of()), ["Mac", "month"]))):
+    read = {name: days(name) for name in DAY_SUMMARIES}
+    for name, df in _month_summaries(read, codes).items():
         _write_folders(df, f"{summary_dir}/{name}", "month", ("Mac",))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
-
-
 def refresh_fact_dates(spark: SparkSession, logs_path: str, fact_path: str,
                        dates: DataFrame, summary_dir: str | None = None) -> int:
     """Rebuild the fact partitions of ``dates`` (column ``d``) from every log row of those dates.
@@ -173,9 +184,7 @@ def refresh_fact_dates(spark: SparkSession, logs_path: str, fact_path: str,
     with the same rows (the dedup survivor is deterministic), so a retried
     micro-batch cannot duplicate data. Returns the number of dates rebuilt.
     """
-    from viewlog.operators import profiles as A
     from viewlog.operators.clean import dedup_hashed
-    from viewlog.operators.reports import latest_event_per_day
     from viewlog.plans.transform import build_fact
 
     path = work_path(spark, "touched-dates")
@@ -193,8 +202,9 @@ def refresh_fact_dates(spark: SparkSession, logs_path: str, fact_path: str,
         # Per-day profile parts of the same dates, from the partitions just written.
         fact = read_fact(spark, fact_path).where(F.col("session_date").between(F.lit(lo), F.lit(hi)))
         fact = fact.join(touched, F.col("session_date") == F.col("d"), "left_semi")
-        for name, build in zip(DAY_SUMMARIES, (A.user_day_summary, A.user_day_apps, A.user_day_items, latest_event_per_day)):
-            _write_folders(build(fact), f"{summary_dir}/{name}", "session_date", ("Mac",))
+        parts = _summaries(fact, spark.createDataFrame([], CODES_SCHEMA))
+        for name in DAY_SUMMARIES:
+            _write_folders(parts[name], f"{summary_dir}/{name}", "session_date", ("Mac",))
         refresh_months(spark, summary_dir, touched)
     return n
 
