@@ -143,28 +143,31 @@ class Encoder:
             self.rests[r] = np.array(e.ids, self.kind).tobytes()
         return list(map(self.rests.__getitem__, rests))
 
-    def _learn(self, chunks: list[str]) -> None:
+    def _learn(self, chunks: list[str]) -> list[bytes]:
         if len(self.known) > HELD:
             self.known.clear()
         if len(self.rests) > HELD:
             self.rests = {"": b""}
         words = [m[0] if (m := _WORD.match(c)) else "" for c in chunks]
         rests = self._rests([c[len(w):] for c, w in zip(chunks, words)])
-        self.known.update(zip(chunks, map(operator.add, self._words(words), rests)))
+        ids = list(map(operator.add, self._words(words), rests))
+        self.known.update(zip(chunks, ids))
+        return ids
 
     def _ids(self, chunks: list[str]) -> list[bytes]:
         """The ids of distinct chunks."""
         ids = list(map(self.known.get, chunks))
-        if None in ids:
-            self._learn([c for c, i in zip(chunks, ids) if i is None])
-            ids = [self.known[c] if i is None else i for c, i in zip(chunks, ids)]
+        new = [k for k, i in enumerate(ids) if i is None]
+        if new:
+            for k, i in zip(new, self._learn([chunks[k] for k in new])):
+                ids[k] = i
         return ids
 
     def _group(self, group: list[str]) -> list[bytes]:
         """The ids of each of a group of texts: every distinct chunk is looked up once, then gathered by its places."""
         found = [pa.array(_CHUNK.findall(t), pa.large_string()) for t in group]
         coded = pa.concat_arrays(found).dictionary_encode()
-        ids = pa.array(self._ids(coded.dictionary.to_pylist()), pa.large_binary()).take(coded.indices)
+        ids = pa.array(self._ids(coded.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(coded.indices)
         offsets = np.frombuffer(ids.buffers()[1], np.int64)[:len(ids) + 1]
         ends = offsets[np.cumsum([0, *map(len, found)])].tolist()
         data = ids.buffers()[2].to_pybytes() if ends[-1] else b""
