@@ -69,7 +69,7 @@ def repeated_keys(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return written(found.where("n > 1").select("key"), "repeated-keys")
 
 
-def dedup_hashed(df: DataFrame, keys: list[str] | None = None, counted: DataFrame | None = None) -> DataFrame:
+def dedup_hashed(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """``dedup`` that leaves rows of unrepeated keys where they are: no sort and no shuffle for them.
 
     A first pass over the keys alone counts key hashes. Rows whose key occurs
@@ -78,12 +78,11 @@ def dedup_hashed(df: DataFrame, keys: list[str] | None = None, counted: DataFram
     are many, all rows take ``dedup``.
 
     ``df`` is read up to three times, so it should be a scan of files, not an
-    expensive plan. The first pass runs when called, over ``counted`` if given
-    (``df`` with an observation). Where a report needs the keys alone, ``dedup``
-    is cheaper: Catalyst prunes its other columns away.
+    expensive plan. The first pass runs when called. Where a report needs the
+    keys alone, ``dedup`` is cheaper: Catalyst prunes its other columns away.
     """
     keys = list(keys or DEDUP_KEYS)
-    found = repeated_keys(df if counted is None else counted, keys)
+    found = repeated_keys(df, keys)
     n = found.limit(BROADCAST_KEYS + 1).count()
     if not n:
         return df
@@ -131,14 +130,12 @@ def clean_audit(df: DataFrame) -> DataFrame:
     ).withColumn("rows_removed", F.col("rows_before") - F.col("rows_after"))
 
 
-def clean_observed(df: DataFrame) -> tuple[DataFrame, Observation, Observation]:
-    """``clean`` with before/after row counts collected by the first action.
+def clean_observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``clean`` of written rows, with the rows it gives counted by the first action.
 
-    Pipelines use this so the audit costs no extra job; read the counts with
-    ``before.get["rows"]`` and ``after.get["rows"]`` once the output is written.
-    The rows before are counted in the first pass of ``dedup_hashed``.
+    Read the count with ``after.get["rows"]`` once the output is written, so
+    that the audit runs no plan again; the rows before are in the footers of
+    the files that ``df`` scans.
     """
-    before, after = Observation("clean_before"), Observation("clean_after")
-    counted = filter_not_null(df.observe(before, F.count(F.lit(1)).alias("rows")))
-    out = clean(df, lambda rows: dedup_hashed(rows, counted=counted))
-    return out.observe(after, F.count(F.lit(1)).alias("rows")), before, after
+    after = Observation("clean_after")
+    return clean(df, dedup_hashed).observe(after, F.count(F.lit(1)).alias("rows")), after

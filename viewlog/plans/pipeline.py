@@ -115,13 +115,14 @@ def profiles_of(fact: DataFrame) -> DataFrame:
 
 def transform_step(spark: SparkSession, p: Paths) -> tuple[int, int, int]:
     """Returns (rows read, fact rows, profile rows)."""
-    cleaned, before, after = clean_observed(read_logs_clean(spark, p.logs_clean))
+    logs = read_logs_clean(spark, p.logs_clean)
+    cleaned, after = clean_observed(logs)
     fact = cleaned.transform(session_features).transform(fact_sessions)
     write_partitioned(fact, p.fact, "AppName")
     fact_rows = int(after.get["rows"])
     # Profiles read the written fact table, so both outputs describe the same rows.
     profile_rows = write_parquet(profiles_of(read_fact(spark, p.fact)), p.profiles)
-    return int(before.get["rows"]), fact_rows, profile_rows
+    return logs.count(), fact_rows, profile_rows
 
 
 def load_step(spark: SparkSession, p: Paths, table_prefix: str = "",
