@@ -21,7 +21,7 @@ from viewlog.plans.catalog import QUERIES  # noqa: E402
 from viewlog.session import get_spark  # noqa: E402
 
 OPS = ["HashAggregate", "ObjectHashAggregate", "SortAggregate", "Window", "Expand",
-       "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "ArrowEvalPython", "MapInPandas",
+       "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin", "ArrowEvalPython", "MapInArrow",
        "TakeOrderedAndProject", "Subquery", "ReusedSubquery"]
 
 
@@ -81,7 +81,7 @@ def main() -> None:
           "(AQE final plans). Counts include scalar subqueries.\n")
     print("| Query | Parquet columns read | Pushed filters | Shuffles (reused) | Operators | Codegen stages |")
     print("|---|---|---|---|---|---|")
-    for name in HEADLINE:
+    for name in [*HEADLINE, "activity_cube", "dedup_hashed"]:
         df = QUERIES[name](spark, sf)
         df.collect()  # run this DataFrame's own plan so AQE finalises it
         qe = df._jdf.queryExecution()

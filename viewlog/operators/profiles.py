@@ -99,19 +99,19 @@ def _rates() -> dict[str, Column]:
     }
 
 
-def profile_core(fact: DataFrame, end_date: Column | None = None,
-                 churn_days: int = CHURN_THRESHOLD_DAYS) -> DataFrame:
+def profile_core(fact: DataFrame, end_date: Column | None = None, churn_days: int = CHURN_THRESHOLD_DAYS,
+                 items: bool = True, apps: bool = True) -> DataFrame:
     """Profiles without the most used app: no join, no Expand.
 
     The events are aggregated at three grains, (user, date) with the hours as a
     bitmap, (user, item) and (user, app); their union is folded per user, where
     a distinct count is the number of rows of a grain or of bits set. All
     buffers are of fixed size, so every step is a hash aggregate that combines
-    map-side. Grains whose measures are not used cost a scan of the user keys.
+    map-side. Without ``items`` or ``apps`` their grain and count are left out.
     """
-    core = _folded(fact, items=True, apps=True)
-    return _finished(core, end_date if end_date is not None else end_date_value(fact), churn_days,
-                     [c for c in PROFILE_COLUMNS if c != "most_used_app"])
+    left_out = {"most_used_app"} | ({"unique_content_watched"} if not items else set()) | ({"unique_apps_used"} if not apps else set())
+    return _finished(_folded(fact, items, apps), end_date if end_date is not None else end_date_value(fact), churn_days,
+                     [c for c in PROFILE_COLUMNS if c not in left_out])
 
 
 def _folded(fact: DataFrame, items: bool, apps: bool) -> DataFrame:

@@ -283,7 +283,7 @@ SELECT churn_label, count(*) AS user_count,
   {rnd('avg(avg_completion_rate)', 3)} AS avg_completion,
   {rnd('avg(primetime_ratio)', 3)} AS avg_primetime_ratio
 FROM ({O.PROFILES_OR}) GROUP BY churn_label ORDER BY churn_label""")(
-    lambda s, d: R.churn_analysis(profile_core_or(s, d)))
+    lambda s, d: R.churn_analysis(profile_core_or(s, d, items=True)))
 
 register("cohort_retention", f"""
 SELECT strftime(date_trunc('month', first_active_date), '%Y-%m') AS cohort,
@@ -447,7 +447,7 @@ def _quality(s: SparkSession, d: str) -> DataFrame:
     """As in the pipeline: the report and the profiles read the written fact table."""
     path = S.write_partitioned(fact_ev(s, d), work_path(s, "fact"), "AppName")
     fact = read_fact(s, path)
-    return quality_report(fact, A.profile_core(fact))
+    return quality_report(fact, A.profile_core(fact, items=False, apps=False))
 
 
 #: Files that the rendered log lines are written to for the two queries below.

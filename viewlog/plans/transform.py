@@ -29,5 +29,6 @@ def profiles_or(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_profiles(fact_or(spark, sf_dir))
 
 
-def profile_core_or(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return profile_core(fact_or(spark, sf_dir))
+def profile_core_or(spark: SparkSession, sf_dir: str, items: bool = False) -> DataFrame:
+    """What the reports on profiles need: no apps, and items only if asked for."""
+    return profile_core(fact_or(spark, sf_dir), items=items, apps=False)
