@@ -94,6 +94,45 @@ def test_long_text_in_pieces():
     assert np.isclose(one[0], np.log1p(5000)) and np.isclose(one[-1], np.log1p(500_000))
 
 
+def plain(text: str, stems: list[str], piece: int = 1 << 20) -> dict[str, float]:
+    lexicon = T.compile_lexicon(stems, [1.0] * len(stems))
+    return dict(zip(T.FEATURES, T.features(text, lexicon, T._classes(lexicon), piece)))
+
+
+def test_misspelled_hits_have_contexts():
+    quoted, aimed = plain('he wrote "idiiot"', ["idiot"]), plain("you idiiot!", ["idiot"])
+    assert quoted["slips_quoted"] > 0 and quoted["slips"] == quoted["slips_aimed"] == 0
+    assert aimed["slips_aimed"] > 0 and aimed["slips"] > 0 and aimed["slips_quoted"] == 0
+
+
+def test_any_script():
+    assert plain("ты идиот!", ["идиот"])["exact"] > 0
+    assert plain("ты идиит!", ["идиот"])["slips"] > 0
+    assert plain("傻瓜啊", ["傻瓜啊" + T.END])["exact"] > 0
+    assert plain("“идиот”", ["идиот"])["quoted"] > 0
+
+
+def test_short_terms_are_whole_words_without_slips():
+    assert plain("a sob story", ["sob" + T.END])["exact"] > 0
+    for text in ("sober people", "a sop", "so", "sobs"):
+        found = plain(text, ["sob" + T.END])
+        assert found["exact"] == found["slips"] == 0, text
+
+
+def test_hits_at_the_border_of_pieces():
+    text = 'x' * 50 + ' he wrote "idiot" and then you idiot! ' + "word " * 20
+    whole = plain(text, ["idiot"])
+    assert all(plain(text, ["idiot"], n) == whole for n in range(1, len(text) + 2))
+
+
+def test_every_term_with_evidence_is_learned(spark):
+    rng = random.Random(9)
+    bad = ["".join(rng.choice("bcdfgklmprstvz") + rng.choice("aeiou") for _ in range(3)) for _ in range(150)]
+    rows = [(1, " ".join([data.prose(rng, 20), *rng.sample(bad, 40)])) for _ in range(120)] + [(0, data.prose(rng, 30)) for _ in range(240)]
+    learned = [s for s, _ in T.learn_stems(spark.createDataFrame(rows, "toxic int, text string"))]
+    assert all(any(b.startswith(s) for s in learned) for b in bad)
+
+
 def test_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert {r.score for r in T.toxicity(data.docs(spark), none).collect()} == {0.0}

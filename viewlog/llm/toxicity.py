@@ -1,19 +1,22 @@
 """Toxicity by a misspelling-tolerant lexicon and context windows.
 
-The lexicon is learned from labelled rows: word stems much more frequent in
-toxic than in clean texts. It becomes a trie, and the trie intersected with the
-Levenshtein automaton of distance one becomes one deterministic table: a word
-is read letter by letter and the state tells which stem it starts with, exactly
-or with one slip (the first letter must be right). All words of a batch go
-through the table together in numpy. Each hit is weighed by the words around
-it: quotation marks on both sides or a reporting verb mark a quotation, direct
+The lexicon is learned from labelled rows: word stems, and whole words of up to
+three letters, that are much more frequent in toxic than in clean texts. All
+terms with enough evidence enter, in any script. The lexicon becomes a trie, and
+the trie intersected with the Levenshtein automaton of distance one becomes one
+deterministic table: a word is read letter by letter and the state tells which
+stem it starts with, exactly or, from four letters on, with one slip (the first
+letter must be right). All words of a text go through the table together in
+numpy. Each hit, misspelled or not, is weighed by the characters around it:
+quotation marks on both sides or a reporting verb mark a quotation, direct
 address or an exclamation marks abuse. A logistic model of the hit counts and
 rates gives the score.
 
 Learning uses at most ``max_toxic`` and ``max_clean`` labelled texts, chosen by
-hash among the rows that are not held out; the lexicon has at most
-``max_stems`` entries, so the table that is broadcast is bounded. Scoring is one
-pass over the texts without a shuffle. Only text enters the score.
+hash among the rows that are not held out, which bounds the lexicon too; a table
+of more than ``MAX_TABLE_BYTES`` is an error and never cut. Scoring is one pass
+over the texts without a shuffle. Only text enters the score. In scripts without
+blanks a stem is found where a run of letters starts.
 
 Defined results: a null or empty text has no hits and gets the score of none;
 a document without a label is scored alike; labels that are null or repeated
@@ -28,6 +31,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import numpy as np
@@ -39,17 +43,26 @@ from viewlog.llm.common import map_batches, small, written
 
 MAX_TOXIC = 4000
 MAX_CLEAN = 8000
-MAX_STEMS = 64
+#: The table goes to every executor, so its size is checked.
+MAX_TABLE_BYTES = 256 << 20
 STEM_LETTERS = range(4, 10)
+#: Twice the log likelihood ratio that a term's frequencies differ by label, and the least log odds.
+EVIDENCE = 25.0
+ODDS = 1.5
+#: Ends a term that is a whole word.
+END = "\n"
+#: Words of up to this many letters are terms as a whole, without slips.
+SHORT = 3
 #: Characters before and after a hit that its context covers.
 CONTEXT = 60
 
 _WORDS = re.compile(r"[^\W\d_]+")
+_EDGE = re.compile(r"[^\w@$*']")
 _QUOTES = "\"“”„«»‘’"
 _REPORTS = re.compile(r"\b(?:said|says|wrote|writes|quoted?|quoting|called|according|reported|the word|the term)\b")
 _ADDRESS = re.compile(r"\b(?:you|your|you're|u r|ur|they|them|these)\b|!")
 
-FEATURES = ("exact", "slips", "quoted", "aimed", "rate", "slip_rate", "length")
+FEATURES = ("exact", "slips", "quoted", "aimed", "slips_quoted", "slips_aimed", "rate", "slip_rate", "length")
 
 
 def held_out(doc_id: Column) -> Column:
@@ -60,7 +73,7 @@ def held_out(doc_id: Column) -> Column:
 class Lexicon(NamedTuple):
     """The compiled table. State 0 is dead, state 1 starts a word."""
 
-    letters: str           # letter class i + 1 stands for letters[i]; class 0 for any other word character
+    letters: str           # letter class i + 1 stands for letters[i]; class 0 for any other word character; END for the word's end
     table: np.ndarray      # state x class -> state
     entry: np.ndarray      # state -> best stem reached so far, -1 for none
     slips: np.ndarray      # state -> slips of that match
@@ -69,7 +82,7 @@ class Lexicon(NamedTuple):
 
 def compile_lexicon(stems: list[str], weights: list[float]) -> Lexicon:
     """The trie of ``stems`` intersected with the distance-one automaton, made deterministic."""
-    letters = "".join(sorted({c for s in stems for c in s}))
+    letters = "".join(sorted({c for s in stems for c in s} | {END}))
     child: list[dict[str, int]] = [{}]
     final: dict[int, int] = {}
     for i, stem in enumerate(stems):
@@ -101,7 +114,7 @@ def compile_lexicon(stems: list[str], weights: list[float]) -> Lexicon:
 
     def best(state: frozenset, before: tuple[int, int]) -> tuple[int, int]:
         """(slips, stem), fewest slips first; a match once made stays."""
-        return min([before, *((e, final[n]) for n, e in state if n in final)])
+        return min([before, *((e, final[n]) for n, e in state if n in final and (e == 0 or len(stems[final[n]]) > 1 + SHORT))])
 
     nothing = (9, -1)
     start = (frozenset({(0, 0)}), nothing)
@@ -110,8 +123,10 @@ def compile_lexicon(stems: list[str], weights: list[float]) -> Lexicon:
     queue, rows = [dead, start], []
     for state, hit in queue:
         row = []
+        likely = {c for node, _ in state for c in child[node]}
+        other = step(state, None)  # what any letter does that continues no stem here
         for c in (None, *letters):
-            reached = step(state, c)
+            reached = step(state, c) if c in likely else other
             hit_now = best(reached, hit)
             # After an exact match nothing better can come.
             nxt = (frozenset(), hit_now) if hit_now[0] == 0 else (reached, hit_now)
@@ -120,37 +135,45 @@ def compile_lexicon(stems: list[str], weights: list[float]) -> Lexicon:
                 queue.append(nxt)
             row.append(index[nxt])
         rows.append(row)
+        if len(index) * (len(letters) + 1) * 4 > MAX_TABLE_BYTES:
+            raise ValueError(f"the table of {len(stems)} terms exceeds {MAX_TABLE_BYTES} bytes; raise EVIDENCE")
     hits = [h for _, h in queue]
-    return Lexicon(letters, np.array(rows, np.int32), np.array([h[1] for h in hits], np.int16),
+    return Lexicon(letters, np.array(rows, np.int32), np.array([h[1] for h in hits], np.int32),
                    np.array([h[0] if h[1] >= 0 else 0 for h in hits], np.int8), np.array(weights, np.float64))
 
 
+@cache
+def _word_characters() -> np.ndarray:
+    """Code point to 0 for characters of words, -1 for all others."""
+    out = np.fromiter((0 if chr(cp).isalnum() else -1 for cp in range(0x110000)), np.int32, 0x110000)
+    out[[ord(c) for c in "@$*'"]] = 0
+    return out
+
+
 def _classes(lexicon: Lexicon) -> np.ndarray:
-    """Code point (below 0x250) to letter class; -1 ends a word."""
-    out = np.full(0x250, -1, np.int8)
-    for cp in range(0x250):
-        if chr(cp).isalnum() or chr(cp) in "@$*'":
-            out[cp] = 0
+    """Code point to letter class; -1 ends a word."""
+    out = _word_characters().copy()
     for i, c in enumerate(lexicon.letters):
-        if ord(c) < 0x250:
+        if c != END:
             out[ord(c)] = i + 1
     return out
 
 
 def find_hits(text: str, lexicon: Lexicon, classes: np.ndarray) -> tuple[int, list[tuple[int, int, int]]]:
     """Number of words and the hits (place, stem, slips) of one lower-cased text."""
-    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    kind = np.where(points < 0x250, classes[np.minimum(points, 0x24F)], np.int8(0))
+    kind = classes[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
     inside = kind >= 0
     edge = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    kind = np.append(kind, -1)
+    kind[ends] = lexicon.letters.index(END) + 1
     states = np.ones(len(starts), np.int32)
     live, at = np.arange(len(starts)), starts.copy()
     moving = lexicon.table.any(axis=1)  # the dead state has no way out
     while len(live):
         states[live] = lexicon.table[states[live], kind[at[live]]]
         at[live] += 1
-        live = live[(at[live] < ends[live]) & moving[states[live]]]
+        live = live[(at[live] <= ends[live]) & moving[states[live]]]
     found = np.flatnonzero(lexicon.entry[states] >= 0)
     return len(starts), list(zip(starts[found].tolist(), lexicon.entry[states[found]].tolist(), lexicon.slips[states[found]].tolist()))
 
@@ -162,30 +185,27 @@ def in_context(text: str, place: int) -> tuple[bool, bool]:
     return marks or bool(_REPORTS.search(before)), bool(_ADDRESS.search(before) or _ADDRESS.search(after))
 
 
-def features(text: str | None, lexicon: Lexicon, classes: np.ndarray) -> tuple[float, ...]:
-    """``FEATURES`` of a text; long texts are read in pieces cut at white space."""
+def features(text: str | None, lexicon: Lexicon, classes: np.ndarray, piece: int = 1 << 20) -> tuple[float, ...]:
+    """``FEATURES`` of a text; long texts are read in pieces cut between words, contexts reach over the cuts."""
     text = (text or "").lower()
-    n, exact, slips, quoted, aimed = 0, 0.0, 0.0, 0.0, 0.0
-    at, piece = 0, 1 << 20
+    n, at = 0, 0
+    plain, quoted, aimed = [0.0, 0.0], [0.0, 0.0], [0.0, 0.0]  # of exact and of misspelled hits
     while at < len(text):
-        stop = len(text) if len(text) - at <= piece else text.rfind(" ", at, at + piece) + 1 or at + piece
-        part = text[at:stop]
-        words, hits = find_hits(part, lexicon, classes)
+        cut = _EDGE.search(text, at + piece)
+        stop = cut.end() if cut else len(text)
+        words, hits = find_hits(text[at:stop], lexicon, classes)
         n += words
         for place, stem, slip in hits:
             weight = float(lexicon.weight[stem])
-            if slip:
-                slips += weight
-                continue
-            is_quoted, is_aimed = in_context(part, place)
+            is_quoted, is_aimed = in_context(text, at + place)
             if is_quoted:
-                quoted += weight
+                quoted[slip] += weight
             else:
-                exact += weight
-                aimed += weight * is_aimed
+                plain[slip] += weight
+                aimed[slip] += weight * is_aimed
         at = stop
-    return (math.log1p(exact), math.log1p(slips), math.log1p(quoted), math.log1p(aimed),
-            math.sqrt(exact / max(n, 1)), math.sqrt(slips / max(n, 1)), math.log1p(n))
+    return (*map(math.log1p, (*plain, quoted[0], aimed[0], quoted[1], aimed[1])),
+            math.sqrt(plain[0] / max(n, 1)), math.sqrt(plain[1] / max(n, 1)), math.log1p(n))
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, max_toxic: int, max_clean: int) -> DataFrame:
@@ -209,7 +229,8 @@ def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for label, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
             words = set(_WORDS.findall((text or "").lower()))
-            (toxic if label else clean).update({w[:k] for w in words for k in STEM_LETTERS if len(w) >= k})
+            terms = {w[:k] for w in words for k in STEM_LETTERS if len(w) >= k}
+            (toxic if label else clean).update(terms | {w + END for w in words if len(w) <= SHORT})
     stems = list(toxic)  # a stem of clean texts only is no candidate
     yield pa.RecordBatch.from_arrays([pa.array(stems, pa.string()), pa.array([toxic[s] for s in stems], pa.int64()),
                                       pa.array([clean[s] for s in stems], pa.int64())], names=["stem", "toxic", "clean"])
@@ -218,7 +239,7 @@ def _stem_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                       pa.array([clean[s] for s in rest], pa.int64())], names=["stem", "toxic", "clean"])
 
 
-def learn_stems(examples: DataFrame, max_stems: int = MAX_STEMS) -> list[tuple[str, float]]:
+def learn_stems(examples: DataFrame) -> list[tuple[str, float]]:
     """(stem, log odds), most telling first; empty without examples of both kinds."""
     totals = {r["toxic"]: r["count"] for r in examples.groupBy((F.col("toxic") > 0).alias("toxic")).count().collect()}
     n_toxic, n_clean = totals.get(True, 0), totals.get(False, 0)
@@ -229,13 +250,24 @@ def learn_stems(examples: DataFrame, max_stems: int = MAX_STEMS) -> list[tuple[s
     odds = (F.log((F.col("a") + 0.5) / (F.lit(n_toxic + 0.5) - F.col("a")))
             - F.log((F.col("b") + 0.5) / (F.lit(n_clean + 0.5) - F.col("b"))))
     gain = F.col("a") / F.lit(float(n_toxic)) - F.col("b") / F.lit(float(n_clean))
-    best = (counts.where(F.col("a") >= max(3, n_toxic // 100)).withColumn("odds", odds).withColumn("gain", gain)
-            .where("odds >= 1.5").orderBy(F.desc("gain"), F.desc(F.length("stem")), "stem").limit(20 * max_stems).collect())
+
+    def term(seen: str, n: int) -> Column:
+        expected = (F.col("a") + F.col("b")) * F.lit(n / (n_toxic + n_clean))
+        return F.when(F.col(seen) > 0, F.col(seen) * F.log(F.col(seen) / expected)).otherwise(F.lit(0.0))
+
+    # The terms come from the bounded sample; only those with evidence reach the driver.
+    best = (counts.withColumn("odds", odds).withColumn("gain", gain).withColumn("evidence", 2 * (term("a", n_toxic) + term("b", n_clean)))
+            .where((F.col("odds") >= ODDS) & (F.col("evidence") >= EVIDENCE)).orderBy(F.desc("gain"), F.desc(F.length("stem")), "stem").collect())
     out: list[tuple[str, float]] = []
+    taken: set[str] = set()
+    begun: set[str] = set()
     for r in best:
         # Of stems that extend each other the more telling stays: a hit on the longer is one on the shorter.
-        if len(out) < max_stems and not any(r["stem"].startswith(s) or s.startswith(r["stem"]) for s, _ in out):
+        starts = {r["stem"][:k] for k in range(1, len(r["stem"]) + 1)}
+        if r["stem"] not in begun and not starts & taken:
             out.append((r["stem"], r["odds"]))
+            taken.add(r["stem"])
+            begun |= starts
     return out
 
 
@@ -255,13 +287,13 @@ _FEATURE_SCHEMA = ", ".join(f"{f} double" for f in FEATURES)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, max_stems: int = MAX_STEMS) -> DataFrame:
+             max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> DataFrame:
     """Per row of ``docs``: ``doc_id, held_out, score, predicted``."""
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
     examples = _labelled(docs, labels, id_col, text_col, max_toxic, max_clean)
-    stems = learn_stems(examples, max_stems)
+    stems = learn_stems(examples)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     out = held_out(F.col("doc_id")).alias("held_out")
     if not stems:
