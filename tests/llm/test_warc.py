@@ -73,6 +73,48 @@ def test_text_against_an_html_parser(spark):
         assert re.sub(r"\s", "", "".join(parser.text)) == re.sub(r"\s", "", W.plain_text(r.html))
 
 
+def test_response_records_keep_what_they_bring(spark, tmp_dir):
+    """From a WARC file of responses, each its own gzip member, to derivatives and back."""
+    import gzip
+    import os
+
+    own, want = [], {}
+    for i, body in enumerate(["<title>One</title><p>a é b</p>", "", "<p>two\r\n\r\nparts</p>"]):
+        http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Number: {i}"
+        block = (http + "\r\n\r\n" + body).encode()
+        rid, date, url = f"<urn:uuid:{i:08}-0000-4000-8000-000000000000>", f"2023-05-0{i + 1}T10:20:30Z", f"http://r.example/{i}"
+        payload = W.digest(body.encode())
+        head = W.record_head("response", [("WARC-Record-ID", rid), ("WARC-Date", date), ("WARC-Target-URI", url), ("WARC-Payload-Digest", payload),
+                                          ("Content-Type", "application/http; msgtype=response")], block)
+        own.append(gzip.compress(head.encode() + block + b"\r\n\r\n"))
+        want[rid] = (date, url, payload, http, body)
+    info = W.record_head("warcinfo", [("WARC-Record-ID", "<urn:uuid:info>")], b"software: x\r\n").encode() + b"software: x\r\n\r\n\r\n"
+    os.makedirs(f"{tmp_dir}/source")
+    with open(f"{tmp_dir}/source/a.warc.gz", "wb") as out:
+        out.write(gzip.compress(info) + b"".join(own))
+
+    made = W.from_responses(W.read_warc(spark, f"{tmp_dir}/source"))
+    W.write_warc(made, f"{tmp_dir}/derived")
+    back = W.read_warc(spark, f"{tmp_dir}/derived").collect()
+    assert len(back) == 2 * len(want) and {r.refers_to for r in back} == set(want)
+    heads = {(r.refers_to, r.record_type): r.head for r in made.collect()}
+    for r in back:
+        date, url, payload, http, body = want[r.refers_to]
+        assert (r.warc_date, r.target_uri) == (date, url)
+        if r.record_type == "conversion":
+            assert f"WARC-Source-Payload-Digest: {payload}\r\n" in heads[r.refers_to, "conversion"] and r.block == W.plain_text(body)
+        else:
+            assert f"source-payload-digest: {payload}\r\n" in r.block
+            assert all(f"http-header: {line}\r\n" in r.block for line in http.split("\r\n"))
+        assert f"WARC-Refers-To-Date: {date}\r\n" in heads[r.refers_to, r.record_type]
+
+
+def test_missing_fields_are_derived(spark):
+    rows = pages(spark).selectExpr("*", "'' as rid", "cast(null as string) as day")
+    made = W.derivatives(rows, record_id_col="rid", date_col="day")
+    assert sorted(map(repr, made.collect())) == sorted(map(repr, W.derivatives(pages(spark)).collect()))
+
+
 def test_empty(spark, tmp_dir):
     none = W.derivatives(pages(spark, []))
     assert none.collect() == []

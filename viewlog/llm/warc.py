@@ -4,13 +4,18 @@ Every response record yields a ``metadata`` record (named fields about the
 capture, its headers and its links) and a ``conversion`` record (its readable
 text). Both carry ``WARC-Refers-To`` with the response's record id, its target
 URI and date, and digests of their own blocks; ids are derived from the
-response's, so rebuilding gives the same records. Each response is converted in
-its own task; nothing is shuffled. ``write_warc`` lets Spark write the records
-as gzipped WARC files of any number of parts, ``read_warc`` reads them back.
+response's, so rebuilding gives the same records. A response's own record id,
+date, payload digest and HTTP header block are preserved where the input has
+them (``responses`` takes them from WARC response records); only pages without
+get a derived id, the digest of their text and ``CAPTURE_DATE``. Each response is
+converted in its own task; nothing is shuffled. ``write_warc`` lets Spark write
+the records as gzipped WARC files of any number of parts, ``read_warc`` reads
+them back.
 
 Defined results: a null page counts as an empty payload, a null url as an empty
 target; a null id takes part in the record id as an empty string; responses
-that repeat in every field give equal records; an empty table gives no records
+that repeat in every field give equal records; an empty or null record id, date
+or digest counts as missing; an empty table gives no records
 (and files without records); other columns are ignored. Digests are SHA-1 in
 base 32, as is usual in WARC headers.
 """
@@ -83,31 +88,34 @@ def _derive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 128):
             part = batch.slice(at, 128)
             rows = []
-            for key, url, http, page in zip(*(part.column(c).to_pylist() for c in ("page_id", "url", "http", "html"))):
-                rows += derived(key, url or "", http or "", page or "")
+            for key, url, http, page, *own in zip(*(part.column(c).to_pylist() for c in ("page_id", "url", "http", "html", *OWN))):
+                rows += derived(key, url or "", http or "", page or "", *(value or "" for value in own))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*rows), _COLUMNS)], names=[n for n, _ in _COLUMNS])
 
 
+#: What a response may bring itself.
+OWN = ("source_id", "source_date", "source_digest")
 _COLUMNS = [("page_id", pa.int64()), ("record_type", pa.string()), ("record_id", pa.string()), ("refers_to", pa.string()),
             ("target_uri", pa.string()), ("source_digest", pa.string()), ("block_digest", pa.string()),
             ("head", pa.string()), ("block", pa.string())]
 RECORDS = "page_id long, " + ", ".join(f"{n} string" for n, _ in _COLUMNS[1:])
 
 
-def derived(key: int | None, url: str, http: str, page: str) -> list[tuple]:
+def derived(key: int | None, url: str, http: str, page: str, source: str = "", date: str = "", source_digest: str = "") -> list[tuple]:
     """The metadata and the conversion record of one response."""
     payload = page.encode()
-    source, source_digest = record_id("response", "" if key is None else str(key), url, digest(payload)), digest(payload)
+    source = source or record_id("response", "" if key is None else str(key), url, digest(payload))
+    source_digest, date = source_digest or digest(payload), date or CAPTURE_DATE
     title, lang, links = page_facts(page)
     facts = [("title", title), ("language", lang), ("source-payload-digest", source_digest), ("source-length", str(len(payload)))]
-    facts += [("http-header", line) for line in http.split("\r\n") if line]
+    facts += [("http-header", line) for line in http.splitlines() if line]
     facts += [("outlink", link) for link in links]
     metadata = "".join(f"{name}: {_field(value)}\r\n" for name, value in facts)
     out = []
     for kind, content, block in (("metadata", "application/warc-fields", metadata), ("conversion", "text/plain; charset=utf-8", plain_text(page))):
         own = record_id(kind, source)
-        fields = [("WARC-Record-ID", own), ("WARC-Date", CAPTURE_DATE), ("WARC-Refers-To", source), ("WARC-Target-URI", url),
-                  ("WARC-Refers-To-Target-URI", url), ("WARC-Refers-To-Date", CAPTURE_DATE), ("Content-Type", content)]
+        fields = [("WARC-Record-ID", own), ("WARC-Date", date), ("WARC-Refers-To", source), ("WARC-Target-URI", url),
+                  ("WARC-Refers-To-Target-URI", url), ("WARC-Refers-To-Date", date), ("Content-Type", content)]
         if kind == "conversion":
             fields.append(("WARC-Source-Payload-Digest", source_digest))
         data = block.encode()
@@ -116,18 +124,36 @@ def derived(key: int | None, url: str, http: str, page: str) -> list[tuple]:
 
 
 def derivatives(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
-                http_col: str | None = None) -> DataFrame:
+                http_col: str | None = None, record_id_col: str | None = None, date_col: str | None = None,
+                digest_col: str | None = None) -> DataFrame:
     """Two records per response: ``RECORDS``, with the record's header ``head`` and its ``block``.
 
     ``http_col`` holds the response's header lines; without it a page's only
-    known header is its type.
+    known header is its type. ``record_id_col``, ``date_col`` and ``digest_col``
+    hold the response's own, which both records then refer to.
     """
     http = F.col(http_col).cast("string") if http_col else F.lit("Content-Type: text/html")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
-                        http.alias("http"), F.col(html_col).cast("string").alias("html"))
+                        http.alias("http"), F.col(html_col).cast("string").alias("html"),
+                        *(F.col(c).cast("string").alias(name) if c else F.lit("").alias(name)
+                          for c, name in zip((record_id_col, date_col, digest_col), OWN)))
     return map_batches(rows, _derive, RECORDS)
 
 
+def responses(records: DataFrame) -> DataFrame:
+    """Of the records that ``read_warc`` returns the responses, ready for ``from_responses``: header block and body apart."""
+    parts = F.split("block", "\r\n\r\n", 2)
+    return records.where("record_type = 'response'").select(
+        F.col("record_id").alias("source_id"), F.col("warc_date").alias("source_date"), F.col("payload_digest").alias("source_digest"),
+        F.col("target_uri").alias("url"), parts[0].alias("http"), F.coalesce(F.get(parts, F.lit(1)), F.lit("")).alias("html"))
+
+
+def from_responses(records: DataFrame) -> DataFrame:
+    """``derivatives`` of the response records among ``records``; they have no ``page_id``."""
+    rows = responses(records).withColumn("page_id", F.lit(None).cast("long"))
+    return derivatives(rows, http_col="http", record_id_col="source_id", date_col="source_date", digest_col="source_digest")
+
+
 def write_warc(records: DataFrame, path: str) -> None:
     """The records as gzipped WARC files, as many as there are partitions, in a folder that all executors share."""
     (records.select(F.concat("head", "block").alias("value")).write
@@ -135,8 +161,8 @@ def write_warc(records: DataFrame, path: str) -> None:
 
 
 def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ("record_type", "record_id", "refers_to", "target_uri", "block_digest", "block")
-    wanted = ("WARC-Type", "WARC-Record-ID", "WARC-Refers-To", "WARC-Target-URI", "WARC-Block-Digest")
+    names = ("record_type", "record_id", "refers_to", "target_uri", "warc_date", "payload_digest", "block_digest", "block")
+    wanted = ("WARC-Type", "WARC-Record-ID", "WARC-Refers-To", "WARC-Target-URI", "WARC-Date", "WARC-Payload-Digest", "WARC-Block-Digest")
     for batch in batches:
         rows = []
         for data in batch.column("content").to_pylist():
@@ -146,9 +172,9 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 head = dict(line.split(": ", 1) for line in data[at:stop].decode().split("\r\n")[1:])
                 size = int(head["Content-Length"])
                 block = data[stop + 4:stop + 4 + size]
-                if digest(block) != head["WARC-Block-Digest"]:
+                if digest(block) != head.get("WARC-Block-Digest", digest(block)):
                     raise ValueError(f"block of {head['WARC-Record-ID']} does not match its digest")
-                rows.append((*(head.get(w) for w in wanted), block.decode()))
+                rows.append((*(head.get(w) for w in wanted), block.decode("utf-8", "replace")))
                 at = stop + 4 + size + 4
         columns = zip(*rows) if rows else [[] for _ in names]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in columns], names=list(names))
@@ -157,6 +183,7 @@ def _parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """The records of the WARC files under ``path``; a block that contradicts its digest is an error.
 
+    Blocks are read as UTF-8, other bytes are replaced; digests are those of the bytes.
     A file is read by one task, so files should stay within a task's memory.
     """
     import gzip
@@ -167,7 +194,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                                              names=["content"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    fields = "record_type string, record_id string, refers_to string, target_uri string, block_digest string, block string"
+    fields = ("record_type string, record_id string, refers_to string, target_uri string, warc_date string, payload_digest string, "
+              "block_digest string, block string")
     return map_batches(files, lambda batches: _parse(unzip(batches)), fields)
 
 
