@@ -127,3 +127,14 @@ def test_components(spark):
     found = components(spark.createDataFrame(edges, "a long, b long"))
     assert sorted((r.node, r.component) for r in found.collect()) == sorted(label.items())
     assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_repeated_ids_lose_no_clean_row(spark):
+    rng = random.Random(31)
+    near, clean, other, lone = (data.prose(rng, 80).replace("é", "e") for _ in range(4))
+    rows = [(1, near), (7, near + " more"), (7, clean), (8, other), (8, lone), (8, lone.upper()), (9, ""), (9, None), (None, near)]
+    docs = data.docs(spark, [(i, t, "en", "s", 0, *"abcdefg") for i, t in rows])
+    kept = N.keep_one(docs, words=5, threshold=(80, 100)).select("doc_id", "text").collect()
+    found = sorted((r.doc_id or 0, (r.text or "").lower()) for r in kept)
+    assert found == sorted([(1, near.lower()), (7, clean.lower()), (8, other.lower()), (8, lone.lower()), (9, ""), (9, ""), (0, near.lower())])
+    assert N.keep_one(docs).columns == docs.columns

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -42,9 +45,24 @@ def small(ids: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
-    """``df.mapInArrow`` with this package's modules on the workers."""
+    """``df.mapInArrow`` with this package's modules on the workers.
+
+    A worker that has done its task waits idle beside the executor's heap, so
+    it gives freed memory back to the system first.
+    """
     ship_package(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    return df.mapInArrow(partial(_tidied, fn=fn), schema)
+
+
+def _tidied(batches: Iterator[pa.RecordBatch], fn) -> Iterator[pa.RecordBatch]:
+    try:
+        yield from fn(batches)
+    finally:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
 
 
 def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
@@ -57,7 +75,7 @@ def byte_texts(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
-def row_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def row_slices(batch: pa.RecordBatch, column: str, max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Consecutive slices of a batch whose text stays near ``max_bytes`` each.
 
     A slice always holds at least one row, so one longer text makes a slice of

@@ -328,14 +328,19 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return join.nodes.select("doc_id", "n_shingles", "node"), found
 
 
+def _named(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``node, component_id, least``: the least id of each node's component, and its first node with that id."""
+    ids = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    ids = ids.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = ids.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "node")).alias("least"))
+    return ids.join(least, "component").select("node", F.col("least.doc_id").alias("component_id"), F.col("least.node").alias("least"))
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                       threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """Per row: ``doc_id, n_shingles, component_id`` (the smallest id reachable by links)."""
     members, found = jaccard_links(docs, id_col, text_col, words, threshold)
-    ids = members.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
-    ids = ids.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = ids.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = ids.join(least, "component").select("node", "component_id")
+    named = _named(members, found).drop("least")
     return members.join(named, "node", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -343,15 +348,29 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
              threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` without those similar to one that stays: the smallest id of each component stays.
 
-    Rows without an id stay.
+    Rows without an id stay. Rows that repeat an id are judged by their own
+    texts: of those with one set of shingles one stays, if that set's does.
     """
-    found = similar_documents(docs, id_col, text_col, words, threshold)
-    drop = written(found.where("doc_id != component_id").select(F.col("doc_id").alias("_id")).distinct(), "dropped")
-    kept = docs.join(small(drop), F.col(id_col).cast("long") == F.col("_id"), "left_anti")
-    twice = written(found.where("doc_id = component_id and n_shingles > 0").groupBy("doc_id").count().where("count > 1")
-                    .select(F.col("doc_id").alias("_id")), "twice")
+    members, found = jaccard_links(docs, id_col, text_col, words, threshold)
+    # The set that stays for a component, and the id it stays with.
+    best = _named(members, found).where("node = least").select("node", F.col("component_id").alias("stays_as"))
+    seen = members.where("doc_id is not null").join(best, "node", "left")
+    seen = seen.withColumn("stays", F.col("node").isNull() | F.coalesce(F.col("doc_id") == F.col("stays_as"), F.lit(False)))
+    by_id = written(seen.groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n"), F.min("stays").alias("stays")), "judged")
+    own = F.col(id_col).cast("long") == F.col("_id")
+    twice = written(by_id.where("n > 1").select("_id"), "twice")
+    drop = written(by_id.where("n > 1 or not stays").select("_id"), "dropped")
+    kept = docs.join(small(drop), own, "left_anti")
     if not twice.limit(1).count():
         return kept
-    again = small(twice)
-    return (kept.join(again, F.col(id_col).cast("long") == F.col("_id"), "left_anti")
-            .unionByName(kept.join(again, F.col(id_col).cast("long") == F.col("_id"), "left_semi").dropDuplicates([id_col])))
+    again = written(docs.join(small(twice), own, "left_semi").withColumn("_row", F.monotonically_increasing_id()), "again")
+    sets = map_batches(again.select(F.col("_row").alias("doc_id"), F.col(text_col).cast("string").alias("text")),
+                       partial(_nodes, n=words), "doc_id long, n_shingles long, node long, bits binary")
+    sets = sets.select(F.col("doc_id").alias("_at"), F.col("node").alias("_node"))
+    again = again.join(sets, F.col("_row") == F.col("_at"))
+    empty = again.where("_node is null").select(*docs.columns)
+    stay = again.join(best.select(F.col("node").alias("_known"), F.col("stays_as").alias("_as")),
+                      (F.col("_node") == F.col("_known")) & (F.col(id_col).cast("long") == F.col("_as")), "left_semi")
+    first = stay.groupBy("_node").agg(F.min("_row").alias("_first")).select("_first")
+    whole = again.join(first, F.col("_row") == F.col("_first"), "left_semi").select(*docs.columns)
+    return kept.unionByName(empty).unionByName(whole)
