@@ -78,6 +78,7 @@ class Lexicon(NamedTuple):
     entry: np.ndarray      # state -> best stem reached so far, -1 for none
     slips: np.ndarray      # state -> slips of that match
     weight: np.ndarray     # stem -> log odds
+    moving: np.ndarray     # state -> whether it has a way out
 
 
 def compile_lexicon(stems: list[str], weights: list[float]) -> Lexicon:
@@ -138,8 +139,9 @@ def compile_lexicon(stems: list[str], weights: list[float]) -> Lexicon:
         if len(index) * (len(letters) + 1) * 4 > MAX_TABLE_BYTES:
             raise ValueError(f"the table of {len(stems)} terms exceeds {MAX_TABLE_BYTES} bytes; raise EVIDENCE")
     hits = [h for _, h in queue]
-    return Lexicon(letters, np.array(rows, np.int32), np.array([h[1] for h in hits], np.int32),
-                   np.array([h[0] if h[1] >= 0 else 0 for h in hits], np.int8), np.array(weights, np.float64))
+    table = np.array(rows, np.int32)
+    return Lexicon(letters, table, np.array([h[1] for h in hits], np.int32),
+                   np.array([h[0] if h[1] >= 0 else 0 for h in hits], np.int8), np.array(weights, np.float64), table.any(axis=1))
 
 
 @cache
@@ -169,11 +171,10 @@ def find_hits(text: str, lexicon: Lexicon, classes: np.ndarray) -> tuple[int, li
     kind[ends] = lexicon.letters.index(END) + 1
     states = np.ones(len(starts), np.int32)
     live, at = np.arange(len(starts)), starts.copy()
-    moving = lexicon.table.any(axis=1)  # the dead state has no way out
     while len(live):
         states[live] = lexicon.table[states[live], kind[at[live]]]
         at[live] += 1
-        live = live[(at[live] <= ends[live]) & moving[states[live]]]
+        live = live[(at[live] <= ends[live]) & lexicon.moving[states[live]]]
     found = np.flatnonzero(lexicon.entry[states] >= 0)
     return len(starts), list(zip(starts[found].tolist(), lexicon.entry[states[found]].tolist(), lexicon.slips[states[found]].tolist()))
 
