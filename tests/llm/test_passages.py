@@ -63,7 +63,8 @@ def test_chains_match_quadratic_search():
         for a, b in matches:
             best[a, b] = P.SEED + max([0.0, *(best[x, y] - P.GAP_COST * (a - x + b - y) for x, y in matches if x < a and y < b)])
         first = P.chains(np.array([m[0] for m in matches]), np.array([m[1] for m in matches]))[0]
-        assert abs(best[first[2], first[3]] - max(best.values())) < 1e-9
+        assert abs(best[first[-1]] - max(best.values())) < 1e-9
+        assert all(a < c and b < d for (a, b), (c, d) in zip(first, first[1:]))
 
 
 def test_seeds_cover_every_stretch():
@@ -152,3 +153,40 @@ def test_passages_of_frequent_lines(spark):
     for early, late in sources.values():
         r = found[late, early]
         assert r.start_word <= 9 and r.end_word >= 69 and r.matched >= 60
+
+
+def test_passages_behind_gaps(spark):
+    """100 shared words, inserted ones on one side or both, 100 shared words, 10 % of them replaced: both parts are found."""
+    rng = random.Random(14)
+
+    def prose(n):
+        return [data.word(rng) + str(rng.randint(0, 99999)) for _ in range(n)]
+
+    rows, parts = [], {}
+    for k in range(120):
+        gap, other = (30, 60, 150)[k % 3], rng.choice((0, 40))
+        first, second = prose(100), prose(100)
+        copies = [list(first), list(second)]
+        for copy in copies:
+            for i in rng.sample(range(1, 99), 10):
+                copy[i] = prose(1)[0]
+        before = prose(rng.randint(10, 60))
+        rows.append((2 * k, " ".join(prose(20) + first + prose(other) + second + prose(20)), "en", "s", 0, *"abcdefg"))
+        rows.append((2 * k + 1, " ".join(before + copies[0] + prose(gap) + copies[1] + prose(20)), "en", "s", 0, *"abcdefg"))
+        parts[2 * k + 1] = (gap, len(before), len(before) + 100 + gap)
+    covered = {}
+    for r in P.repeated_passages(data.docs(spark, rows)).collect():
+        assert r.source_id == r.doc_id - 1 and r.matched >= 0.8 * max(r.end_word - r.start_word, r.source_end - r.source_start)
+        covered.setdefault(r.doc_id, set()).update(range(r.start_word, r.end_word))
+    for gap in (30, 60, 150):
+        for part in (1, 2):
+            starts = [(d, p[part]) for d, p in parts.items() if p[0] == gap]
+            hits = sum(len(covered.get(d, set()) & set(range(s, s + 100))) >= 90 for d, s in starts)
+            assert hits >= 0.95 * len(starts), (gap, part, hits)
+
+
+def test_joined_stretches():
+    near, far = (0, 30, 0, 30, 28), (200, 260, 100, 160, 60)
+    assert P.joined([near, (34, 60, 32, 58, 26)], 40, 0.8) == [(0, 60, 0, 58, 54)]
+    assert P.joined([near, far], 40, 0.8) == [far]
+    assert P.joined([], 40, 0.8) == []

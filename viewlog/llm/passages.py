@@ -10,8 +10,11 @@ can have other partners seed by seed, so runs of ``min_words`` words, the least
 of ``LONG_WINDOW`` successive ones, are keys too: whoever meets on one shares
 that many words. The matches of two documents are chained: the best chain ending in a match is found with a Fenwick tree of
 prefix maxima, where gaps on either side cost ``GAP_COST`` a word. Chains are
-then aligned word by word over the texts, outwards beyond their ends too;
-stretches of at least ``min_words`` words with at least ``identity`` of them
+then aligned word by word over the texts, from match to match and outwards
+beyond their ends: where an alignment loses its way, it starts again at the
+chain's next match, in both directions. Neighbouring stretches are joined while
+they reach ``identity`` together with the gap between them, and else are judged
+apart; those of at least ``min_words`` words with at least ``identity`` of them
 matching are passages.
 
 Seeds, matches and word slices are shuffled, by seed and by document pair;
@@ -124,8 +127,8 @@ def _matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, other, last = (head_doc[-1], head_place[-1]), (prev_doc[-1], prev_place[-1]), (d[-1], p[-1])
 
 
-def chains(at: np.ndarray, there: np.ndarray, weight: float = SEED, gap_cost: float = GAP_COST) -> list[tuple[int, int, int, int, int]]:
-    """Disjoint best chains of matches: (first at, first there, last at, last there, matches), best first."""
+def chains(at: np.ndarray, there: np.ndarray, weight: float = SEED, gap_cost: float = GAP_COST) -> list[list[tuple[int, int]]]:
+    """Disjoint best chains of matches (at, there), each in ascending order, best first."""
     order = np.lexsort((there, at))
     a, b = at[order].tolist(), there[order].tolist()
     n = len(a)
@@ -159,20 +162,28 @@ def chains(at: np.ndarray, there: np.ndarray, weight: float = SEED, gap_cost: fl
     for end in sorted(range(n), key=lambda m: (-score[m], m)):
         if used[end]:
             continue
-        m, count, first = end, 0, end
+        m, chain = end, []
         while m >= 0 and not used[m]:
             used[m] = True
-            first, m, count = m, back[m], count + 1
-        out.append((a[first], b[first], a[end], b[end], count))
+            chain.append((a[m], b[m]))
+            m = back[m]
+        out.append(chain[::-1])
     return out
 
 
+CHAIN = "late long, early long, a0 long, b0 long, a1 long, b1 long, steps binary"
+
+
 def _chain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by document pair: the chains, for alignment to decide on, however short."""
-    names = ["late", "early", "a0", "b0", "a1", "b1"]
+    """Rows sorted by document pair: the chains, for alignment to decide on, however short; ``steps`` are their matches as 32-bit places."""
+    types = {"late": pa.int64(), "early": pa.int64(), "a0": pa.int64(), "b0": pa.int64(), "a1": pa.int64(), "b1": pa.int64(), "steps": pa.binary()}
 
-    def found(pair: tuple[int, int], at: np.ndarray, there: np.ndarray) -> list[tuple]:
-        return [(*pair, c[0], c[1], c[2] + SEED, c[3] + SEED) for c in chains(at, there)]
+    def found(pair: tuple[int, int], held: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple]:
+        at, there = (np.concatenate(c) for c in zip(*held))
+        return [(*pair, *c[0], c[-1][0] + SEED, c[-1][1] + SEED, np.array(c, np.int32).tobytes()) for c in chains(at, there)]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types.values())], names=list(types))
 
     pair, held = None, []
     for batch in batches:
@@ -185,13 +196,13 @@ def _chain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             key = (int(late[lo]), int(early[lo]))
             if key != pair:
                 if held:
-                    rows += found(pair, np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))
+                    rows += found(pair, held)
                 pair, held = key, []
             held.append((at[lo:hi], there[lo:hi]))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
-    if held and (rows := found(pair, np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]))):
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=names)
+            yield batch_of(rows)
+    if held and (rows := found(pair, held)):
+        yield batch_of(rows)
 
 
 def walk(x: np.ndarray, y: np.ndarray, resync: int = RESYNC) -> tuple[int, int, int]:
@@ -229,18 +240,52 @@ def walk(x: np.ndarray, y: np.ndarray, resync: int = RESYNC) -> tuple[int, int,
     return best[1:]
 
 
+def stretches(x: np.ndarray, y: np.ndarray, steps: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+    """The parts of a chain that alignments cover: (start, end) in ``x``, (start, end) in ``y``, matching words.
+
+    An alignment starts at the first match beyond the stretch before it and goes
+    both ways, backwards at most to that stretch, so matches behind a gap count too.
+    """
+    out, i, j, k = [], 0, 0, 0
+    while True:
+        k += int(np.searchsorted(steps[k:, 0], i))
+        while k < len(steps) and steps[k, 1] < j:
+            k += 1
+        if k == len(steps):
+            return out
+        a, b = int(steps[k, 0]), int(steps[k, 1])
+        ri, rj, right = walk(x[a:], y[b:])
+        li, lj, left = walk(x[i:a][::-1], y[j:b][::-1])
+        if left + right:
+            out.append((a - li, a + ri, b - lj, b + rj, left + right))
+            i, j = a + ri, b + rj
+        k += 1
+
+
+def joined(parts: list[tuple[int, int, int, int, int]], min_words: int, identity: float) -> list[tuple[int, int, int, int, int]]:
+    """Stretches joined with the next one while the whole reaches the identity; those that are passages."""
+    def similar(p: tuple[int, int, int, int, int]) -> bool:
+        return p[4] >= identity * max(p[1] - p[0], p[3] - p[2])
+
+    whole: list[tuple[int, int, int, int, int]] = []
+    for part in parts:
+        if whole and similar(both := (whole[-1][0], part[1], whole[-1][2], part[3], whole[-1][4] + part[4])):
+            whole[-1] = both
+        else:
+            whole.append(part)
+    return [p for p in whole if max(p[1] - p[0], p[3] - p[2]) >= min_words and similar(p)]
+
+
 def _aligned(batches: Iterator[pa.RecordBatch], min_words: int, identity: float) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "start_word", "end_word", "source_id", "source_start", "source_end", "matched", "identity"]
     types = [pa.int64()] * 7 + [pa.float64()]
     for batch in batches:
         rows = []
-        for late, early, a0, b0, oa, ob, x, y in zip(*(batch.column(c).to_pylist() for c in ("late", "early", "a0", "b0", "oa", "ob", "x", "y"))):
+        for late, early, oa, ob, steps, x, y in zip(*(batch.column(c).to_pylist() for c in ("late", "early", "oa", "ob", "steps", "x", "y"))):
             x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-            a, b = a0 - oa, b0 - ob  # the chain's start within the slices
-            ri, rj, right = walk(x[a:], y[b:])
-            li, lj, left = walk(x[:a][::-1], y[:b][::-1])
-            if max(li + ri, lj + rj) >= min_words and left + right >= identity * max(li + ri, lj + rj):
-                rows.append((late, a0 - li, a0 + ri, early, b0 - lj, b0 + rj, left + right, (left + right) / max(li + ri, lj + rj)))
+            at = np.frombuffer(steps, np.int32).reshape(-1, 2) - np.array([oa, ob])  # within the slices
+            rows += [(late, oa + p[0], oa + p[1], early, ob + p[2], ob + p[3], p[4], p[4] / max(p[1] - p[0], p[3] - p[2]))
+                     for p in joined(stretches(x, y, at), min_words, identity)]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
@@ -265,8 +310,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     seeded = map_batches(rows, partial(_seed_rows, min_words=min_words), "seed long, doc long, place int").repartition("seed")
     matches = map_batches(seeded.sortWithinPartitions("seed", "doc", "place"), _matches, "late long, early long, at int, there int")
     paired = matches.repartition("late", "early").sortWithinPartitions("late", "early")
-    found = written(map_batches(paired, _chain_rows,
-                                "late long, early long, a0 long, b0 long, a1 long, b1 long").distinct(), "chains")
+    found = written(map_batches(paired, _chain_rows, CHAIN), "chains")
     ids = found.select(F.explode(F.array("late", "early")).alias("_id")).distinct()
     ids = small(written(ids, "ids"))
     words = map_batches(rows.join(ids, F.col("doc_id") == F.col("_id"), "left_semi"), _words, "doc_id long, words binary")
@@ -280,7 +324,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     oa, x = cut("a0", "a1")
     ob, y = cut("b0", "b1")
     left = found.join(words.withColumnRenamed("doc_id", "late"), "late").select(*found.columns, oa.alias("oa"), x.alias("x"))
-    both = left.join(words.withColumnRenamed("doc_id", "early"), "early").select("late", "early", "a0", "b0", "oa", "x", ob.alias("ob"), y.alias("y"))
+    both = left.join(words.withColumnRenamed("doc_id", "early"), "early").select("late", "early", "steps", "oa", "x", ob.alias("ob"), y.alias("y"))
     return map_batches(both, partial(_aligned, min_words=min_words, identity=identity), PASSAGE).distinct()
 
 
