@@ -190,3 +190,14 @@ def test_joined_stretches():
     assert P.joined([near, (34, 60, 32, 58, 26)], 40, 0.8) == [(0, 60, 0, 58, 54)]
     assert P.joined([near, far], 40, 0.8) == [far]
     assert P.joined([], 40, 0.8) == []
+
+
+def test_hashes_of_runs():
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 1 << 63, 500, dtype=np.uint64)
+    twice = np.concatenate((words[7:300], words))
+    for n in (1, 5, 40):
+        runs = P.runs_of(twice, n)
+        assert len(runs) == len(twice) - n + 1 and len(set(runs.tolist())) == len(words)  # with those across the seam
+        assert (runs[:293 - n + 1] == runs[300:300 + 293 - n + 1]).all()
+    assert len(P.runs_of(words[:4], 5)) == 0

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from viewlog.session import ship_package, work_path, written
 
-__all__ = ["BROADCAST_ROWS", "WORD", "byte_texts", "documents", "hashes_written", "map_batches", "once", "row_slices", "small", "table",
+__all__ = ["BROADCAST_ROWS", "WORD", "byte_texts", "documents", "hashes_written", "map_batches", "once", "release", "row_slices", "small", "table",
            "tokenizer_path", "work_path", "written"]
 
 #: Words are runs of anything but the six ASCII white-space characters.
@@ -65,6 +65,16 @@ def _tidied(batches: Iterator[pa.RecordBatch], fn) -> Iterator[pa.RecordBatch]:
             trim(0)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps whose results are written and whose DataFrames the caller has dropped.
+
+    Spark does so when the driver's garbage collection finds them unused, which
+    a driver with free memory may not come to during a job.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
     """``rows`` with a column computed once: an explode() is not copied into the expressions that use it."""
     return rows.select("*", F.explode(F.array(value)).alias(name))

@@ -38,8 +38,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewlog.llm.common import byte_texts, map_batches, row_slices, small, written
-from viewlog.llm.shingles import texts_word_hashes, windows
+from viewlog.llm.common import byte_texts, map_batches, release, row_slices, small, written
+from viewlog.llm.shingles import mixed, texts_word_hashes
 
 SEED = 5
 WINDOW = 6
@@ -54,9 +54,23 @@ RESYNC = 24
 MARGIN = 96
 
 
+_BASE = np.uint64(0x9FB21C651E98DF25)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+
+
+def runs_of(words: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each run of ``n`` words by differences of one running sum, whatever ``n`` is."""
+    if len(words) < n:
+        return np.empty(0, np.uint64)
+    up, down = np.full(len(words), _BASE), np.full(len(words) - n + 1, _INVERSE)
+    up[0] = down[0] = 1
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * np.multiply.accumulate(up), dtype=np.uint64)))
+    return mixed((total[n:] - total[:-n]) * np.multiply.accumulate(down))
+
+
 def seeds(words: np.ndarray, k: int = SEED, w: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of a text's seeds."""
-    runs = windows(words, k)
+    runs = runs_of(words, k)
     if not len(runs):
         return np.empty(0, np.int64), runs
     if len(runs) <= w:
@@ -311,6 +325,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     matches = map_batches(seeded.sortWithinPartitions("seed", "doc", "place"), _matches, "late long, early long, at int, there int")
     paired = matches.repartition("late", "early").sortWithinPartitions("late", "early")
     found = written(map_batches(paired, _chain_rows, CHAIN), "chains")
+    del seeded, matches, paired
+    release(docs.sparkSession)
     ids = found.select(F.explode(F.array("late", "early")).alias("_id")).distinct()
     ids = small(written(ids, "ids"))
     words = map_batches(rows.join(ids, F.col("doc_id") == F.col("_id"), "left_semi"), _words, "doc_id long, words binary")
