@@ -10,6 +10,7 @@ from conftest import SF_MID
 from viewlog.operators import profiles as A
 from viewlog.operators import reports as R
 from viewlog.plans.transform import fact_ev, fact_or
+from viewlog.session import SHUFFLE_CLEANUP, written
 
 
 @pytest.fixture(scope="module")
@@ -96,3 +97,15 @@ def test_profiles_from_summaries_equal_direct(spark, fact, fact_multi, which):
     parts = A.profiles_from_summaries(A.user_day_summary(f), A.user_day_apps(f), A.user_day_items(f))
     assert parts.schema == direct.schema
     assert parts.exceptAll(direct).count() == 0 and direct.exceptAll(parts).count() == 0
+
+
+def test_written_tables_leave_the_cleanup_setting_alone(spark):
+    """A work table holds all rows, and queries outside of its write keep their shuffle files."""
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    counts = spark.range(1000).withColumn("k", F.col("id") % 7).groupBy("k").count()
+    table = written(counts, "counts")
+    assert spark.conf.get(SHUFFLE_CLEANUP) == before
+    assert table.count() == 7 and counts.agg(F.sum("count")).first()[0] == 1000
+    with pytest.raises(Exception):
+        written(spark.range(3).select(F.raise_error(F.lit("stop")).alias("x")), "broken")
+    assert spark.conf.get(SHUFFLE_CLEANUP) == before

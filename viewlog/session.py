@@ -165,6 +165,20 @@ def work_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside delete their shuffle files when they end, not when the driver's garbage collection finds them unused."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` as a table in the shared work folder: computed once, lineage cut.
 
@@ -173,5 +187,6 @@ def written(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     smaller, and spares the codec's native buffers for every file and column.
     """
     path = work_path(df.sparkSession, name)
-    df.write.option("compression", compression).parquet(path)
+    with _shuffles_dropped(df.sparkSession):
+        df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
