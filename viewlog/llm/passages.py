@@ -18,7 +18,9 @@ apart; those of at least ``min_words`` words with at least ``identity`` of them
 matching are passages.
 
 Seeds, matches and word slices are shuffled, by seed and by document pair;
-texts are read again only for documents with a chain. All groups are read as
+texts are read again only for documents with a chain. Document pairs are dealt
+over ``ROUNDS`` rounds of alignment, as their slices are the largest thing
+shuffled. All groups are read as
 sorted streams: a seed's list is never held, a document pair's matches are as
 many as the seeds and long runs of its later document times two.
 
@@ -31,7 +33,7 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +54,8 @@ GAP_COST = 0.12
 RESYNC = 24
 #: Words around a chain that its alignment may extend over in one go.
 MARGIN = 96
+#: Rounds in which the document pairs are aligned; the word slices of one round only are on disk at a time.
+ROUNDS = 3
 
 
 _BASE = np.uint64(0x9FB21C651E98DF25)
@@ -337,9 +341,13 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     oa, x = cut("a0", "a1")
     ob, y = cut("b0", "b1")
-    left = found.join(words.withColumnRenamed("doc_id", "late"), "late").select(*found.columns, oa.alias("oa"), x.alias("x"))
-    both = left.join(words.withColumnRenamed("doc_id", "early"), "early").select("late", "early", "steps", "oa", "x", ob.alias("ob"), y.alias("y"))
-    return map_batches(both, partial(_aligned, min_words=min_words, identity=identity), PASSAGE).distinct()
+    rounds = []
+    for no in range(ROUNDS):
+        some = found.where(F.pmod(F.xxhash64("late", "early"), F.lit(ROUNDS)) == no)
+        left = some.join(words.withColumnRenamed("doc_id", "late"), "late").select(*found.columns, oa.alias("oa"), x.alias("x"))
+        both = left.join(words.withColumnRenamed("doc_id", "early"), "early").select("late", "early", "steps", "oa", "x", ob.alias("ob"), y.alias("y"))
+        rounds.append(written(map_batches(both, partial(_aligned, min_words=min_words, identity=identity), PASSAGE).distinct(), "passages"))
+    return reduce(DataFrame.union, rounds)
 
 
 def repeated_spans(passages: DataFrame) -> DataFrame:
