@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tests.llm import data
@@ -138,3 +139,25 @@ def test_repeated_ids_lose_no_clean_row(spark):
     found = sorted((r.doc_id or 0, (r.text or "").lower()) for r in kept)
     assert found == sorted([(1, near.lower()), (7, clean.lower()), (8, other.lower()), (8, lone.lower()), (9, ""), (9, ""), (0, near.lower())])
     assert N.keep_one(docs).columns == docs.columns
+
+
+def family(n: int, changed: int) -> pa.RecordBatch:
+    """A tile of ``n`` sets of 400 elements that differ from one another in ``changed`` elements each."""
+    rng = np.random.default_rng(7)
+    base = rng.integers(1, 1 << 63, 400, dtype=np.uint64)
+    sets = []
+    for _ in range(n):
+        own = base.copy()
+        own[rng.choice(400, changed, replace=False)] = rng.integers(1, 1 << 63, changed, dtype=np.uint64)
+        sets.append(np.unique(own))
+    same = [0] * n
+    return pa.RecordBatch.from_pydict({"tile": same, "i": same, "j": same, "node": list(range(n)), "block": same, "component": list(range(n)),
+                                       "n_shingles": [len(s) for s in sets], "bits": [N.sharp_bitmap(s).tobytes() for s in sets]})
+
+
+def test_pairs_of_a_tile_do_not_grow_with_its_square():
+    def count(changed, best):
+        return sum(b.num_rows for b in N._tile_pairs(iter([family(120, changed)]), N.THRESHOLD, best))
+
+    assert count(20, best=False) < 120  # similar, but not linked: 7140 pairs, of which coarse bitmaps allow most
+    assert 0 < count(5, best=True) <= 120  # all linked: each with its best partner

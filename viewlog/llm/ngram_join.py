@@ -10,12 +10,17 @@ group must agree as a whole.
 
 Within a tile each node is first compared with the tile's smallest node only
 (a star, linear in the tile). Components of the links found so far then rule
-out all further work inside one component; the pairs that remain are formed in
-blocks of a tile, bounded from above by the bit counts of hashed bitmaps, and
-only those that can still reach the threshold are intersected exactly.
-
-Text is read twice and not shuffled; sets travel only for nodes in surviving
-pairs. Components are found in Spark and never collected.
+out all further work inside one component. In tiles that still hold several,
+hashed bitmaps bound the overlaps from above: each node is intersected with its
+best partner in another component (linear again), and one without any such
+partner is done. The nodes left get sharp bitmaps, which bound closely, and
+further rounds with their best partners, until a round links nothing. A last pass
+intersects every pair between components that the sharp bitmaps still allow, so
+no link is lost.
+
+Text is read twice, a third time where tiles stay open, and not shuffled; sets
+travel only for nodes in surviving pairs. Components are found in Spark and
+never collected.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is linked with nothing; a text shorter than a shingle is one shingle;
@@ -47,6 +52,9 @@ BLOCK = 1024
 BAND = 1.6
 #: Groups beyond those needed, so that agreeing on empty groups only is rare.
 SPARE = 4
+#: Bits an element in the bitmaps of all nodes, and in the sharp ones, up to ``SHARP_BITS`` bits a node.
+COARSE, SHARP = 2, 16
+SHARP_BITS = 1 << 16
 
 _U = np.uint64
 
@@ -63,14 +71,19 @@ def node_of(elements: np.ndarray) -> int:
     return int(mixed(np.array([total])).view(np.int64)[0])
 
 
-def bitmap(elements: np.ndarray) -> np.ndarray:
-    """A set's signature: one hashed bit per element, in two to four times as many bits."""
-    bits = max(64, 1 << int(2 * len(elements) - 1).bit_length())
+def bitmap(elements: np.ndarray, scale: int = COARSE) -> np.ndarray:
+    """A set's signature: one hashed bit per element, in ``scale`` to twice ``scale`` times as many bits."""
+    bits = max(64, 1 << int(scale * len(elements) - 1).bit_length())
     out = np.zeros(bits, bool)
     out[(mixed(elements) & _U(bits - 1)).astype(np.int64)] = True
     return np.packbits(out)
 
 
+def sharp_bitmap(elements: np.ndarray) -> np.ndarray:
+    """A larger signature, which tells pairs just below the threshold from linked ones; long sets keep the coarse size."""
+    return bitmap(elements, max(COARSE, min(SHARP, SHARP_BITS // (2 * max(1, len(elements))))))
+
+
 def folded(rows: np.ndarray, width: int) -> np.ndarray:
     """Bitmaps as they are with fewer bits: ``width`` bytes."""
     return np.bitwise_or.reduce(rows.reshape(len(rows), -1, width), axis=1)
@@ -199,13 +212,15 @@ def _bounded(batches: Iterator[pa.RecordBatch], threshold: tuple[int, int]) -> I
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in ("a", "b")], names=["a", "b"])
 
 
-def _set_rows(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
+def _set_rows(batches: Iterator[pa.RecordBatch], n: int, sharp: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part, sets in _sets(batch, n):
-            rows = [(node, s.tobytes()) for node, s in zip(part.column("node").to_pylist(), sets) if len(s) and node_of(s) == node]
+            rows = [(node, s) for node, s in zip(part.column("node").to_pylist(), sets) if len(s) and node_of(s) == node]
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())],
-                                                 names=["node", "elements"])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([node for node, _ in rows], pa.int64()), pa.array([s.tobytes() for _, s in rows], pa.binary()),
+                    pa.array([sharp_bitmap(s).tobytes() if sharp else None for _, s in rows], pa.binary()),
+                ], names=["node", "elements", "bits"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch], threshold: tuple[int, int]) -> Iterator[pa.RecordBatch]:
@@ -222,24 +237,29 @@ def _verified(batches: Iterator[pa.RecordBatch], threshold: tuple[int, int]) ->
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
 
 
-def _tile_pairs(batches: Iterator[pa.RecordBatch], threshold: tuple[int, int]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by block pair: the pairs between components that the bitmaps allow."""
-    names = ("tile", "i", "j", "node", "block", "component", "head", "n_shingles", "bits")
+def _tile_pairs(batches: Iterator[pa.RecordBatch], threshold: tuple[int, int], best: bool) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by block pair: the pairs between components that the bitmaps allow, or each node's ``best`` one only."""
+    names = ("tile", "i", "j", "node", "block", "component", "n_shingles", "bits")
 
     def pairs(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         i, j = rows[0][1], rows[0][2]
-        node, comp, head, n = (np.array([r[k] for r in rows], np.int64) for k in (3, 5, 6, 7))
+        node, comp, n = (np.array([r[k] for r in rows], np.int64) for k in (3, 5, 6))
         block = np.array([r[4] for r in rows])
-        bits = stacked([r[8] for r in rows])
+        bits = stacked([r[7] for r in rows])
         a, b = [], []
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        for x in left:
-            ys = right[right > x] if i == j else right
-            ys = ys[(comp[ys] != comp[x]) & (node[ys] != head[ys]) & (node[x] != head[x])]
+        for x, others in [(x, right) for x in left] + [(y, left) for y in right if best and i != j]:
+            ys = others[others > x] if i == j and not best else others
+            ys = ys[comp[ys] != comp[x]]
             if not len(ys):
                 continue
             most = (n[x] + n[ys] - popcount(bits[ys] ^ bits[x]).sum(axis=1, dtype=np.int64)) // 2
-            ys = ys[_can_link(n[x], n[ys], np.minimum(most, np.minimum(n[x], n[ys])), threshold)]
+            most = np.minimum(most, np.minimum(n[x], n[ys]))
+            can = _can_link(n[x], n[ys], most, threshold)
+            if best and can.any():
+                ys = ys[[np.argmax(np.where(can, most / (n[x] + n[ys] - most), -1))]]
+            else:
+                ys = ys[can]
             a += [min(node[x], node[y]) for y in ys]
             b += [max(node[x], node[y]) for y in ys]
             if len(a) > 50_000:
@@ -277,8 +297,23 @@ class _Join:
         return written(map_batches(keys.repartition("tile").sortWithinPartitions("tile", "node"), _stars,
                                    "tile long, a long, b long"), "stars")
 
+    def sets(self, nodes: DataFrame, sharp: bool = False) -> DataFrame:
+        """``node, elements`` of the distinct ``nodes``, from one text each, and sharp ``bits`` if asked for."""
+        wanted = written(self.known.select("node", "doc_id").join(nodes, "node"), "wanted").alias("w")
+        texts = (self.rows.alias("r").join(small(wanted).alias("w"), F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")))
+                 .select("w.node", "r.text"))
+        # Rows that repeat an id give a set once per row; one is enough.
+        sets = map_batches(texts, partial(_set_rows, n=self.words, sharp=sharp), "node long, elements binary, bits binary")
+        return written(sets.dropDuplicates(["node"]), "sets")
+
+    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
+        """Those of the pairs whose sets are similar enough."""
+        full = (pairs.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a")
+                .join(sets.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b"))
+        return written(map_batches(full, partial(_verified, threshold=self.threshold), "a long, b long"), "edges")
+
     def linked(self, pairs: DataFrame) -> DataFrame:
-        """Those of the distinct pairs whose sets are similar enough."""
+        """Those of the distinct pairs whose sets are similar enough; bitmaps rule out most before any set is made."""
         info = self.known.select("node", "n_shingles", "bits")
 
         def side(c: str) -> DataFrame:
@@ -286,33 +321,31 @@ class _Join:
 
         both = pairs.join(side("a"), "a").join(side("b"), "b")
         left = written(map_batches(both, partial(_bounded, threshold=self.threshold), "a long, b long"), "bounded")
-        wanted = left.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-        wanted = written(self.known.select("node", "doc_id").join(wanted, "node"), "wanted").alias("w")
-        texts = (self.rows.alias("r").join(small(wanted).alias("w"), F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")))
-                 .select("w.node", "r.text"))
-        # Rows that repeat an id give a set once per row; one is enough.
-        sets = map_batches(texts, partial(_set_rows, n=self.words), "node long, elements binary").dropDuplicates(["node"])
-        sets = written(sets, "sets")
-        full = (left.join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a")
-                .join(sets.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b"))
-        return written(map_batches(full, partial(_verified, threshold=self.threshold), "a long, b long"), "edges")
-
-    def leftover(self, stars: DataFrame, found: DataFrame) -> DataFrame:
-        """Pairs within tiles, apart from the stars, that no component covers yet."""
-        sizes = stars.groupBy("tile").agg(F.count("*").alias("more"), F.first("a").alias("head")).where("more > 1")
-        members = (stars.select("tile", F.col("b").alias("node")).join(sizes, "tile")
-                   .join(found, "node", "left").withColumn("component", F.coalesce("component", "node")))
-        members = written(members, "members")
-        mixed_ = members.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-        members = members.join(mixed_.select("tile"), "tile", "left_semi")
-        blocks = F.ceil(F.col("more") / BLOCK).cast("int")
-        members = (members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-                   .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                   .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-                   .join(self.known.select("node", "n_shingles", "bits"), "node"))
-        rows = members.select("tile", "i", "j", "node", "block", "component", "head", "n_shingles", "bits")
+        return self.verified(left, self.sets(_ends(left)))
+
+    def tile_pairs(self, members: DataFrame, bitmaps: DataFrame, best: bool) -> DataFrame:
+        """Distinct pairs of members of one tile and several components that the bitmaps allow; each node's ``best`` one or all."""
+        count = members.groupBy("tile").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        rows = (members.join(count, "tile").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+                .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+                .join(self.known.select("node", "n_shingles"), "node").join(bitmaps.select("node", "bits"), "node")
+                .select("tile", "i", "j", "node", "block", "component", "n_shingles", "bits"))
         rows = rows.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j")
-        return map_batches(rows, partial(_tile_pairs, threshold=self.threshold), "a long, b long").distinct()
+        pairs = map_batches(rows, partial(_tile_pairs, threshold=self.threshold, best=best), "a long, b long").distinct()
+        return written(pairs, "pairs")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def _open(members: DataFrame, found: DataFrame) -> DataFrame:
+    """The ``tile, node`` rows of tiles that hold several components, and each node's ``component``."""
+    members = members.select("tile", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    members = written(members, "members")
+    several = members.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
+    return written(members.join(several.select("tile"), "tile", "left_semi"), "open")
 
 
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -320,11 +353,28 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """Membership ``doc_id, n_shingles, node`` and ``node, component`` of all nodes that link."""
     join = _Join(docs, id_col, text_col, words, threshold)
     stars = join.stars()
-    edges = join.linked(stars.select("a", "b").distinct())
-    found = written(components(edges), "found")
-    more = join.linked(join.leftover(stars, found))
-    if more.limit(1).count():
-        found = written(components(edges.union(more)), "found")
+    found = written(components(join.linked(stars.select("a", "b").distinct())), "found")
+    # Every node of a star but its head, which has met all of its tile.
+    many = stars.groupBy("tile").count().where("count > 1").select("tile")
+    members = _open(stars.select("tile", F.col("b").alias("node")).join(many, "tile", "left_semi"), found)
+    if not members.limit(1).count():
+        return join.nodes.select("doc_id", "n_shingles", "node"), found
+    pairs = join.tile_pairs(members, join.known, best=True)
+    sets = join.sets(_ends(pairs), sharp=True)
+    best, sharp = True, False
+    while True:
+        more = join.verified(pairs, sets)
+        linked = more.limit(1).count() > 0
+        if linked:
+            found = written(components(found.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more)), "found")
+        if not best:
+            break
+        # A node that no bitmap allows a partner in another component is done.
+        members = _open(members.join(_ends(pairs), "node", "left_semi"), found)
+        if not members.limit(1).count():
+            break
+        best, sharp = linked or not sharp, True
+        pairs = join.tile_pairs(members, sets, best)
     return join.nodes.select("doc_id", "n_shingles", "node"), found
 
 
