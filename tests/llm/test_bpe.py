@@ -75,3 +75,18 @@ def test_encode_decode_tables(spark):
     back = bpe.decode(bpe.encode(data.docs(spark), PATH), PATH)
     want = sorted((r[0] is None, r[0] or 0, REFERENCE.decode(REFERENCE.encode(r[1] or "", add_special_tokens=False).ids, skip_special_tokens=False)) for r in data.rows())
     assert sorted((r.doc_id is None, r.doc_id or 0, r.text) for r in back.collect()) == want
+
+
+def test_batches_to_python_are_small_unless_the_session_says_otherwise(spark):
+    from viewlog.session import BATCH_BYTES, small_batches
+
+    before = spark.conf.get(BATCH_BYTES)
+    try:
+        spark.conf.unset(BATCH_BYTES)
+        small_batches(spark)
+        assert spark.conf.get(BATCH_BYTES) == "4m"
+        spark.conf.set(BATCH_BYTES, "9m")
+        small_batches(spark)
+        assert spark.conf.get(BATCH_BYTES) == "9m"
+    finally:
+        spark.conf.set(BATCH_BYTES, before)

@@ -41,8 +41,8 @@ from viewlog.llm.common import map_batches
 _SEPARATORS = regex.compile(r"[\x20\x09-\x0D]+")
 _ODD = regex.compile(r"[\x1c-\x1f]")
 
-#: Words, runs and arcs remembered per worker; more only costs recomputation.
-CACHE_WORDS = 400_000
+#: Words, runs and arcs remembered per worker; fewer only cost recomputation.
+CACHE_WORDS = 200_000
 CACHE_ARCS = 250_000
 _NEVER = 1 << 62
 
@@ -176,18 +176,24 @@ class Codec:
         self.cache: dict[str, bytes] = {}
         self.runs: dict[str, bytes] = {}
 
-    def _word(self, word: str) -> bytes:
+    def _spelled(self, word: str) -> bytes:
         letters = word if word.isascii() and word.isprintable() else "".join([self.letters[b] for b in word.encode()])
         ids = self.automaton.encode(letters)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, word: str) -> bytes:
         if len(self.cache) >= CACHE_WORDS:
             self.cache.clear()
-        packed = self.cache[word] = struct.pack(f"<{len(ids)}I", *ids)
+        packed = self.cache[word] = self._spelled(word)
         return packed
 
     def _run(self, run: str) -> bytes:
         """The words of a run between white space."""
-        cache, word = self.cache, self._word
-        packed = b"".join([cache.get(w) or word(w) for w in self.words.findall(run)])
+        cache, word, words = self.cache, self._word, self.words.findall(run)
+        if len(words) == 1 and len(run) <= 64 and words[0] == run:  # remembered once, as a run
+            packed = cache.get(run) or self._spelled(run)
+        else:
+            packed = b"".join([cache.get(w) or word(w) for w in words])
         if len(run) <= 64:
             if len(self.runs) >= CACHE_WORDS:
                 self.runs.clear()
