@@ -97,6 +97,16 @@ def test_tiles_are_lossless():
         assert both <= (len(a) + len(b) - int(N.popcount(x ^ y).sum())) // 2
 
 
+def test_unlike_sets_share_few_tiles():
+    """Long sets with some elements in common: neither empty groups nor groups of one common element bring them together."""
+    rng = np.random.default_rng(5)
+    common = rng.integers(0, 1 << 64, 60, dtype=np.uint64)
+    for threshold in (N.THRESHOLD, (80, 100)):
+        tiles = [N.tile_keys(np.unique(np.concatenate((common, rng.integers(0, 1 << 64, 1700, dtype=np.uint64)))), threshold) for _ in range(30)]
+        shared = sum(len(np.intersect1d(a, b)) for i, a in enumerate(tiles) for b in tiles[:i])
+        assert shared < 30 * 29 / 2  # under one a pair
+
+
 def test_keep_one(spark):
     docs = data.docs(spark)
     kept = N.keep_one(docs)

@@ -3,10 +3,13 @@
 Every text becomes a set of word shingles. Equal sets are one node, so copies
 cost one row per task. Nodes meet in tiles: sizes are banded, and in a band the
 hash range is cut into K groups, where two sets similar enough differ in at
-most H < K elements. By the pigeonhole principle they then agree on some whole
-group, so the tile key is (band, group, hash of the group's elements). That
-is lossless, and a passage that many texts share does not fill tiles, since a
-group must agree as a whole.
+most H < K elements. By the pigeonhole principle they then agree on K - H whole
+groups, so the tile key is (band, group, hash of the group's elements). Each set
+leaves out its first K - H - 1 groups in the order of their elements' number and
+their key. Equal groups stand in the same order on both sides, so both leave out
+the first ones they agree on, and one at least is left. That is lossless, and
+a passage that many texts share does not fill tiles, nor does a common shingle or
+an empty group, since the larger groups stay and must agree as a whole.
 
 Within a tile each node is first compared with the tile's smallest node only
 (a star, linear in the tile). Components of the links found so far then rule
@@ -32,7 +35,7 @@ other columns are ignored. Elements are 64-bit hashes of shingles.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +53,7 @@ THRESHOLD = (85, 100)
 BLOCK = 1024
 #: Ratio of successive band edges.
 BAND = 1.6
-#: Groups beyond those needed, so that agreeing on empty groups only is rare.
+#: Groups beyond those needed, besides half as many as these: each set leaves out as many, the ones of fewest elements.
 SPARE = 4
 #: Bits an element in the bitmaps of all nodes, and in the sharp ones, up to ``SHARP_BITS`` bits a node.
 COARSE, SHARP = 2, 16
@@ -115,6 +118,12 @@ def most_different(small_size: int, threshold: tuple[int, int]) -> int:
     return (q - p) * both // (q + p)
 
 
+@cache
+def _cuts(groups: int) -> np.ndarray:
+    """Where equal parts of the hash range start."""
+    return (np.arange(groups, dtype=object) * (1 << 64) // groups).astype(np.uint64)
+
+
 def tile_keys(elements: np.ndarray, threshold: tuple[int, int] = THRESHOLD) -> np.ndarray:
     """The tiles that a set (sorted distinct hashes) belongs to."""
     n, (p, q) = len(elements), threshold
@@ -126,17 +135,17 @@ def tile_keys(elements: np.ndarray, threshold: tuple[int, int] = THRESHOLD) -> n
         if edges[k] > n or (edges[k + 1] - 1) * q < p * n:
             continue
         differ = most_different(edges[k + 1] - 1, threshold)
-        groups = differ + 1 + (SPARE if differ else 0)
-        cuts = (np.arange(groups, dtype=object) * (1 << 64) // groups).astype(np.uint64)
-        start = np.searchsorted(elements, cuts)
+        spare = SPARE + differ // 2 if differ else 0
+        groups = differ + 1 + spare
+        start = np.searchsorted(elements, _cuts(groups))
         stop = np.append(start[1:], n)
         full = stop > start
         sums = np.zeros(groups, np.uint64)
         sums[full] = np.add.reduceat(spread, start[full])
-        # A pair that agrees on too few non-empty groups has many empty ones on either side.
-        use = full if (~full).sum() < groups - differ else np.ones(groups, bool)
-        label = np.flatnonzero(use).astype(np.uint64) + _U((k + 1) << 32)
-        out.append(mixed(sums[use] * _U(0x9E3779B97F4A7C15) + mixed(label)))
+        label = np.arange(groups, dtype=np.uint64) + _U((k + 1) << 32)
+        keys = mixed(sums * _U(0x9E3779B97F4A7C15) + mixed(label))
+        # A pair agrees on one group more than either side leaves out, and of these both leave out the first.
+        out.append(keys[np.lexsort((keys, stop - start))[spare:]])
     return np.concatenate(out) if out else np.empty(0, np.uint64)
 
 
