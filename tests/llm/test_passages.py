@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 
 from tests.llm import data
 from viewlog.llm import passages as P
@@ -201,3 +202,36 @@ def test_hashes_of_runs():
         assert len(runs) == len(twice) - n + 1 and len(set(runs.tolist())) == len(words)  # with those across the seam
         assert (runs[:293 - n + 1] == runs[300:300 + 293 - n + 1]).all()
     assert len(P.runs_of(words[:4], 5)) == 0
+
+
+def test_single_matches_left_out_early_have_no_passage():
+    """The chains left out at once are those that an alignment over the slices finds nothing in."""
+    rng = np.random.default_rng(4)
+    rows, want = [], []
+    for _ in range(600):
+        x, y = (rng.integers(0, 400, rng.integers(6, 120)).astype(np.uint32) for _ in range(2))
+        n = int(rng.integers(1, min(len(x), len(y))))
+        a, b = int(rng.integers(0, len(x) - n + 1)), int(rng.integers(0, len(y) - n + 1))
+        y[b:b + n] = x[a:a + n]
+        if rng.random() < 0.5:
+            y[rng.integers(b, b + n)] = 999
+        at = a + int(rng.integers(0, n))
+        rows.append((1, 0, 50, 70, np.array([50 + at, 70 + b + at - a], np.int32).tobytes(), x.tobytes(), y.tobytes()))
+        parts = P.stretches(x, y, np.array([[at, b + at - a]]))
+        want.append(bool(P.joined(parts, P.MIN_WORDS, P.IDENTITY)))
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["late", "early", "oa", "ob", "steps", "x", "y"])
+    for part in (batch, batch.slice(100, 300)):
+        out = P._no_passage(part, P.MIN_WORDS)
+        assert out.sum() > len(out) / 4
+        assert not (out & np.array(want)[100:400] if part is not batch else out & np.array(want)).any()
+    found = [len(b) for b in P._aligned(iter([batch]), P.MIN_WORDS, P.IDENTITY)]
+    assert sum(found) == sum(len(P.joined(P.stretches(np.frombuffer(r[5], np.uint32), np.frombuffer(r[6], np.uint32),
+                                                     np.frombuffer(r[4], np.int32).reshape(-1, 2) - [50, 70]), P.MIN_WORDS, P.IDENTITY)) for r in rows)
+
+
+def test_least_places_are_those_of_all_windows():
+    rng = np.random.default_rng(3)
+    for n, w, most in ((6, 6, 3), (50, 6, 4), (400, 10, 1 << 60), (400, 6, 2)):
+        runs = rng.integers(0, most, n).astype(np.uint64)
+        windows = np.lib.stride_tricks.sliding_window_view(runs, w)
+        assert P.least_places(runs, w).tolist() == sorted(set((windows.argmin(axis=1) + np.arange(len(windows))).tolist()))

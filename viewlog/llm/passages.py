@@ -33,10 +33,11 @@ ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial, reduce
+from functools import lru_cache, partial, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,14 +63,33 @@ _BASE = np.uint64(0x9FB21C651E98DF25)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
+@lru_cache(4)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first ``n`` powers of the base and of its inverse."""
+    up, down = np.full(n, _BASE), np.full(n, _INVERSE)
+    up[0] = down[0] = 1
+    return np.multiply.accumulate(up), np.multiply.accumulate(down)
+
+
 def runs_of(words: np.ndarray, n: int) -> np.ndarray:
     """A hash of each run of ``n`` words by differences of one running sum, whatever ``n`` is."""
     if len(words) < n:
         return np.empty(0, np.uint64)
-    up, down = np.full(len(words), _BASE), np.full(len(words) - n + 1, _INVERSE)
-    up[0] = down[0] = 1
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * np.multiply.accumulate(up), dtype=np.uint64)))
-    return mixed((total[n:] - total[:-n]) * np.multiply.accumulate(down))
+    up, down = _powers(1 << (len(words) - 1).bit_length())
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(words * up[:len(words)], dtype=np.uint64)))
+    return mixed((total[n:] - total[:-n]) * down[:len(words) - n + 1])
+
+
+def least_places(runs: np.ndarray, w: int) -> np.ndarray:
+    """The places, ascending, of the first least hash in each ``w`` successive ones."""
+    n = len(runs) - w + 1
+    places = np.arange(len(runs))
+    least, at = runs[:n].copy(), places[:n].copy()
+    for i in range(1, w):
+        less = runs[i:i + n] < least
+        np.copyto(least, runs[i:i + n], where=less)
+        np.copyto(at, places[i:i + n], where=less)
+    return at[np.concatenate(([True], at[1:] != at[:-1]))]  # ascending, as the first least one only moves on
 
 
 def seeds(words: np.ndarray, k: int = SEED, w: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -80,8 +100,7 @@ def seeds(words: np.ndarray, k: int = SEED, w: int = WINDOW) -> tuple[np.ndarray
     if len(runs) <= w:
         at = np.array([int(runs.argmin())])
     else:
-        view = np.lib.stride_tricks.sliding_window_view(runs, w)
-        at = np.unique(view.argmin(axis=1) + np.arange(len(view)))
+        at = least_places(runs, w)
         # In a run of equal hashes one in ``w`` is enough.
         same = np.concatenate(([False], (runs[at][1:] == runs[at][:-1]) & (np.diff(at) == 1)))
         at = at[~same | (at % w == 0)]
@@ -203,14 +222,26 @@ def _chain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types.values())], names=list(types))
 
+    def batch_of_one(late: np.ndarray, early: np.ndarray, at: np.ndarray, there: np.ndarray) -> pa.RecordBatch:
+        a, b = at.astype(np.int64), there.astype(np.int64)
+        steps = np.stack((at, there), axis=1).astype(np.int32).tobytes()
+        steps = pa.Array.from_buffers(pa.binary(8), len(a), [None, pa.py_buffer(steps)]).cast(pa.binary())
+        return pa.RecordBatch.from_arrays([*map(pa.array, (late, early, a, b, a + SEED, b + SEED)), steps], names=list(types))
+
     pair, held = None, []
     for batch in batches:
         late, early, at, there = (batch.column(c).to_numpy() for c in ("late", "early", "at", "there"))
         if not len(late):
             continue
         cuts = np.flatnonzero((late[1:] != late[:-1]) | (early[1:] != early[:-1])) + 1
+        starts, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(late)]))
+        # Pairs with one match are chains as they are; the pairs at a batch's ends may go on in another.
+        one = ends - starts == 1
+        one[[0, -1]] = False
+        if one.any():
+            yield batch_of_one(*(c[starts[one]] for c in (late, early, at, there)))
         rows: list[tuple] = []
-        for lo, hi in zip([0, *cuts], [*cuts, len(late)]):
+        for lo, hi in zip(starts[~one].tolist(), ends[~one].tolist()):
             key = (int(late[lo]), int(early[lo]))
             if key != pair:
                 if held:
@@ -294,12 +325,54 @@ def joined(parts: list[tuple[int, int, int, int, int]], min_words: int, identity
     return [p for p in whole if max(p[1] - p[0], p[3] - p[2]) >= min_words and similar(p)]
 
 
+def _ahead(x: pa.Array, at: np.ndarray, step: int, n: int, none: int) -> np.ndarray:
+    """Of each word slice the ``n`` words from a place on, forwards or backwards; ``none`` beyond its ends."""
+    ends = np.frombuffer(x.buffers()[1], np.int32)[x.offset:x.offset + len(x) + 1].astype(np.int64) // 4
+    place = at[:, None] + step * np.arange(n)
+    inside = (place >= 0) & (place < (ends[1:] - ends[:-1])[:, None])
+    words = np.frombuffer(x.buffers()[2], np.uint32) if x.buffers()[2] else np.zeros(1, np.uint32)
+    return np.where(inside, words[np.where(inside, ends[:-1, None] + place, 0)].astype(np.int64), none)
+
+
+def _first_run(x: np.ndarray, y: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many words ``walk`` covers before the first difference, and whether it ends there; not if it is ``most`` words on."""
+    differ = x != y
+    run = np.where(differ.any(axis=1), differ.argmax(axis=1), most)
+    ends = run < most
+    at = np.minimum(run, most - 1)[:, None] + np.arange(RESYNC + 2)
+    xs, ys = np.take_along_axis(x, at, axis=1), np.take_along_axis(y, at, axis=1)
+    replaced = (xs[:, 1:3] == ys[:, 1:3]).any(axis=1)
+    eq = xs[:, :, None] == ys[:, None, :]
+    again = (eq[:, :-1, :-1] & eq[:, 1:, 1:]).any(axis=(1, 2))
+    # Beyond the end of a slice there is nothing to go on with.
+    over = (xs[:, 0] < 0) | (ys[:, 0] < 0)
+    return run, ends & (over | ~(replaced | again))
+
+
+def _no_passage(batch: pa.RecordBatch, min_words: int) -> np.ndarray:
+    """Chains of one match whose alignment ends at the first difference either way, before it has ``min_words`` words."""
+    out = np.zeros(batch.num_rows, bool)
+    one = np.flatnonzero(pa.compute.binary_length(batch.column("steps")).to_numpy() == 8)
+    for lo in range(0, len(one), 1024):
+        rows = one[lo:lo + 1024]
+        part = batch.take(pa.array(rows))
+        match = np.frombuffer(b"".join(part.column("steps").to_pylist()), np.int32).reshape(-1, 2).astype(np.int64)
+        a, b = match[:, 0] - part.column("oa").to_numpy(), match[:, 1] - part.column("ob").to_numpy()
+        found, over, n = np.zeros(len(rows), np.int64), np.ones(len(rows), bool), min_words + RESYNC + 2
+        for step, i, j in ((1, a, b), (-1, a - 1, b - 1)):
+            run, ends = _first_run(_ahead(part.column("x"), i, step, n, -1), _ahead(part.column("y"), j, step, n, -2), min_words)
+            found, over = found + run, over & ends
+        out[rows] = over & (found < min_words)
+    return out
+
+
 def _aligned(batches: Iterator[pa.RecordBatch], min_words: int, identity: float) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "start_word", "end_word", "source_id", "source_start", "source_end", "matched", "identity"]
     types = [pa.int64()] * 7 + [pa.float64()]
     for batch in batches:
         rows = []
-        for late, early, oa, ob, steps, x, y in zip(*(batch.column(c).to_pylist() for c in ("late", "early", "oa", "ob", "steps", "x", "y"))):
+        some = batch.filter(pa.array(~_no_passage(batch, min_words)))
+        for late, early, oa, ob, steps, x, y in zip(*(some.column(c).to_pylist() for c in ("late", "early", "oa", "ob", "steps", "x", "y"))):
             x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
             at = np.frombuffer(steps, np.int32).reshape(-1, 2) - np.array([oa, ob])  # within the slices
             rows += [(late, oa + p[0], oa + p[1], early, ob + p[2], ob + p[3], p[4], p[4] / max(p[1] - p[0], p[3] - p[2]))
