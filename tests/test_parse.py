@@ -63,3 +63,33 @@ def test_fast_path_equals_literal_eval(pairs, pad, trailing_comma):
         body += ","
     line = f"{pad}{{{body}}}{pad}"
     assert parse_dict_literal(line) == slow(line)
+
+
+def test_columns_are_read_by_the_layout_of_the_keys(monkeypatch):
+    """Column batches equal the record's values; lines like the one before do not go through ``judge``."""
+    import random
+
+    import pyarrow as pa
+
+    from viewlog.functions import parse
+
+    rng, spellings = random.Random(3), {"Mac": ["Mac", "mac", "MAC"], "Event": ["Event", "event"], "Gone": ["Gone"]}
+    lines: list[str | None] = [None, "", "{}", "[1]", "{'Mac': None, 'mac': 'a'}", "{'MAC': 1.50, 'Mac': 2, 'Mac': None}"]
+    for _ in range(500):
+        keys = rng.choice([("Mac", "Event"), ("event", "MAC"), ("mac", "Event"), ("Mac", "Mac")])
+        lines.append("{" + ", ".join(f"{k!r}: {rng.choice([None, True, 3, 1.50, 'x', ''])!r}" for k in keys) + "}")
+    want = []
+    for line in lines:
+        record, reason = parse.judge(line)
+        if record is not None and not {"Mac", "MAC"} & set(record):
+            record, reason = None, parse.NO_KEY
+        row = [next((v for k in names if (v := (record or {}).get(k)) is not None), None) for names in spellings.values()]
+        want.append((*row, reason, line if reason else None))
+    calls, judge = [], parse.judge
+    monkeypatch.setattr(parse, "judge", lambda line: (calls.append(line), judge(line))[1])
+    batch = pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+    (judged,) = parse._judged_batches(iter([batch]), spellings, ("Mac", "MAC"))
+    assert list(zip(*judged.to_pydict().values())) == want
+    (kept,) = parse._column_batches(iter([batch]), spellings, ("Mac", "MAC"))
+    assert list(zip(*kept.to_pydict().values())) == [w[:3] for w in want if w[3] is None]
+    assert len(calls) < 50
