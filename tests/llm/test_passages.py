@@ -235,3 +235,53 @@ def test_least_places_are_those_of_all_windows():
         runs = rng.integers(0, most, n).astype(np.uint64)
         windows = np.lib.stride_tricks.sliding_window_view(runs, w)
         assert P.least_places(runs, w).tolist() == sorted(set((windows.argmin(axis=1) + np.arange(len(windows))).tolist()))
+
+
+def test_pairs_in_whole_batches_make_the_same_chains(monkeypatch):
+    """Chains of pairs inside a batch, repeated matches included, are those of ``chains``; plain copies need no search."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for late in range(300):
+        n, kind = int(rng.integers(1, 12)), late % 4
+        at = np.cumsum(rng.integers(1, 8 if kind < 3 else 90, n))
+        there = at + 5 if kind < 2 else rng.permutation(at) if kind == 2 else np.cumsum(rng.integers(1, 60, n))
+        rows += [(late, -1, int(a), int(b)) for a, b in zip(at, there) for _ in range(1 + (kind == 1 and int(rng.integers(0, 3))))]
+    want, of = set(), {}
+    for late, _, a, b in rows:
+        of.setdefault(late, []).append((a, b))
+    for late, pairs in of.items():
+        want |= {(late, np.array(c, np.int32).tobytes()) for c in P.chains(*(np.array(c) for c in zip(*pairs)))}
+    calls, chains = [], P.chains
+    monkeypatch.setattr(P, "chains", lambda *a: (calls.append(a), chains(*a))[1])
+    columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32()))]
+    table = pa.table(columns, names=["late", "early", "at", "there"])
+    for size in (10_000, 37):
+        calls.clear()
+        found = pa.Table.from_batches(list(P._chain_rows(iter(table.to_batches(max_chunksize=size)))))
+        assert set(zip(found["late"].to_pylist(), found["steps"].to_pylist())) == want
+        if size > len(rows):
+            assert len(calls) < 150 + 2
+
+
+def test_alignments_of_one_run_in_whole_batches(monkeypatch):
+    """Chains whose alignment is one run of equal words, of one match or more, give the same passages without ``walk``."""
+    rng = np.random.default_rng(8)
+    rows, want = [], []
+    for i in range(400):
+        n = int(rng.integers(20, 120))
+        common = rng.integers(0, 1 << 32, n).astype(np.uint32)
+        (x0, y0), (x1, y1) = rng.integers(0, 30, (2, 2))
+        x, y = (np.concatenate((rng.integers(0, 1 << 32, p), common, rng.integers(0, 1 << 32, q))).astype(np.uint32) for p, q in ((x0, x1), (y0, y1)))
+        if i % 5 == 0:
+            y[y0 + n // 2] ^= 1
+        at = np.sort(rng.choice(n, 1 + i % 3, replace=False))
+        steps = np.stack((at + x0, at + y0), axis=1)
+        rows.append((i, -1, 7, 9, (steps + [7, 9]).astype(np.int32).tobytes(), x.tobytes(), y.tobytes()))
+        want += [(i, 7 + p[0], 7 + p[1], -1, 9 + p[2], 9 + p[3], p[4]) for p in P.joined(P.stretches(x, y, steps), P.MIN_WORDS, P.IDENTITY)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=["late", "early", "oa", "ob", "steps", "x", "y"])
+    calls, walk = [], P.walk
+    monkeypatch.setattr(P, "walk", lambda *a: (calls.append(a), walk(*a))[1])
+    for part in (batch, batch.slice(3)):
+        found = pa.Table.from_batches(list(P._aligned(iter([part]), P.MIN_WORDS, P.IDENTITY)))
+        assert sorted(zip(*(c.to_pylist() for c in found.columns[:7]))) == sorted(w for w in want if part is batch or w[0] >= 3)
+    assert len(calls) < 2 * 2 * 400 / 4

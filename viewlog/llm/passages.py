@@ -55,6 +55,8 @@ GAP_COST = 0.12
 RESYNC = 24
 #: Words around a chain that its alignment may extend over in one go.
 MARGIN = 96
+#: Words of a slice up to which chains are aligned in whole batches if one run of equal words is all.
+BATCHED = 512
 #: Rounds in which the document pairs are aligned; the word slices of one round only are on disk at a time.
 ROUNDS = 3
 
@@ -208,11 +210,33 @@ def chains(at: np.ndarray, there: np.ndarray, weight: float = SEED, gap_cost: fl
     return out
 
 
+def _one_chain(at: np.ndarray, there: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Of runs of matches in order, those that ``chains`` makes one chain of: all ascend in both texts, each goes on
+    from the one before it, and the score of the last one is the best."""
+    size = ends - starts
+    inner = np.ones(len(at), bool)
+    inner[starts] = False
+    ascends = np.ones(len(at), bool)
+    ascends[1:] = (at[1:] > at[:-1]) & (there[1:] > there[:-1])
+    place = at.astype(np.int64) + there
+    score = SEED * (np.arange(len(at)) - np.repeat(starts, size) + 1) - GAP_COST * (place - np.repeat(place[starts], size))
+    last = np.repeat(score[ends - 1], size)
+    is_last = np.zeros(len(at), bool)
+    is_last[ends - 1] = True
+    # Near ties, where rounding decides, are left to ``chains``.
+    good = (~inner | (ascends & (score > SEED + 1e-6))) & (is_last | (score < last - 1e-6))
+    return np.logical_and.reduceat(good, starts)
+
+
 CHAIN = "late long, early long, a0 long, b0 long, a1 long, b1 long, steps binary"
 
 
 def _chain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by document pair: the chains, for alignment to decide on, however short; ``steps`` are their matches as 32-bit places."""
+    """Rows sorted by document pair: the chains, for alignment to decide on, however short; ``steps`` are their matches as 32-bit places.
+
+    A match found again, by a seed and a long run at the same places, follows nothing that the first one does not:
+    it is a chain of its own, so the passage around it counts even if the long chain's alignment goes another way.
+    """
     types = {"late": pa.int64(), "early": pa.int64(), "a0": pa.int64(), "b0": pa.int64(), "a1": pa.int64(), "b1": pa.int64(), "steps": pa.binary()}
 
     def found(pair: tuple[int, int], held: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple]:
@@ -222,11 +246,15 @@ def _chain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types.values())], names=list(types))
 
-    def batch_of_one(late: np.ndarray, early: np.ndarray, at: np.ndarray, there: np.ndarray) -> pa.RecordBatch:
-        a, b = at.astype(np.int64), there.astype(np.int64)
-        steps = np.stack((at, there), axis=1).astype(np.int32).tobytes()
-        steps = pa.Array.from_buffers(pa.binary(8), len(a), [None, pa.py_buffer(steps)]).cast(pa.binary())
-        return pa.RecordBatch.from_arrays([*map(pa.array, (late, early, a, b, a + SEED, b + SEED)), steps], names=list(types))
+    def whole(late: np.ndarray, early: np.ndarray, at: np.ndarray, there: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.RecordBatch:
+        first, last = (np.stack((at, there), axis=1)[m].astype(np.int64) for m in (starts, ends - 1))
+        size = ends - starts
+        offset = np.concatenate(([0], np.cumsum(size)))
+        places = np.repeat(starts - offset[:-1], size) + np.arange(offset[-1])
+        steps = np.stack((at[places], there[places]), axis=1).astype(np.int32)
+        steps = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer((8 * offset).astype(np.int32)), pa.py_buffer(steps)])
+        ends_ = (first[:, 0], first[:, 1], last[:, 0] + SEED, last[:, 1] + SEED)
+        return pa.RecordBatch.from_arrays([*(pa.array(c) for c in (late[starts], early[starts], *ends_)), steps], names=list(types))
 
     pair, held = None, []
     for batch in batches:
@@ -235,11 +263,22 @@ def _chain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         cuts = np.flatnonzero((late[1:] != late[:-1]) | (early[1:] != early[:-1])) + 1
         starts, ends = np.concatenate(([0], cuts)), np.concatenate((cuts, [len(late)]))
-        # Pairs with one match are chains as they are; the pairs at a batch's ends may go on in another.
-        one = ends - starts == 1
+        # The pairs at a batch's ends may go on in another; of the others some make one chain for sure.
+        of = np.repeat(np.arange(len(starts)), ends - starts)
+        order = np.lexsort((there, at, of))
+        at, there = at[order], there[order]
+        new = np.ones(len(at), bool)
+        new[1:] = (of[1:] != of[:-1]) | (at[1:] != at[:-1]) | (there[1:] != there[:-1]) | (of[1:] == 0) | (of[1:] == of[-1])
+        again = np.flatnonzero(~new)
+        if len(again):
+            yield whole(late, early, at, there, again, again + 1)
+        late, early, at, there = late[new], early[new], at[new], there[new]
+        ends = np.cumsum(np.bincount(of[new]))
+        starts = np.concatenate(([0], ends[:-1]))
+        one = _one_chain(at, there, starts, ends)
         one[[0, -1]] = False
         if one.any():
-            yield batch_of_one(*(c[starts[one]] for c in (late, early, at, there)))
+            yield whole(late, early, at, there, starts[one], ends[one])
         rows: list[tuple] = []
         for lo, hi in zip(starts[~one].tolist(), ends[~one].tolist()):
             key = (int(late[lo]), int(early[lo]))
@@ -328,41 +367,66 @@ def joined(parts: list[tuple[int, int, int, int, int]], min_words: int, identity
 def _ahead(x: pa.Array, at: np.ndarray, step: int, n: int, none: int) -> np.ndarray:
     """Of each word slice the ``n`` words from a place on, forwards or backwards; ``none`` beyond its ends."""
     ends = np.frombuffer(x.buffers()[1], np.int32)[x.offset:x.offset + len(x) + 1].astype(np.int64) // 4
-    place = at[:, None] + step * np.arange(n)
-    inside = (place >= 0) & (place < (ends[1:] - ends[:-1])[:, None])
-    words = np.frombuffer(x.buffers()[2], np.uint32) if x.buffers()[2] else np.zeros(1, np.uint32)
-    return np.where(inside, words[np.where(inside, ends[:-1, None] + place, 0)].astype(np.int64), none)
-
-
-def _first_run(x: np.ndarray, y: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """How many words ``walk`` covers before the first difference, and whether it ends there; not if it is ``most`` words on."""
-    differ = x != y
-    run = np.where(differ.any(axis=1), differ.argmax(axis=1), most)
-    ends = run < most
-    at = np.minimum(run, most - 1)[:, None] + np.arange(RESYNC + 2)
-    xs, ys = np.take_along_axis(x, at, axis=1), np.take_along_axis(y, at, axis=1)
-    replaced = (xs[:, 1:3] == ys[:, 1:3]).any(axis=1)
-    eq = xs[:, :, None] == ys[:, None, :]
-    again = (eq[:, :-1, :-1] & eq[:, 1:, 1:]).any(axis=(1, 2))
-    # Beyond the end of a slice there is nothing to go on with.
+    held = np.frombuffer(x.buffers()[2], np.uint32) if x.buffers()[2] else np.empty(0, np.uint32)
+    words = np.append(held[ends[0]:ends[-1]].astype(np.int64), none)
+    left = (ends[1:] - ends[:-1] - at if step > 0 else at + 1)[:, None]
+    ahead = np.arange(n)
+    return words[np.where(ahead < left, (ends[:-1] - ends[0] + at)[:, None] + step * ahead, len(words) - 1)]
+
+
+def _first_run(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """How many words ``walk`` covers before the first difference or a slice's end, and whether it ends there.
+
+    Rows hold more words than any slice has left, so each has a difference.
+    """
+    run = (x != y).argmax(axis=1)
+    first = run[:, None] + np.arange(3)
+    xs, ys = np.take_along_axis(x, first, axis=1), np.take_along_axis(y, first, axis=1)
     over = (xs[:, 0] < 0) | (ys[:, 0] < 0)
-    return run, ends & (over | ~(replaced | again))
+    # Beyond the end of a slice there is nothing to go on with.
+    open_ = np.flatnonzero(~(over | (xs[:, 1:] == ys[:, 1:]).any(axis=1)))
+    at = run[open_, None] + np.arange(RESYNC + 2)
+    eq = x[open_[:, None], at][:, :, None] == y[open_[:, None], at][:, None, :]
+    over[open_] = ~(eq[:, :-1, :-1] & eq[:, 1:, 1:]).any(axis=(1, 2))
+    return run, over
+
+
+def _one_run(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Chains of whose alignment one run of equal words, from the first match on both ways, is all: their rows, and
+    per row (start, end) in ``x``, (start, end) in ``y``, as ``stretches`` gives them."""
+    def words(column: str) -> np.ndarray:
+        return pa.compute.binary_length(batch.column(column)).to_numpy().astype(np.int64) // 4
+
+    size = {c: words(c) for c in ("x", "y")}
+    some = np.flatnonzero((np.maximum(size["x"], size["y"]) <= BATCHED) & (words("steps") > 0))
+    some = some[np.argsort(size["x"][some], kind="stable")]  # rows of about one width together
+    rows, spans = [some[:0]], [np.empty((0, 4), np.int64)]
+    for lo in range(0, len(some), 512):
+        at = some[lo:lo + 512]
+        part = batch.take(pa.array(at))
+        steps = [np.frombuffer(m, np.int32) for m in part.column("steps").to_pylist()]
+        ends = np.array([(m[0], m[1], m[-2], m[-1]) for m in steps], np.int64)
+        oa, ob = part.column("oa").to_numpy(), part.column("ob").to_numpy()
+        a, b = ends[:, 0] - oa, ends[:, 1] - ob
+        whole, reach = np.ones(len(a), bool), []
+        for step, i, j, most in ((-1, a - 1, b - 1, np.minimum(a, b)), (1, a, b, np.minimum(size["x"][at] - a, size["y"][at] - b))):
+            n = int(most.max()) + RESYNC + 3
+            run, over = _first_run(_ahead(part.column("x"), i, step, n, -1), _ahead(part.column("y"), j, step, n, -2))
+            reach.append(run)
+            whole &= over
+        back, on = reach
+        # Nothing is left to go on with: no match lies beyond the run in both texts.
+        whole &= (np.array([len(m) for m in steps]) == 2) | ((back + on > 0) & ((ends[:, 2] - oa < a + on) | (ends[:, 3] - ob < b + on)))
+        rows.append(at[whole])
+        spans.append(np.stack((a - back, a + on, b - back, b + on), axis=1)[whole])
+    return np.concatenate(rows), np.concatenate(spans)
 
 
 def _no_passage(batch: pa.RecordBatch, min_words: int) -> np.ndarray:
-    """Chains of one match whose alignment ends at the first difference either way, before it has ``min_words`` words."""
+    """Chains whose alignment ends both ways at the first difference, before it has ``min_words`` words."""
     out = np.zeros(batch.num_rows, bool)
-    one = np.flatnonzero(pa.compute.binary_length(batch.column("steps")).to_numpy() == 8)
-    for lo in range(0, len(one), 1024):
-        rows = one[lo:lo + 1024]
-        part = batch.take(pa.array(rows))
-        match = np.frombuffer(b"".join(part.column("steps").to_pylist()), np.int32).reshape(-1, 2).astype(np.int64)
-        a, b = match[:, 0] - part.column("oa").to_numpy(), match[:, 1] - part.column("ob").to_numpy()
-        found, over, n = np.zeros(len(rows), np.int64), np.ones(len(rows), bool), min_words + RESYNC + 2
-        for step, i, j in ((1, a, b), (-1, a - 1, b - 1)):
-            run, ends = _first_run(_ahead(part.column("x"), i, step, n, -1), _ahead(part.column("y"), j, step, n, -2), min_words)
-            found, over = found + run, over & ends
-        out[rows] = over & (found < min_words)
+    rows, spans = _one_run(batch)
+    out[rows[spans[:, 1] - spans[:, 0] < min_words]] = True
     return out
 
 
@@ -370,8 +434,17 @@ def _aligned(batches: Iterator[pa.RecordBatch], min_words: int, identity: float)
     names = ["doc_id", "start_word", "end_word", "source_id", "source_start", "source_end", "matched", "identity"]
     types = [pa.int64()] * 7 + [pa.float64()]
     for batch in batches:
+        done, spans = _one_run(batch)
+        long = spans[:, 1] - spans[:, 0] >= min_words
+        if long.any() and identity <= 1:
+            found = batch.select(["late", "early", "oa", "ob"]).take(pa.array(done[long]))
+            late, early, oa, ob = (c.to_numpy() for c in found.columns)
+            x0, x1, y0, y1 = spans[long].T
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (late, oa + x0, oa + x1, early, ob + y0, ob + y1, x1 - x0, np.ones(len(late)))], names=names)
         rows = []
-        some = batch.filter(pa.array(~_no_passage(batch, min_words)))
+        left = np.ones(batch.num_rows, bool)
+        left[done] = False
+        some = batch.filter(pa.array(left))
         for late, early, oa, ob, steps, x, y in zip(*(some.column(c).to_pylist() for c in ("late", "early", "oa", "ob", "steps", "x", "y"))):
             x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
             at = np.frombuffer(steps, np.int32).reshape(-1, 2) - np.array([oa, ob])  # within the slices
