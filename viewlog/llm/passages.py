@@ -103,9 +103,10 @@ def seeds(words: np.ndarray, k: int = SEED, w: int = WINDOW) -> tuple[np.ndarray
         at = np.array([int(runs.argmin())])
     else:
         at = least_places(runs, w)
-        # In a run of equal hashes one in ``w`` is enough.
-        same = np.concatenate(([False], (runs[at][1:] == runs[at][:-1]) & (np.diff(at) == 1)))
-        at = at[~same | (at % w == 0)]
+        # Where a text repeats every ``gap`` words, each ``w`` successive runs need one of its equal seeds.
+        gap = np.concatenate(([1], np.diff(at)))
+        same = np.concatenate(([False], (runs[at][1:] == runs[at][:-1]))) & (gap <= w)
+        at = at[~same | (at // gap % np.maximum(w // gap, 1) == 0)]
     return at, runs[at]
 
 
@@ -234,13 +235,13 @@ CHAIN = "late long, early long, a0 long, b0 long, a1 long, b1 long, steps binary
 def _chain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by document pair: the chains, for alignment to decide on, however short; ``steps`` are their matches as 32-bit places.
 
-    A match found again, by a seed and a long run at the same places, follows nothing that the first one does not:
-    it is a chain of its own, so the passage around it counts even if the long chain's alignment goes another way.
+    A seed and a long run at the same places are one match.
     """
     types = {"late": pa.int64(), "early": pa.int64(), "a0": pa.int64(), "b0": pa.int64(), "a1": pa.int64(), "b1": pa.int64(), "steps": pa.binary()}
 
     def found(pair: tuple[int, int], held: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple]:
         at, there = (np.concatenate(c) for c in zip(*held))
+        at, there = np.array(sorted(set(zip(at.tolist(), there.tolist())))).T
         return [(*pair, *c[0], c[-1][0] + SEED, c[-1][1] + SEED, np.array(c, np.int32).tobytes()) for c in chains(at, there)]
 
     def batch_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -268,10 +269,7 @@ def _chain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.lexsort((there, at, of))
         at, there = at[order], there[order]
         new = np.ones(len(at), bool)
-        new[1:] = (of[1:] != of[:-1]) | (at[1:] != at[:-1]) | (there[1:] != there[:-1]) | (of[1:] == 0) | (of[1:] == of[-1])
-        again = np.flatnonzero(~new)
-        if len(again):
-            yield whole(late, early, at, there, again, again + 1)
+        new[1:] = (of[1:] != of[:-1]) | (at[1:] != at[:-1]) | (there[1:] != there[:-1])
         late, early, at, there = late[new], early[new], at[new], there[new]
         ends = np.cumsum(np.bincount(of[new]))
         starts = np.concatenate(([0], ends[:-1]))
@@ -364,6 +362,17 @@ def joined(parts: list[tuple[int, int, int, int, int]], min_words: int, identity
     return [p for p in whole if max(p[1] - p[0], p[3] - p[2]) >= min_words and similar(p)]
 
 
+def passages(x: np.ndarray, y: np.ndarray, steps: np.ndarray, min_words: int, identity: float) -> list[tuple[int, int, int, int, int]]:
+    """The passages of a chain; a match in none of them is aligned for itself, as a chain of its own."""
+    found = joined(stretches(x, y, steps), min_words, identity)
+    for a, b in steps.tolist() if len(steps) > 1 else ():
+        if not any(p[0] <= a < p[1] and p[2] <= b < p[3] for p in found):
+            i, j = max(a - MARGIN, 0), max(b - MARGIN, 0)
+            own = stretches(x[i:a + SEED + MARGIN], y[j:b + SEED + MARGIN], np.array([[a - i, b - j]]))
+            found += [(i + p[0], i + p[1], j + p[2], j + p[3], p[4]) for p in joined(own, min_words, identity)]
+    return found
+
+
 def _ahead(x: pa.Array, at: np.ndarray, step: int, n: int, none: int) -> np.ndarray:
     """Of each word slice the ``n`` words from a place on, forwards or backwards; ``none`` beyond its ends."""
     ends = np.frombuffer(x.buffers()[1], np.int32)[x.offset:x.offset + len(x) + 1].astype(np.int64) // 4
@@ -415,8 +424,9 @@ def _one_run(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
             reach.append(run)
             whole &= over
         back, on = reach
-        # Nothing is left to go on with: no match lies beyond the run in both texts.
-        whole &= (np.array([len(m) for m in steps]) == 2) | ((back + on > 0) & ((ends[:, 2] - oa < a + on) | (ends[:, 3] - ob < b + on)))
+        # Every other match is part of the run.
+        apart = np.array([len(m) > 2 and (m[::2] - m[1::2] != m[0] - m[1]).any() for m in steps])
+        whole &= ~apart & ((ends[:, 2] - oa < a + on) | (ends[:, 2] == ends[:, 0]))
         rows.append(at[whole])
         spans.append(np.stack((a - back, a + on, b - back, b + on), axis=1)[whole])
     return np.concatenate(rows), np.concatenate(spans)
@@ -449,7 +459,7 @@ def _aligned(batches: Iterator[pa.RecordBatch], min_words: int, identity: float)
             x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
             at = np.frombuffer(steps, np.int32).reshape(-1, 2) - np.array([oa, ob])  # within the slices
             rows += [(late, oa + p[0], oa + p[1], early, ob + p[2], ob + p[3], p[4], p[4] / max(p[1] - p[0], p[3] - p[2]))
-                     for p in joined(stretches(x, y, at), min_words, identity)]
+                     for p in passages(x, y, at, min_words, identity)]
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
