@@ -106,7 +106,8 @@ def seeds(words: np.ndarray, k: int = SEED, w: int = WINDOW) -> tuple[np.ndarray
         # Where a text repeats every ``gap`` words, each ``w`` successive runs need one of its equal seeds.
         gap = np.concatenate(([1], np.diff(at)))
         same = np.concatenate(([False], (runs[at][1:] == runs[at][:-1]))) & (gap <= w)
-        at = at[~same | (at // gap % np.maximum(w // gap, 1) == 0)]
+        last = np.concatenate((~same[1:], [True]))
+        at = at[~same | last | (at // gap % np.maximum(w // gap, 1) == 0)]
     return at, runs[at]
 
 
