@@ -8,6 +8,7 @@ import pyarrow as pa
 import pytest
 
 from tests.llm import data
+from viewlog.llm import components as C
 from viewlog.llm import ngram_join as N
 from viewlog.llm.components import components
 
@@ -171,3 +172,19 @@ def test_pairs_of_a_tile_do_not_grow_with_its_square():
 
     assert count(20, best=False) < 120  # similar, but not linked: 7140 pairs, of which coarse bitmaps allow most
     assert 0 < count(5, best=True) <= 120  # all linked: each with its best partner
+
+
+def test_few_links_are_not_shuffled_to_meet(spark, monkeypatch):
+    """A step over few links shuffles for two minima, the first of them read by both sides, and for what is distinct."""
+    plans, write = [], C.written
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return write(df, name)
+
+    monkeypatch.setattr(C, "written", noted)
+    edges = spark.createDataFrame([(i + 1, i) for i in range(20)], "a long, b long")
+    few = {tuple(r) for r in C.components(edges).collect()}
+    assert few == {(i, 0) for i in range(21)} and max(plans) <= 4
+    monkeypatch.setattr(C, "few", lambda rows: False)
+    assert {tuple(r) for r in C.components(edges).collect()} == few and max(plans) > 4

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from viewlog.llm.common import byte_texts, map_batches, row_slices, small
+from viewlog.llm.common import FEW_ROWS, byte_texts, few, map_batches, row_slices, small
 from viewlog.llm.common import hashes_written as written
 from viewlog.llm.components import components
 from viewlog.llm.shingles import mixed, popcount, shingle_set, texts_word_hashes
@@ -227,9 +227,10 @@ def _set_rows(batches: Iterator[pa.RecordBatch], n: int, sharp: bool) -> Iterato
             rows = [(node, s) for node, s in zip(part.column("node").to_pylist(), sets) if len(s) and node_of(s) == node]
             if rows:
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([node for node, _ in rows], pa.int64()), pa.array([s.tobytes() for _, s in rows], pa.binary()),
+                    pa.array([node for node, _ in rows], pa.int64()), pa.array([len(s) for _, s in rows], pa.int64()),
+                    pa.array([s.tobytes() for _, s in rows], pa.binary()),
                     pa.array([sharp_bitmap(s).tobytes() if sharp else None for _, s in rows], pa.binary()),
-                ], names=["node", "elements", "bits"])
+                ], names=["node", "n_shingles", "elements", "bits"])
 
 
 def _verified(batches: Iterator[pa.RecordBatch], threshold: tuple[int, int]) -> Iterator[pa.RecordBatch]:
@@ -307,12 +308,12 @@ class _Join:
                                    "tile long, a long, b long"), "stars")
 
     def sets(self, nodes: DataFrame, sharp: bool = False) -> DataFrame:
-        """``node, elements`` of the distinct ``nodes``, from one text each, and sharp ``bits`` if asked for."""
+        """``node, n_shingles, elements`` of the distinct ``nodes``, from one text each, and sharp ``bits`` if asked for."""
         wanted = written(self.known.select("node", "doc_id").join(nodes, "node"), "wanted").alias("w")
         texts = (self.rows.alias("r").join(small(wanted).alias("w"), F.col("r.doc_id").eqNullSafe(F.col("w.doc_id")))
                  .select("w.node", "r.text"))
         # Rows that repeat an id give a set once per row; one is enough.
-        sets = map_batches(texts, partial(_set_rows, n=self.words, sharp=sharp), "node long, elements binary, bits binary")
+        sets = map_batches(texts, partial(_set_rows, n=self.words, sharp=sharp), "node long, n_shingles long, elements binary, bits binary")
         return written(sets.dropDuplicates(["node"]), "sets")
 
     def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -334,11 +335,10 @@ class _Join:
 
     def tile_pairs(self, members: DataFrame, bitmaps: DataFrame, best: bool) -> DataFrame:
         """Distinct pairs of members of one tile and several components that the bitmaps allow; each node's ``best`` one or all."""
-        count = members.groupBy("tile").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-        rows = (members.join(count, "tile").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        rows = (bitmaps.select("node", "n_shingles", "bits").join(small(members, FEW_ROWS), "node")
+                .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
                 .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                 .withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-                .join(self.known.select("node", "n_shingles"), "node").join(bitmaps.select("node", "bits"), "node")
                 .select("tile", "i", "j", "node", "block", "component", "n_shingles", "bits"))
         rows = rows.repartition("tile", "i", "j").sortWithinPartitions("tile", "i", "j")
         pairs = map_batches(rows, partial(_tile_pairs, threshold=self.threshold, best=best), "a long, b long").distinct()
@@ -350,11 +350,12 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _open(members: DataFrame, found: DataFrame) -> DataFrame:
-    """The ``tile, node`` rows of tiles that hold several components, and each node's ``component``."""
-    members = members.select("tile", "node").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    """The ``tile, node`` rows of tiles that hold several components, each node's ``component`` and the tile's ``blocks``."""
+    members = members.select("tile", "node").join(small(found, FEW_ROWS), "node", "left").withColumn("component", F.coalesce("component", "node"))
     members = written(members, "members")
-    several = members.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    return written(members.join(several.select("tile"), "tile", "left_semi"), "open")
+    several = members.groupBy("tile").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                          F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("lo != hi")
+    return written(members.join(several.select("tile", "blocks"), "tile"), "open")
 
 
 def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
@@ -379,7 +380,8 @@ def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if not best:
             break
         # A node that no bitmap allows a partner in another component is done.
-        members = _open(members.join(_ends(pairs), "node", "left_semi"), found)
+        partners = F.broadcast(_ends(pairs)) if few(pairs) else _ends(pairs)
+        members = _open(members.join(partners, "node", "left_semi"), found)
         if not members.limit(1).count():
             break
         best, sharp = linked or not sharp, True
